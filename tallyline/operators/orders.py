@@ -212,7 +212,14 @@ def duration_spread(deliveries: DataFrame) -> DataFrame:
 
 
 def speed_kmh(distance: str = "distance", duration: str = "duration") -> Column:
-    return F.round(F.try_divide(F.col(distance), F.col(duration)) * 60, 1)
+    """km/h = distance / minutes * 60, rounded half-up to 0.1; NULL for a zero
+    or missing duration.  Rounded exactly from integer hundredths of a km,
+    since e.g. 8.1 km in 40 min is exactly 12.15 km/h and a float quotient
+    lands on either side of the half."""
+    d100 = F.round(F.col(distance) * 100).cast("bigint")
+    t = F.col(duration).cast("bigint")
+    tenths = F.floor((12 * d100 + t) / (2 * t))
+    return F.when(t > 0, tenths / F.lit(10.0))
 
 
 def speed(items: DataFrame, deliveries: DataFrame) -> DataFrame:
