@@ -19,6 +19,7 @@ from ..operators import placement as PL
 from ..operators import pricing as PR
 from ..sources import analogues as A
 from ..sources.tables import Tables
+from ..streaming import live_balance as LB
 
 # Fixed parameters of the test-data analogue of the business questions.
 PRODUCT_NAMES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -167,4 +168,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alloc_realtime": q(lambda c: AL.alloc_realtime(c.txns)),
     "interest_simple": q(lambda c: AL.interest_simple(c.txns)),
     "interest_compound": q(lambda c: AL.interest_compound(c.txns)),
+    # ---- streaming (replayed from a file source with an availableNow trigger)
+    "live_balance": q(lambda c: LB.replay_live_balance(c.t.spark, c.txns)),
+    "live_month_peaks": q(lambda c: LB.replay_month_peaks(c.t.spark, c.txns)),
 }
