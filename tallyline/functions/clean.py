@@ -70,6 +70,16 @@ def parse_timestamp(col: str | Column, tokens: Iterable[str] = NULL_TOKENS) -> C
         .otherwise(F.trim(c).try_cast("timestamp_ntz"))
 
 
+def to_int(text: str | Column) -> Column:
+    """INT value of an integer text, NULL for anything else (blank, words,
+    out of range).  The digits are checked before casting: a failing ANSI
+    ``try_cast`` raises and catches an exception per row, which is slow when
+    most tokens are blank."""
+    t = F.trim(_c(text))
+    v = F.when(t.rlike(r"^[+-]?[0-9]{1,10}$"), t.cast("bigint"))
+    return F.when(v.between(-2147483648, 2147483647), v.cast("int"))
+
+
 def split_tokens(col: str | Column, sep: str = ",") -> Column:
     """Trimmed text elements of a separated list; '' gives one blank element."""
     return F.transform(F.split(_c(col), sep), lambda x: F.trim(x))
@@ -78,7 +88,7 @@ def split_tokens(col: str | Column, sep: str = ",") -> Column:
 def parse_id_list(col: str | Column, sep: str = ",") -> Column:
     """ARRAY<INT> of the ids in a separated list; blanks and non-numbers dropped,
     NULL / '' give an empty array."""
-    ids = F.transform(F.split(F.coalesce(_c(col), F.lit("")), sep), lambda x: F.trim(x).try_cast("int"))
+    ids = F.transform(F.split(F.coalesce(_c(col), F.lit("")), sep), to_int)
     return F.filter(ids, lambda x: x.isNotNull())
 
 

@@ -41,7 +41,7 @@ def parse_recipes(recipes: DataFrame) -> DataFrame:
 def explode_recipe(recipes: DataFrame, toppings: DataFrame) -> DataFrame:
     """One row per (product, topping) with the topping's name."""
     rows = recipes.select("pizza_id", F.explode(C.split_tokens("toppings")).alias("tok")) \
-                  .select("pizza_id", F.col("tok").try_cast("int").alias("topping_id")) \
+                  .select("pizza_id", C.to_int("tok").alias("topping_id")) \
                   .filter(F.col("topping_id").isNotNull())
     return rows.join(toppings, "topping_id").select("pizza_id", "topping_id", "topping_name")
 
@@ -51,7 +51,7 @@ def explode_ids(items: DataFrame, list_col: str, out_col: str) -> DataFrame:
     one row with a NULL id (as splitting '' yields one blank element)."""
     return (with_line_ids(items)
             .select(*ITEM_KEYS, F.explode(C.split_tokens(list_col)).alias("tok"))
-            .select(*ITEM_KEYS, F.col("tok").try_cast("int").alias(out_col)))
+            .select(*ITEM_KEYS, C.to_int("tok").alias(out_col)))
 
 
 def recipe_list(recipes: DataFrame, toppings: DataFrame) -> DataFrame:

@@ -40,12 +40,12 @@ def test_gaps(nodes, regions):
 
 
 def test_live_balance_matches_batch(spark, ledger):
-    got = rows(LB.replay_live_balance(spark, ledger), "customer_id", "balance", "txn_count")
+    got = rows(LB.replay_live_balance(spark, ledger, files_per_trigger=1), "customer_id", "balance", "txn_count")
     assert got == [(1, -25, 4), (2, 30, 3), (3, 11, 2)]
 
 
 def test_live_month_peaks(spark, ledger):
-    got = rows(LB.replay_month_peaks(spark, ledger))
+    got = rows(LB.replay_month_peaks(spark, ledger, files_per_trigger=1))
     assert got == [(1, d("2020-01-31"), 100, 70), (1, d("2020-03-31"), 70, -25),
                    (2, d("2020-02-29"), 50, 50), (2, d("2020-03-31"), 50, 30),
                    (3, d("2020-01-31"), 10, 10), (3, d("2020-02-29"), 11, 11)]
