@@ -22,16 +22,44 @@ from .orders import delivered_items, with_id_lists
 ITEM_KEYS = ["order_id", "pizza_id", "line_no"]
 
 
-def with_line_ids(items: DataFrame) -> DataFrame:
-    """Item identity (order_id, pizza_id, line_no).
+LINE_KEYS = ["order_id", "pizza_id"]
+LINE_ORDER = ["exclusions", "extras", "customer_id", "order_time"]
+COMBO = ["pizza_id", "exclusions", "extras"]
+EXPAND_CHUNK = 100_000
+
+
+def line_counts(items: DataFrame) -> DataFrame:
+    """Distinct item contents with ``_copies`` (how many identical items) and
+    ``_first`` (the first line number of those copies).
 
-    ``line_no`` numbers the items of one product within one order, ordered by
-    every other column; identical items get distinct numbers.  The window is
-    keyed by (order, product), never global, so no single task numbers all
-    rows.
+    Line numbers count the items of one product within one order, ordered by
+    the other columns.  Identical items are counted first (map-side combine),
+    so the numbering window sorts distinct contents only: an order holding a
+    huge number of identical items costs one row here, not one per item.
     """
-    w = Window.partitionBy("order_id", "pizza_id").orderBy("exclusions", "extras", "customer_id", "order_time")
-    return items.withColumn("line_no", F.row_number().over(w).cast("int"))
+    order = LINE_ORDER + [c for c in items.columns if c not in LINE_KEYS + LINE_ORDER]
+    counts = items.groupBy(*LINE_KEYS, *order).agg(F.count("*").alias("_copies"))
+    w = Window.partitionBy(*LINE_KEYS).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("_first", F.coalesce(F.sum("_copies").over(w), F.lit(0)) + 1)
+
+
+def expand_lines(df: DataFrame, chunk: int = EXPAND_CHUNK) -> DataFrame:
+    """One row per copy with its ``line_no``; copies are generated in chunks of
+    at most ``chunk`` numbers, so no single array holds a huge group."""
+    keep = [c for c in df.columns if c not in ("_copies", "_first")]
+    parts = df.select(*keep, "_first", "_copies",
+                      F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                           F.floor((F.col("_copies") - 1) / chunk).cast("bigint"))).alias("_chunk"))
+    lo = F.col("_first") + F.col("_chunk") * chunk
+    hi = F.least(F.col("_first") + F.col("_copies") - 1, lo + chunk - 1)
+    return parts.select(*keep, F.explode(F.sequence(lo, hi)).alias("_line")) \
+                .select(*keep, F.col("_line").cast("int").alias("line_no"))
+
+
+def with_line_ids(items: DataFrame) -> DataFrame:
+    """Items with their identity (order_id, pizza_id, line_no); identical
+    items get distinct numbers."""
+    return expand_lines(line_counts(items)).select(*items.columns, "line_no")
 
 
 def parse_recipes(recipes: DataFrame) -> DataFrame:
@@ -49,9 +77,10 @@ def explode_recipe(recipes: DataFrame, toppings: DataFrame) -> DataFrame:
 def explode_ids(items: DataFrame, list_col: str, out_col: str) -> DataFrame:
     """One row per list element of each item; an item with an empty list keeps
     one row with a NULL id (as splitting '' yields one blank element)."""
-    return (with_line_ids(items)
-            .select(*ITEM_KEYS, F.explode(C.split_tokens(list_col)).alias("tok"))
-            .select(*ITEM_KEYS, C.to_int("tok").alias(out_col)))
+    lc = line_counts(items)
+    rows = lc.select(*LINE_KEYS, "_first", "_copies", F.explode(C.split_tokens(list_col)).alias("tok")) \
+             .select(*LINE_KEYS, "_first", "_copies", C.to_int("tok").alias(out_col))
+    return expand_lines(rows).select(*ITEM_KEYS, out_col)
 
 
 def recipe_list(recipes: DataFrame, toppings: DataFrame) -> DataFrame:
@@ -75,11 +104,17 @@ def token_rank(items: DataFrame, list_col: str, toppings: DataFrame, count_col:
     return ranked.limit(top) if top else ranked
 
 
-def _items_with_recipe(items: DataFrame, recipes: DataFrame, products: DataFrame | None) -> DataFrame:
-    dim = parse_recipes(recipes)
-    if products is not None:
-        dim = dim.join(products, "pizza_id")
-    return with_id_lists(with_line_ids(items)).join(dim, "pizza_id")
+def _combos(lc: DataFrame) -> DataFrame:
+    """Distinct (product, exclusions, extras) combinations with parsed lists,
+    taken from the already counted item contents: identical orders share one
+    ingredient list / label."""
+    return with_id_lists(lc.select(*COMBO).distinct())
+
+
+def _per_item(lc: DataFrame, per_combo: DataFrame, out: str) -> DataFrame:
+    """Attach a per-combination result to every item (with its line number)."""
+    j = lc.join(per_combo, COMBO)
+    return expand_lines(j).select(*ITEM_KEYS, "customer_id", "order_time", out)
 
 
 def ingredient_list(items: DataFrame, recipes: DataFrame, toppings: DataFrame, products: DataFrame,
@@ -92,9 +127,14 @@ def ingredient_list(items: DataFrame, recipes: DataFrame, toppings: DataFrame, p
     listed.  ``as_written``: only recipe toppings that are not excluded, in
     recipe order, '2x' when also an extra; extras outside the recipe are
     dropped, and an item whose recipe is fully excluded disappears.
+
+    The list is built once per distinct (product, exclusions, extras) and
+    joined back to the items.
     """
-    j = _items_with_recipe(items, recipes, products)
-    keys = [*ITEM_KEYS, "customer_id", "order_time", "pizza_name"]
+    lc = line_counts(items)
+    dim = parse_recipes(recipes).join(products, "pizza_id")
+    j = _combos(lc).join(dim, "pizza_id")
+    keys = [*COMBO, "pizza_name"]
     if as_written:
         rows = (j.select(*keys, "exclusion_ids", "extra_ids",
                          F.posexplode("recipe_ids").alias("pos", "topping_id"))
@@ -104,7 +144,6 @@ def ingredient_list(items: DataFrame, recipes: DataFrame, toppings: DataFrame, p
             F.when(F.array_contains("extra_ids", F.col("topping_id")),
                    F.concat(F.lit("2x"), F.col("topping_name"))).otherwise(F.col("topping_name")).alias("label"))
         agg = named.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "label"))).alias("xs"))
-        listed = F.array_join(F.transform("xs", lambda x: x["label"]), ", ")
     else:
         cand = F.array_distinct(F.concat("recipe_ids", "extra_ids"))
         kept = F.filter(cand, lambda x: (
@@ -121,16 +160,18 @@ def ingredient_list(items: DataFrame, recipes: DataFrame, toppings: DataFrame, p
              .otherwise(F.col("topping_name")).alias("label"))
         agg = named.groupBy(*keys).agg(F.array_sort(F.collect_list(
             F.when(F.col("topping_name").isNotNull(), F.struct("topping_name", "label")))).alias("xs"))
-        listed = F.array_join(F.transform("xs", lambda x: x["label"]), ", ")
-    return agg.select(*ITEM_KEYS, "customer_id", "order_time",
-                      F.concat(F.col("pizza_name"), F.lit(": "), listed).alias("ingredients_list"))
+    listed = F.array_join(F.transform("xs", lambda x: x["label"]), ", ")
+    per_combo = agg.select(*COMBO, F.concat(F.col("pizza_name"), F.lit(": "), listed).alias("ingredients_list"))
+    return _per_item(lc, per_combo, "ingredients_list")
 
 
 def item_label(items: DataFrame, toppings: DataFrame, products: DataFrame) -> DataFrame:
     """'Name - Exclude a, b - Extra c, d' per item (parts without names vanish);
-    list names keep the order written in the item's lists."""
-    j = with_id_lists(with_line_ids(items)).join(products, "pizza_id")
-    keys = [*ITEM_KEYS, "pizza_name"]
+    list names keep the order written in the item's lists.  Built once per
+    distinct (product, exclusions, extras)."""
+    lc = line_counts(items)
+    j = _combos(lc).join(products, "pizza_id")
+    keys = [*COMBO, "pizza_name"]
     tagged = F.concat(
         F.transform("exclusion_ids", lambda x, i: F.struct(F.lit(0).alias("kind"), i.alias("pos"), x.alias("topping_id"))),
         F.transform("extra_ids", lambda x, i: F.struct(F.lit(1).alias("kind"), i.alias("pos"), x.alias("topping_id"))))
@@ -144,7 +185,8 @@ def item_label(items: DataFrame, toppings: DataFrame, products: DataFrame) -> Da
         names = F.transform(F.filter("xs", lambda x: x["kind"] == kind), lambda x: x["topping_name"])
         return F.when(F.size(names) > 0, F.concat(F.lit(word + " "), F.array_join(names, ", ")))
 
-    return agg.select(*ITEM_KEYS, F.concat_ws(" - ", "pizza_name", part(0, "Exclude"), part(1, "Extra")).alias("label"))
+    per_combo = agg.select(*COMBO, F.concat_ws(" - ", "pizza_name", part(0, "Exclude"), part(1, "Extra")).alias("label"))
+    return _per_item(lc, per_combo, "label").drop("customer_id", "order_time")
 
 
 def ingredient_usage(items: DataFrame, recipes: DataFrame, toppings: DataFrame,

@@ -87,3 +87,18 @@ def test_usage_is_additive_over_identical_items(spark, pizza):
     once = dict(rows(LS.ingredient_usage(items, pizza["recipes"], pizza["toppings"])))
     twice = dict(rows(LS.ingredient_usage(items.unionByName(items), pizza["recipes"], pizza["toppings"])))
     assert twice == {k: 2 * v for k, v in once.items()}
+
+
+def test_line_ids_chunked_expansion(spark):
+    """Many identical items in one order: numbered 1..n without gaps, also when
+    the copies are generated in several chunks."""
+    from pyspark.sql import functions as F
+    items = spark.range(0, 23).select(
+        F.lit(7).cast("bigint").alias("order_id"), F.lit(1).cast("bigint").alias("customer_id"),
+        F.lit(3).cast("bigint").alias("pizza_id"),
+        F.when(F.col("id") < 20, F.lit("")).otherwise(F.lit("2")).alias("exclusions"),
+        F.lit("").alias("extras"), F.lit("2021-01-01 00:00:00").cast("timestamp_ntz").alias("order_time"))
+    lc = LS.line_counts(items)
+    assert sorted(r["line_no"] for r in LS.expand_lines(lc, chunk=3).collect()) == list(range(1, 24))
+    got = rows(LS.expand_lines(lc, chunk=3), "exclusions", "line_no")
+    assert got[:2] == [("", 1), ("", 2)] and got[-1] == ("2", 23)

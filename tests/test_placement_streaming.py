@@ -49,3 +49,24 @@ def test_live_month_peaks(spark, ledger):
     assert got == [(1, d("2020-01-31"), 100, 70), (1, d("2020-03-31"), 70, -25),
                    (2, d("2020-02-29"), 50, 50), (2, d("2020-03-31"), 50, 30),
                    (3, d("2020-01-31"), 10, 10), (3, d("2020-02-29"), 11, 11)]
+
+
+def test_month_peaks_state_carries_across_batches(spark, ledger):
+    """Customer 1's January arrives in the first micro-batch, March in the
+    second: the carried balance (70) must be the March peak."""
+    import time
+    import uuid
+    from tallyline.session import ensure_checkpoint_dir
+    src = f"{ensure_checkpoint_dir(spark)}/carry-{uuid.uuid4().hex}"
+    cols = ["customer_id", "txn_id", "txn_date", "txn_type", "txn_amount"]
+    ledger.filter("txn_date < '2020-02-01'").select(*cols).coalesce(1).write.parquet(src)
+    time.sleep(1.1)     # the file source orders files by modification time
+    ledger.filter("txn_date >= '2020-02-01'").select(*cols).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(LB.TXN_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+    got = rows(LB.run_to_table(spark, LB.live_month_peaks(stream), ["customer_id", "month"], "carry"),
+               "customer_id", "month", "peak", "balance")
+    assert (1, d("2020-03-31"), 70, -25) in got and (3, d("2020-02-29"), 11, 11) in got
+    bal = rows(LB.run_to_table(spark, LB.live_balance(
+        spark.readStream.schema(LB.TXN_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)), ["customer_id"], "carry2"),
+        "customer_id", "balance")
+    assert bal == [(1, -25), (2, 30), (3, 11)]
