@@ -47,12 +47,31 @@ def reallocation_gaps(nodes: DataFrame) -> DataFrame:
 
 
 def stint_gaps(nodes: DataFrame) -> DataFrame:
-    """Per-stint reading: days from each stint's start to the customer's next
-    stint start on a different node (consecutive stints on one node merge)."""
-    w = Window.partitionBy("customer_id").orderBy("start_date", "stint_id")
-    s = nodes.withColumn("prev_node", F.lag("node_id").over(w))
-    starts = s.filter(F.col("prev_node").isNull() | (F.col("prev_node") != F.col("node_id")))
-    return starts.withColumn("moving_days", F.datediff(F.lead("start_date").over(w), F.col("start_date")))
+    """Per-stint reading: days from the start of each run of consecutive
+    stints on one node to the start of the customer's next run (stints are
+    ordered by (start_date, stint_id)).
+
+    Computed in two levels so that no window holds a whole customer: windows
+    keyed by (customer, day) order the stints of one day, and windows keyed
+    by customer run over one row per active day.
+    """
+    key_day = ["customer_id", "start_date"]
+    in_day = Window.partitionBy(*key_day).orderBy("stint_id")
+    s = nodes.withColumn("prev_in_day", F.lag("node_id").over(in_day))
+    days = nodes.groupBy(*key_day).agg(F.max_by("node_id", "stint_id").alias("last_node"))
+    by_day = Window.partitionBy("customer_id").orderBy("start_date")
+    days = days.select(*key_day, F.lag("last_node").over(by_day).alias("prev_day_last"))
+    s = s.join(days, key_day)
+    starts_run = F.when(F.col("prev_in_day").isNull(),
+                        F.col("prev_day_last").isNull() | (F.col("prev_day_last") != F.col("node_id"))) \
+                  .otherwise(F.col("prev_in_day") != F.col("node_id"))
+    starts = s.filter(starts_run)
+    starts = starts.withColumn("later_in_day", F.lead("stint_id").over(in_day))
+    run_days = starts.select(*key_day).distinct()
+    run_days = run_days.select(*key_day, F.lead("start_date").over(by_day).alias("next_day"))
+    j = starts.join(run_days, key_day)
+    gap = F.when(F.col("later_in_day").isNotNull(), F.lit(0)).otherwise(F.datediff("next_day", "start_date"))
+    return j.withColumn("moving_days", gap)
 
 
 def realloc_avg(nodes: DataFrame, per_stint: bool = False) -> DataFrame:
