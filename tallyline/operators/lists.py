@@ -161,7 +161,9 @@ def ingredient_list(items: DataFrame, recipes: DataFrame, toppings: DataFrame, p
         agg = named.groupBy(*keys).agg(F.array_sort(F.collect_list(
             F.when(F.col("topping_name").isNotNull(), F.struct("topping_name", "label")))).alias("xs"))
     listed = F.array_join(F.transform("xs", lambda x: x["label"]), ", ")
-    per_combo = agg.select(*COMBO, F.concat(F.col("pizza_name"), F.lit(": "), listed).alias("ingredients_list"))
+    # CONCAT semantics of the original: a missing name leaves just the list
+    named_list = F.concat_ws("", F.concat(F.col("pizza_name"), F.lit(": ")), listed)
+    per_combo = agg.select(*COMBO, named_list.alias("ingredients_list"))
     return _per_item(lc, per_combo, "ingredients_list")
 
 
