@@ -88,8 +88,10 @@ def split_tokens(col: str | Column, sep: str = ",") -> Column:
 def parse_id_list(col: str | Column, sep: str = ",") -> Column:
     """ARRAY<INT> of the ids in a separated list; blanks and non-numbers dropped,
     NULL / '' give an empty array."""
-    ids = F.transform(F.split(F.coalesce(_c(col), F.lit("")), sep), to_int)
-    return F.filter(ids, lambda x: x.isNotNull())
+    c = _c(col)
+    ids = F.filter(F.transform(F.split(c, sep), to_int), lambda x: x.isNotNull())
+    # a text without a digit holds no id: skip the (interpreted) lambdas for it
+    return F.when(c.rlike("[0-9]"), ids).otherwise(F.array().cast("array<int>"))
 
 
 def signed_amount(txn_type: str | Column, amount: str | Column,
