@@ -83,10 +83,18 @@ PCT_NAMES = {0.5: "median", 0.8: "percentile_80", 0.95: "percentile_95"}
 
 
 def realloc_percentiles(nodes: DataFrame, regions: DataFrame,
-                        ps: Sequence[float] = (0.5, 0.8, 0.95)) -> DataFrame:
-    """Exact, linearly interpolated percentiles of the gap per region."""
+                        ps: Sequence[float] = (0.5, 0.8, 0.95), exact: bool = True,
+                        accuracy: int = 10000) -> DataFrame:
+    """Percentiles of the gap per region: exact and linearly interpolated
+    (PERCENTILE_CONT), or with ``exact=False`` the bounded-memory
+    ``approx_percentile`` (returns an observed value, no interpolation)."""
     gaps = reallocation_gaps(nodes).filter(F.col("moving_days").isNotNull())
-    per = gaps.groupBy("region_id").agg(
-        *[F.percentile(F.col("moving_days"), F.lit(p)).alias(PCT_NAMES.get(p, f"p{int(p * 100)}")) for p in ps])
+
+    def pct(p: float):
+        if exact:
+            return F.percentile(F.col("moving_days"), F.lit(p))
+        return F.approx_percentile(F.col("moving_days"), p, accuracy).cast("double")
+
+    per = gaps.groupBy("region_id").agg(*[pct(p).alias(PCT_NAMES.get(p, f"p{int(p * 100)}")) for p in ps])
     cols = [PCT_NAMES.get(p, f"p{int(p * 100)}") for p in ps]
     return per.join(regions, "region_id").select("region_id", "region_name", *cols).orderBy("region_id")

@@ -70,3 +70,9 @@ def test_month_peaks_state_carries_across_batches(spark, ledger):
         spark.readStream.schema(LB.TXN_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)), ["customer_id"], "carry2"),
         "customer_id", "balance")
     assert bal == [(1, -25), (2, 30), (3, 11)]
+
+
+def test_approx_percentiles_return_observed_values(nodes, regions):
+    got = rows(PL.realloc_percentiles(nodes, regions, exact=False))
+    assert got[1] == (2, "South", 30.0, 30.0, 30.0)
+    assert all(v in (4.0, 10.0, 21.0) for v in got[0][2:])
