@@ -203,7 +203,7 @@ def avg_distance(items: DataFrame, deliveries: DataFrame, per: str = "item") ->
     hundredths = F.round(F.col("distance") * 100).cast("bigint")
     s = F.sum(hundredths * F.col("n"))
     n = F.sum(F.when(F.col("distance").isNotNull(), F.col("n")))
-    tenths = F.floor((2 * s + 10 * n) / (20 * n))
+    tenths = F.signum(s) * F.floor((2 * F.abs(s) + 10 * n) / (20 * n))   # half away from zero
     return j.groupBy("customer_id").agg((tenths / F.lit(10.0)).alias("average_distance"))
 
 
@@ -212,14 +212,15 @@ def duration_spread(deliveries: DataFrame) -> DataFrame:
 
 
 def speed_kmh(distance: str = "distance", duration: str = "duration") -> Column:
-    """km/h = distance / minutes * 60, rounded half-up to 0.1; NULL for a zero
-    or missing duration.  Rounded exactly from integer hundredths of a km,
+    """km/h = distance / minutes * 60, rounded half away from zero to 0.1;
+    NULL for a zero or missing duration.  Rounded exactly from integer hundredths of a km,
     since e.g. 8.1 km in 40 min is exactly 12.15 km/h and a float quotient
     lands on either side of the half."""
     d100 = F.round(F.col(distance) * 100).cast("bigint")
     t = F.col(duration).cast("bigint")
-    tenths = F.floor((12 * d100 + t) / (2 * t))
-    return F.when(t > 0, tenths / F.lit(10.0))
+    # 10 * km/h = 6 * d100 / t, rounded half away from zero
+    tenths = F.signum(d100 * t) * F.floor((12 * F.abs(d100) + F.abs(t)) / (2 * F.abs(t)))
+    return F.when(t != 0, tenths / F.lit(10.0))
 
 
 def speed(items: DataFrame, deliveries: DataFrame) -> DataFrame:

@@ -82,14 +82,17 @@ def live_month_peaks(stream: DataFrame) -> DataFrame:
 
 
 def run_to_table(spark: SparkSession, stream_df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Run ``stream_df`` until its source is drained (availableNow), append
-    every micro-batch's updated rows with their batch id under the checkpoint
-    folder, and return the latest version of each key."""
+    """Run ``stream_df`` until its source is drained (availableNow), write
+    every micro-batch's updated rows to its own ``batch_id=N`` folder under the
+    checkpoint folder (idempotent on retry), and return the latest version of
+    each key."""
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     sink = f"{base}/sink"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink)
+        # one folder per micro-batch, overwritten on a retry: a batch replayed
+        # after a failure replaces its own output instead of appending twice
+        batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     q = (stream_df.writeStream.outputMode("update").foreachBatch(write)
          .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())

@@ -65,6 +65,8 @@ def test_running_balance_matches_single_window(spark):
     w = Window.partitionBy("customer_id").orderBy("txn_date", "txn_id").rowsBetween(Window.unboundedPreceding, 0)
     brute = df.select("txn_id", F.sum(L.signed(df)).over(w).alias("rb"))
     assert rows(L.running_balance(df), "txn_id", "running_balance") == rows(brute, "txn_id", "rb")
+    # tiny blocks: many blocks per customer-day
+    assert rows(L.running_balance(df, chunk=7), "txn_id", "running_balance") == rows(brute, "txn_id", "rb")
 
 
 def test_growth(ledger):
