@@ -46,31 +46,35 @@ def reallocation_gaps(nodes: DataFrame) -> DataFrame:
     return first.withColumn("moving_days", F.datediff(F.lead("first_date").over(w), F.col("first_date")))
 
 
-def stint_gaps(nodes: DataFrame) -> DataFrame:
+STINT_CHUNK = 1_000_000
+
+
+def stint_gaps(nodes: DataFrame, chunk: int = STINT_CHUNK) -> DataFrame:
     """Per-stint reading: days from the start of each run of consecutive
     stints on one node to the start of the customer's next run (stints are
     ordered by (start_date, stint_id)).
 
-    Computed in two levels so that no window holds a whole customer: windows
-    keyed by (customer, day) order the stints of one day, and windows keyed
-    by customer run over one row per active day.
+    Computed in two levels so that no window holds a whole customer: stints
+    fall into ordered *blocks* (customer, day, stint_id div ``chunk``);
+    windows keyed by a block order its stints, and windows keyed by customer
+    run over one row per block (about one per active day).
     """
-    key_day = ["customer_id", "start_date"]
-    in_day = Window.partitionBy(*key_day).orderBy("stint_id")
-    s = nodes.withColumn("prev_in_day", F.lag("node_id").over(in_day))
-    days = nodes.groupBy(*key_day).agg(F.max_by("node_id", "stint_id").alias("last_node"))
-    by_day = Window.partitionBy("customer_id").orderBy("start_date")
-    days = days.select(*key_day, F.lag("last_node").over(by_day).alias("prev_day_last"))
-    s = s.join(days, key_day)
-    starts_run = F.when(F.col("prev_in_day").isNull(),
-                        F.col("prev_day_last").isNull() | (F.col("prev_day_last") != F.col("node_id"))) \
-                  .otherwise(F.col("prev_in_day") != F.col("node_id"))
-    starts = s.filter(starts_run)
-    starts = starts.withColumn("later_in_day", F.lead("stint_id").over(in_day))
-    run_days = starts.select(*key_day).distinct()
-    run_days = run_days.select(*key_day, F.lead("start_date").over(by_day).alias("next_day"))
-    j = starts.join(run_days, key_day)
-    gap = F.when(F.col("later_in_day").isNotNull(), F.lit(0)).otherwise(F.datediff("next_day", "start_date"))
+    n = nodes.withColumn("block", F.floor(F.col("stint_id") / F.lit(chunk)).cast("bigint"))
+    blk = ["customer_id", "start_date", "block"]
+    in_blk = Window.partitionBy(*blk).orderBy("stint_id")
+    s = n.withColumn("prev_in_block", F.lag("node_id").over(in_blk))
+    blocks = n.groupBy(*blk).agg(F.max_by("node_id", "stint_id").alias("last_node"))
+    by_blk = Window.partitionBy("customer_id").orderBy("start_date", "block")
+    blocks = blocks.select(*blk, F.lag("last_node").over(by_blk).alias("prev_block_last"))
+    s = s.join(blocks, blk)
+    starts_run = F.when(F.col("prev_in_block").isNull(),
+                        F.col("prev_block_last").isNull() | (F.col("prev_block_last") != F.col("node_id"))) \
+                  .otherwise(F.col("prev_in_block") != F.col("node_id"))
+    starts = s.filter(starts_run).withColumn("later_in_block", F.lead("stint_id").over(in_blk))
+    run_blocks = starts.select(*blk).distinct()
+    run_blocks = run_blocks.select(*blk, F.lead("start_date").over(by_blk).alias("next_date"))
+    j = starts.join(run_blocks, blk)
+    gap = F.when(F.col("later_in_block").isNotNull(), F.lit(0)).otherwise(F.datediff("next_date", "start_date"))
     return j.withColumn("moving_days", gap)
 
 

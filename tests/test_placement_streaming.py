@@ -76,3 +76,22 @@ def test_approx_percentiles_return_observed_values(nodes, regions):
     got = rows(PL.realloc_percentiles(nodes, regions, exact=False))
     assert got[1] == (2, "South", 30.0, 30.0, 30.0)
     assert all(v in (4.0, 10.0, 21.0) for v in got[0][2:])
+
+
+def test_stint_gaps_blocks_match_plain_window(spark):
+    """Block-split per-stint gaps equal a single window over each customer,
+    with many stints on the same day and tiny blocks."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    df = spark.range(0, 400).select(
+        (F.col("id") % 3).alias("customer_id"), F.lit(1).alias("region_id"),
+        F.when(F.col("id") % 7 < 3, "A").when(F.col("id") % 7 < 5, "B").otherwise("C").alias("node_id"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") / 25).cast("int")).alias("start_date"),
+        F.col("id").alias("stint_id"))
+    w = Window.partitionBy("customer_id").orderBy("start_date", "stint_id")
+    s = df.withColumn("prev", F.lag("node_id").over(w))
+    st = s.filter(F.col("prev").isNull() | (F.col("prev") != F.col("node_id")))
+    brute = st.select("stint_id", F.datediff(F.lead("start_date").over(w), F.col("start_date")).alias("g"))
+    for chunk in (1_000_000, 4):
+        got = PL.stint_gaps(df, chunk=chunk).select("stint_id", "moving_days")
+        assert rows(got) == rows(brute)
