@@ -37,17 +37,18 @@ def live_balance(stream: DataFrame) -> DataFrame:
         F.max("txn_date").alias("as_of"))
 
 
-PEAK_SCHEMA = "customer_id bigint, month date, peak bigint, balance bigint"
-_STATE_SCHEMA = "balance bigint, month int, peak bigint"
+_OUT_SCHEMA = "customer_id bigint, month_idx bigint, peak bigint, balance bigint"
+_STATE_SCHEMA = "balance bigint, month bigint, peak bigint"
 
 
 def _peaks(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """Per customer: apply the batch's transactions in (day, txn_id) order to
     the carried state and emit (month, peak, balance) for every month touched.
-    Vectorised with numpy; the signed amount and month index are computed in
-    the JVM before the rows reach Python."""
+    Plain numpy on int columns: the signed amount and the month index are
+    computed in the JVM before, and the month date after, this function."""
     (cust,) = key
-    pdf = pd.concat(list(pdfs), ignore_index=True)
+    parts = list(pdfs)
+    pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
     if state.exists:
         balance, month, peak = state.get
     else:
@@ -65,9 +66,7 @@ def _peaks(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.
     ends = np.r_[starts[1:] - 1, len(run) - 1]
     months = mon[starts]
     state.update((int(run[-1]), int(months[-1]), int(peaks[-1])))
-    first_days = pd.to_datetime({"year": months // 12, "month": months % 12 + 1, "day": 1})
-    yield pd.DataFrame({"customer_id": cust,
-                        "month": (first_days + pd.offsets.MonthEnd(0)).dt.date,
+    yield pd.DataFrame({"customer_id": np.full(len(starts), cust, dtype=np.int64), "month_idx": months,
                         "peak": peaks, "balance": run[ends]})
 
 
@@ -77,8 +76,11 @@ def live_month_peaks(stream: DataFrame) -> DataFrame:
         F.datediff("txn_date", F.lit("1970-01-01").cast("date")).alias("day"),
         (F.year("txn_date") * 12 + F.month("txn_date") - 1).cast("bigint").alias("month_idx"),
         C.signed_amount("txn_type", "txn_amount").cast("bigint").alias("signed"))
-    return prepared.groupBy("customer_id").applyInPandasWithState(
-        _peaks, PEAK_SCHEMA, _STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+    out = prepared.groupBy("customer_id").applyInPandasWithState(
+        _peaks, _OUT_SCHEMA, _STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+    month = F.last_day(F.make_date((F.col("month_idx") / 12).cast("int"), (F.col("month_idx") % 12 + 1).cast("int"),
+                                   F.lit(1)))
+    return out.select("customer_id", month.alias("month"), "peak", "balance")
 
 
 def run_to_table(spark: SparkSession, stream_df: DataFrame, keys: list[str], name: str) -> DataFrame:
