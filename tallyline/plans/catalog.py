@@ -8,6 +8,7 @@ from the question it answers; the plain name follows the question.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,11 +33,28 @@ NEW_PRODUCT = "Supreme"
 RATE_PER_KM = 0.3
 
 
+@dataclass(frozen=True)
+class Params:
+    product_names: tuple[str, ...] = tuple(PRODUCT_NAMES)
+    prices: dict = field(default_factory=lambda: dict(PRICES))
+    default_price: int = DEFAULT_PRICE
+    surcharges: dict = field(default_factory=lambda: dict(SURCHARGES))
+    surcharge_default: int = SURCHARGE_DEFAULT
+    week_anchor: str = WEEK_ANCHOR
+    new_product: str = NEW_PRODUCT
+    rate_per_km: float = RATE_PER_KM
+
+
+TEST_PARAMS = Params()
+
+
 class Ctx:
     """Per-query access to the derived business tables."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, params: Params = TEST_PARAMS):
         self.t = Tables(spark, sf_dir)
+        self.spark = spark
+        self.p = params
 
     @property
     def items(self) -> DataFrame:
@@ -83,92 +101,96 @@ def q(fn: Callable[[Ctx], DataFrame]) -> Callable[[SparkSession, str], DataFrame
     return run
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     # ---- cleaning
-    "clean_orders": q(lambda c: c.items),
-    "clean_deliveries": q(lambda c: c.deliveries),
+    "clean_orders": (lambda c: c.items),
+    "clean_deliveries": (lambda c: c.deliveries),
     # ---- counts
-    "items_ordered": q(lambda c: O.items_ordered(c.items)),
-    "distinct_customers": q(lambda c: O.distinct_customers(c.items)),
-    "distinct_orders": q(lambda c: O.distinct_orders(c.items)),
-    "successful_orders": q(lambda c: O.orders_per_courier(c.deliveries, True)),
-    "orders_per_courier": q(lambda c: O.orders_per_courier(c.deliveries, False)),
-    "product_mix": q(lambda c: O.product_mix(c.items, c.products, PRODUCT_NAMES)),
-    "max_items_per_order": q(lambda c: O.max_items_per_order(c.items, c.deliveries)),
-    "max_items_per_order_as_written": q(lambda c: O.max_items_per_order(c.items)),
-    "change_split": q(lambda c: O.change_split(c.items, c.deliveries)),
-    "change_split_as_written": q(lambda c: O.change_split(c.items, c.deliveries, as_written=True)),
-    "both_changes": q(lambda c: O.both_changes(c.items, c.deliveries)),
-    "delivered_by_type": q(lambda c: O.delivered_by_type(c.items, c.deliveries, c.products)),
+    "items_ordered": (lambda c: O.items_ordered(c.items)),
+    "distinct_customers": (lambda c: O.distinct_customers(c.items)),
+    "distinct_orders": (lambda c: O.distinct_orders(c.items)),
+    "successful_orders": (lambda c: O.orders_per_courier(c.deliveries, True)),
+    "orders_per_courier": (lambda c: O.orders_per_courier(c.deliveries, False)),
+    "product_mix": (lambda c: O.product_mix(c.items, c.products, c.p.product_names)),
+    "max_items_per_order": (lambda c: O.max_items_per_order(c.items, c.deliveries)),
+    "max_items_per_order_as_written": (lambda c: O.max_items_per_order(c.items)),
+    "change_split": (lambda c: O.change_split(c.items, c.deliveries)),
+    "change_split_as_written": (lambda c: O.change_split(c.items, c.deliveries, as_written=True)),
+    "both_changes": (lambda c: O.both_changes(c.items, c.deliveries)),
+    "delivered_by_type": (lambda c: O.delivered_by_type(c.items, c.deliveries, c.products)),
     # ---- time profiles
-    "by_hour": q(lambda c: O.by_hour(c.items)),
-    "by_weekday": q(lambda c: O.by_weekday(c.items)),
-    "by_week_us": q(lambda c: O.by_week(c.runners)),
-    "by_week_anchor": q(lambda c: O.by_week(c.runners, WEEK_ANCHOR)),
+    "by_hour": (lambda c: O.by_hour(c.items)),
+    "by_weekday": (lambda c: O.by_weekday(c.items)),
+    "by_week_us": (lambda c: O.by_week(c.runners)),
+    "by_week_anchor": (lambda c: O.by_week(c.runners, c.p.week_anchor)),
     # ---- timings, distances, speeds
-    "pickup_minutes": q(lambda c: O.pickup_minutes(c.items, c.deliveries)),
-    "prep_by_size": q(lambda c: O.prep_by_size(c.items, c.deliveries)),
-    "prep_correlation": q(lambda c: O.prep_correlation(c.items, c.deliveries)),
-    "avg_distance": q(lambda c: O.avg_distance(c.items, c.deliveries, per="item")),
-    "avg_distance_per_order": q(lambda c: O.avg_distance(c.items, c.deliveries, per="order")),
-    "duration_spread": q(lambda c: O.duration_spread(c.deliveries)),
-    "speed": q(lambda c: O.speed(c.items, c.deliveries)),
-    "success_pct": q(lambda c: O.success_pct(c.deliveries)),
-    "success_pct_as_written": q(lambda c: O.success_pct(c.deliveries, as_written=True)),
+    "pickup_minutes": (lambda c: O.pickup_minutes(c.items, c.deliveries)),
+    "prep_by_size": (lambda c: O.prep_by_size(c.items, c.deliveries)),
+    "prep_correlation": (lambda c: O.prep_correlation(c.items, c.deliveries)),
+    "avg_distance": (lambda c: O.avg_distance(c.items, c.deliveries, per="item")),
+    "avg_distance_per_order": (lambda c: O.avg_distance(c.items, c.deliveries, per="order")),
+    "duration_spread": (lambda c: O.duration_spread(c.deliveries)),
+    "speed": (lambda c: O.speed(c.items, c.deliveries)),
+    "success_pct": (lambda c: O.success_pct(c.deliveries)),
+    "success_pct_as_written": (lambda c: O.success_pct(c.deliveries, as_written=True)),
     # ---- lists
-    "line_ids": q(lambda c: LS.with_line_ids(c.items)),
-    "recipe_rows": q(lambda c: LS.explode_recipe(c.recipes, c.toppings)),
-    "extra_rows": q(lambda c: LS.explode_ids(c.items, "extras", "extra_id")),
-    "exclusion_rows": q(lambda c: LS.explode_ids(c.items, "exclusions", "exclusion_id")),
-    "recipe_list": q(lambda c: LS.recipe_list(c.recipes, c.toppings)),
-    "extra_rank": q(lambda c: LS.token_rank(c.items, "extras", c.toppings, "extra_count")),
-    "exclusion_rank": q(lambda c: LS.token_rank(c.items, "exclusions", c.toppings, "exclusion_count")),
-    "top_extra": q(lambda c: LS.token_rank(c.items, "extras", c.toppings, "extra_count", top=1)),
-    "top_exclusion": q(lambda c: LS.token_rank(c.items, "exclusions", c.toppings, "exclusion_count", top=1)),
-    "item_label": q(lambda c: LS.item_label(c.items, c.toppings, c.products)),
-    "ingredient_list": q(lambda c: LS.ingredient_list(c.items, c.recipes, c.toppings, c.products)),
-    "ingredient_list_as_written": q(lambda c: LS.ingredient_list(c.items, c.recipes, c.toppings, c.products,
+    "line_ids": (lambda c: LS.with_line_ids(c.items)),
+    "recipe_rows": (lambda c: LS.explode_recipe(c.recipes, c.toppings)),
+    "extra_rows": (lambda c: LS.explode_ids(c.items, "extras", "extra_id")),
+    "exclusion_rows": (lambda c: LS.explode_ids(c.items, "exclusions", "exclusion_id")),
+    "recipe_list": (lambda c: LS.recipe_list(c.recipes, c.toppings)),
+    "extra_rank": (lambda c: LS.token_rank(c.items, "extras", c.toppings, "extra_count")),
+    "exclusion_rank": (lambda c: LS.token_rank(c.items, "exclusions", c.toppings, "exclusion_count")),
+    "top_extra": (lambda c: LS.token_rank(c.items, "extras", c.toppings, "extra_count", top=1)),
+    "top_exclusion": (lambda c: LS.token_rank(c.items, "exclusions", c.toppings, "exclusion_count", top=1)),
+    "item_label": (lambda c: LS.item_label(c.items, c.toppings, c.products)),
+    "ingredient_list": (lambda c: LS.ingredient_list(c.items, c.recipes, c.toppings, c.products)),
+    "ingredient_list_as_written": (lambda c: LS.ingredient_list(c.items, c.recipes, c.toppings, c.products,
                                                                  as_written=True)),
-    "ingredient_usage": q(lambda c: LS.ingredient_usage(c.items, c.recipes, c.toppings, c.deliveries)),
-    "ingredient_usage_as_written": q(lambda c: LS.ingredient_usage(c.items, c.recipes, c.toppings,
+    "ingredient_usage": (lambda c: LS.ingredient_usage(c.items, c.recipes, c.toppings, c.deliveries)),
+    "ingredient_usage_as_written": (lambda c: LS.ingredient_usage(c.items, c.recipes, c.toppings,
                                                                    as_written=True)),
     # ---- pricing and ratings
-    "revenue": q(lambda c: PR.revenue(c.items, c.deliveries, c.products, PRICES, DEFAULT_PRICE)),
-    "revenue_with_extras": q(lambda c: PR.revenue_with_extras(
-        c.items, c.deliveries, c.products, c.toppings, PRICES, DEFAULT_PRICE, SURCHARGES, SURCHARGE_DEFAULT)),
-    "revenue_with_extras_as_written": q(lambda c: PR.revenue_with_extras(
-        c.items, c.deliveries, c.products, c.toppings, PRICES, DEFAULT_PRICE, SURCHARGES, SURCHARGE_DEFAULT,
-        as_written=True)),
-    "ratings": q(lambda c: PR.ratings(c.items, c.deliveries)),
-    "delivery_fact": q(lambda c: PR.delivery_fact(c.items, c.deliveries, PR.ratings(c.items, c.deliveries))),
-    "net_after_pay": q(lambda c: PR.net_after_pay(c.items, c.deliveries, c.products, PRICES, DEFAULT_PRICE,
-                                                  RATE_PER_KM)),
-    "append_product": q(lambda c: PR.append_product(c.products, c.recipes, c.toppings, NEW_PRODUCT)),
+    "revenue": (lambda c: PR.revenue(c.items, c.deliveries, c.products, c.p.prices, c.p.default_price)),
+    "revenue_with_extras": (lambda c: PR.revenue_with_extras(
+        c.items, c.deliveries, c.products, c.toppings, c.p.prices, c.p.default_price, c.p.surcharges,
+        c.p.surcharge_default)),
+    "revenue_with_extras_as_written": (lambda c: PR.revenue_with_extras(
+        c.items, c.deliveries, c.products, c.toppings, c.p.prices, c.p.default_price, c.p.surcharges,
+        c.p.surcharge_default, as_written=True)),
+    "ratings": (lambda c: PR.ratings(c.items, c.deliveries)),
+    "delivery_fact": (lambda c: PR.delivery_fact(c.items, c.deliveries, PR.ratings(c.items, c.deliveries))),
+    "net_after_pay": (lambda c: PR.net_after_pay(c.items, c.deliveries, c.products, c.p.prices,
+                                                  c.p.default_price, c.p.rate_per_km)),
+    "append_product": (lambda c: PR.append_product(c.products, c.recipes, c.toppings, c.p.new_product)),
     # ---- node placements
-    "distinct_nodes": q(lambda c: PL.distinct_nodes(c.nodes)),
-    "nodes_per_region": q(lambda c: PL.nodes_per_region(c.nodes, c.regions)),
-    "nodes_per_region_as_written": q(lambda c: PL.nodes_per_region(c.nodes, c.regions, distinct=False)),
-    "customers_per_region": q(lambda c: PL.customers_per_region(c.nodes, c.regions)),
-    "realloc_avg": q(lambda c: PL.realloc_avg(c.nodes)),
-    "realloc_avg_per_stint": q(lambda c: PL.realloc_avg(c.nodes, per_stint=True)),
-    "realloc_percentiles": q(lambda c: PL.realloc_percentiles(c.nodes, c.regions)),
+    "distinct_nodes": (lambda c: PL.distinct_nodes(c.nodes)),
+    "nodes_per_region": (lambda c: PL.nodes_per_region(c.nodes, c.regions)),
+    "nodes_per_region_as_written": (lambda c: PL.nodes_per_region(c.nodes, c.regions, distinct=False)),
+    "customers_per_region": (lambda c: PL.customers_per_region(c.nodes, c.regions)),
+    "realloc_avg": (lambda c: PL.realloc_avg(c.nodes)),
+    "realloc_avg_per_stint": (lambda c: PL.realloc_avg(c.nodes, per_stint=True)),
+    "realloc_percentiles": (lambda c: PL.realloc_percentiles(c.nodes, c.regions)),
     # ---- ledger
-    "txn_summary": q(lambda c: L.txn_summary(c.txns)),
-    "deposit_averages": q(lambda c: L.deposit_averages(c.txns)),
-    "active_customers": q(lambda c: L.active_customers(c.txns)),
-    "active_customers_as_written": q(lambda c: L.active_customers(c.txns, as_written=True)),
-    "closing_balance": q(lambda c: L.closing_balance(c.txns)),
-    "growth_pct": q(lambda c: L.growth_pct(c.txns)),
-    "growth_pct_abs": q(lambda c: L.growth_pct(c.txns, use_abs=True)),
-    "running_balance": q(lambda c: L.running_balance(c.txns)),
-    "balance_stats": q(lambda c: L.balance_stats(c.txns)),
+    "txn_summary": (lambda c: L.txn_summary(c.txns)),
+    "deposit_averages": (lambda c: L.deposit_averages(c.txns)),
+    "active_customers": (lambda c: L.active_customers(c.txns)),
+    "active_customers_as_written": (lambda c: L.active_customers(c.txns, as_written=True)),
+    "closing_balance": (lambda c: L.closing_balance(c.txns)),
+    "growth_pct": (lambda c: L.growth_pct(c.txns)),
+    "growth_pct_abs": (lambda c: L.growth_pct(c.txns, use_abs=True)),
+    "running_balance": (lambda c: L.running_balance(c.txns)),
+    "balance_stats": (lambda c: L.balance_stats(c.txns)),
     # ---- allocation and interest
-    "alloc_month_end": q(lambda c: AL.alloc_month_end(c.txns)),
-    "alloc_trailing30": q(lambda c: AL.alloc_trailing30(c.txns)),
-    "alloc_realtime": q(lambda c: AL.alloc_realtime(c.txns)),
-    "interest_simple": q(lambda c: AL.interest_simple(c.txns)),
-    "interest_compound": q(lambda c: AL.interest_compound(c.txns)),
+    "alloc_month_end": (lambda c: AL.alloc_month_end(c.txns)),
+    "alloc_trailing30": (lambda c: AL.alloc_trailing30(c.txns)),
+    "alloc_realtime": (lambda c: AL.alloc_realtime(c.txns)),
+    "interest_simple": (lambda c: AL.interest_simple(c.txns)),
+    "interest_compound": (lambda c: AL.interest_compound(c.txns)),
     # ---- streaming (replayed from a file source with an availableNow trigger)
-    "live_balance": q(lambda c: LB.replay_live_balance(c.t.spark, c.txns)),
-    "live_month_peaks": q(lambda c: LB.replay_month_peaks(c.t.spark, c.txns)),
+    "live_balance": (lambda c: LB.replay_live_balance(c.spark, c.txns)),
+    "live_month_peaks": (lambda c: LB.replay_month_peaks(c.spark, c.txns)),
 }
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {n: q(fn) for n, fn in BUILDERS.items()}
