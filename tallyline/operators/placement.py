@@ -59,20 +59,25 @@ def stint_gaps(nodes: DataFrame, chunk: int = STINT_CHUNK) -> DataFrame:
     windows keyed by a block order its stints, and windows keyed by customer
     run over one row per block (about one per active day).
     """
-    n = nodes.withColumn("block", F.floor(F.col("stint_id") / F.lit(chunk)).cast("bigint"))
+    n = nodes.select("customer_id", "node_id", "start_date", "stint_id",
+                     F.floor(F.col("stint_id") / F.lit(chunk)).cast("bigint").alias("block"))
     blk = ["customer_id", "start_date", "block"]
     in_blk = Window.partitionBy(*blk).orderBy("stint_id")
-    s = n.withColumn("prev_in_block", F.lag("node_id").over(in_blk))
-    blocks = n.groupBy(*blk).agg(F.max_by("node_id", "stint_id").alias("last_node"))
+    whole_blk = in_blk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # one pass over the stints: previous node inside the block, last node of the block
+    # (max_by, not last(): deterministic expressions let Spark reuse the shared exchange)
+    s = n.select("*", F.lag("node_id").over(in_blk).alias("prev_in_block"),
+                 F.max_by("node_id", "stint_id").over(whole_blk).alias("block_last"))
     by_blk = Window.partitionBy("customer_id").orderBy("start_date", "block")
-    blocks = blocks.select(*blk, F.lag("last_node").over(by_blk).alias("prev_block_last"))
+    blocks = s.groupBy(*blk).agg(F.max("block_last").alias("block_last")) \
+              .select(*blk, F.lag("block_last").over(by_blk).alias("prev_block_last"))
     s = s.join(blocks, blk)
     starts_run = F.when(F.col("prev_in_block").isNull(),
                         F.col("prev_block_last").isNull() | (F.col("prev_block_last") != F.col("node_id"))) \
                   .otherwise(F.col("prev_in_block") != F.col("node_id"))
     starts = s.filter(starts_run).withColumn("later_in_block", F.lead("stint_id").over(in_blk))
-    run_blocks = starts.select(*blk).distinct()
-    run_blocks = run_blocks.select(*blk, F.lead("start_date").over(by_blk).alias("next_date"))
+    run_blocks = starts.groupBy(*blk).agg(F.count("*").alias("n_starts")) \
+                       .select(*blk, F.lead("start_date").over(by_blk).alias("next_date"))
     j = starts.join(run_blocks, blk)
     gap = F.when(F.col("later_in_block").isNotNull(), F.lit(0)).otherwise(F.datediff("next_date", "start_date"))
     return j.withColumn("moving_days", gap)

@@ -72,7 +72,11 @@ def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(QUERIES)
     from tallyline.session import build_session
-    spark = build_session("local[8]", 8)
+    extra = {}
+    if os.environ.get("COMPARE_NO_BROADCAST") == "1":    # the plan shape of large tables
+        extra = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                 "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    spark = build_session("local[8]", 8, extra=extra)
     con = duck(sf_dir)
     bad = 0
     for n in names:
