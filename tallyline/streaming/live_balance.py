@@ -2,6 +2,8 @@
 
 * ``live_balance(stream)`` -- running balance per customer as a streaming
   aggregation (update mode).  State is one row per customer.
+* ``live_monthly_net(stream)`` -- net flow per customer and month
+  (update mode, no watermark, so late rows still count).
 * ``live_month_peaks(stream)`` -- the peak balance each customer reaches in
   each month, carried balance included, kept with ``applyInPandasWithState``
   (state per customer: balance, open month, peak so far).  Within a
@@ -37,6 +39,15 @@ def live_balance(stream: DataFrame) -> DataFrame:
         F.max("txn_date").alias("as_of"))
 
 
+def live_monthly_net(stream: DataFrame) -> DataFrame:
+    """Net flow and transaction count per customer and calendar month, as a
+    streaming aggregation in update mode.  No watermark: a late transaction
+    still updates its month (state is one row per customer-month)."""
+    return stream.groupBy("customer_id", F.last_day("txn_date").alias("month")).agg(
+        F.sum(C.signed_amount("txn_type", "txn_amount")).cast("bigint").alias("net"),
+        F.count("*").alias("txn_count"))
+
+
 _OUT_SCHEMA = "customer_id bigint, month_idx bigint, peak bigint, balance bigint"
 _STATE_SCHEMA = "balance bigint, month bigint, peak bigint"
 
@@ -124,3 +135,10 @@ def replay_month_peaks(spark: SparkSession, txns: DataFrame, files_per_trigger:
     stream = spark.readStream.schema(TXN_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(src)
     return run_to_table(spark, live_month_peaks(stream), ["customer_id", "month"], "month-peaks") \
         .select("customer_id", "month", "peak", "balance")
+
+
+def replay_monthly_net(spark: SparkSession, txns: DataFrame, files_per_trigger: int = 2) -> DataFrame:
+    src = stage_source(spark, txns, "monthly-net")
+    stream = spark.readStream.schema(TXN_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(src)
+    return run_to_table(spark, live_monthly_net(stream), ["customer_id", "month"], "monthly-net") \
+        .select("customer_id", "month", "net", "txn_count")

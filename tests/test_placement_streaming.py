@@ -95,3 +95,19 @@ def test_stint_gaps_blocks_match_plain_window(spark):
     for chunk in (1_000_000, 4):
         got = PL.stint_gaps(df, chunk=chunk).select("stint_id", "moving_days")
         assert rows(got) == rows(brute)
+
+
+def test_monthly_net_counts_late_rows(spark, ledger):
+    """January arrives after February/March: its month is still updated."""
+    import time
+    import uuid
+    from tallyline.session import ensure_checkpoint_dir
+    src = f"{ensure_checkpoint_dir(spark)}/late-{uuid.uuid4().hex}"
+    cols = ["customer_id", "txn_id", "txn_date", "txn_type", "txn_amount"]
+    ledger.filter("txn_date >= '2020-02-01'").select(*cols).coalesce(1).write.parquet(src)
+    time.sleep(1.1)
+    ledger.filter("txn_date < '2020-02-01'").select(*cols).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(LB.TXN_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+    got = rows(LB.run_to_table(spark, LB.live_monthly_net(stream), ["customer_id", "month"], "late"),
+               "customer_id", "month", "net", "txn_count")
+    assert (1, d("2020-01-31"), 70, 2) in got and (3, d("2020-01-31"), 10, 1) in got and len(got) == 6
