@@ -9,18 +9,21 @@ def _c(col):
     return F.col(col) if isinstance(col, str) else col
 
 
-def epoch_seconds(ts: str | Column) -> Column:
-    """Seconds since 1970-01-01 of a local (zone-free) timestamp."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("SECOND", epoch, _c(ts).cast("timestamp_ntz"))
+def minute_of_day(ts: str | Column) -> Column:
+    t = _c(ts)
+    return F.hour(t) * 60 + F.minute(t)
 
 
 def boundary_minutes(start: str | Column, end: str | Column) -> Column:
     """Number of minute boundaries crossed from ``start`` to ``end``.
 
     18:05:02 -> 18:15:01 gives 10 (not the 9 whole minutes that elapsed).
+    Built from the calendar date and the hour/minute fields, so a zone-free
+    timestamp is never converted through the session time zone (which would
+    shift intervals that cross a daylight-saving change).
     """
-    return (F.floor(epoch_seconds(end) / 60) - F.floor(epoch_seconds(start) / 60)).cast("bigint")
+    days = F.datediff(F.to_date(_c(end)), F.to_date(_c(start)))
+    return (days.cast("bigint") * 1440 + minute_of_day(end) - minute_of_day(start)).cast("bigint")
 
 
 def us_week(d: str | Column) -> Column:
@@ -34,8 +37,13 @@ def anchored_week(d: str | Column, anchor: str) -> Column:
     return (F.floor(F.datediff(_c(d).cast("date"), F.lit(anchor).cast("date")) / 7) + 1).cast("int")
 
 
+# English day names, Sunday first (dayofweek numbering).
+DAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
+
+
 def weekday_name(ts: str | Column) -> Column:
-    return F.date_format(_c(ts), "EEEE")
+    """English day name of the calendar date (zone-free for local timestamps)."""
+    return F.element_at(F.array(*[F.lit(n) for n in DAY_NAMES]), F.dayofweek(F.to_date(_c(ts))))
 
 
 def month_end(d: str | Column) -> Column:

@@ -91,7 +91,8 @@ def raw_deliveries(t: Tables) -> DataFrame:
         ok.alias("order_id"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("runner_id"),
         F.when(cancelled, F.lit("null"))
-         .otherwise(F.date_format(pickup, "yyyy-MM-dd HH:mm:ss")).alias("pickup_time"),
+         # cast, not date_format: formatting goes through the session zone
+         .otherwise(pickup.cast("string")).alias("pickup_time"),
         F.when(cancelled, F.lit("null"))
          .when(ok % 4 == 0, F.concat(dist_txt, F.lit("km")))
          .when(ok % 4 == 1, F.concat(dist_txt, F.lit(" km")))
