@@ -57,3 +57,24 @@ def test_weeks(spark):
     assert anchored == [1, 1, 2, 0]
     names = [r[0] for r in df.select(T.weekday_name(F.col("x"))).collect()]
     assert names == ["Friday", "Sunday", "Friday", "Thursday"]
+
+
+def test_time_parts_do_not_depend_on_session_zone(spark):
+    """1999-04-04 02:30 does not exist in New York (DST gap); zone-free values
+    must not move when the session zone is changed."""
+    from tallyline.operators import orders as O
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([(ts("1999-04-04 01:55:00"), "1999-04-04 02:30:00")],
+                                   "a timestamp_ntz, p string")
+        r = df.select(T.boundary_minutes("a", C.parse_timestamp("p")).alias("m"),
+                      C.parse_timestamp("p").cast("string").alias("p2"),
+                      T.weekday_name("a").alias("w")).first()
+        assert (r["m"], r["p2"], r["w"]) == (35, "1999-04-04 02:30:00", "Sunday")
+        raw = spark.createDataFrame([(1, 1, "1999-04-04 02:30:00", "1km", "1", "")],
+                                    "order_id bigint, runner_id int, pickup_time string, distance string, "
+                                    "duration string, cancellation string")
+        assert O.clean_deliveries(raw).first()["pickup_time"] == ts("1999-04-04 02:30:00")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
