@@ -124,3 +124,19 @@ def interest_compound(txns: DataFrame, annual_rate: float = 0.06) -> DataFrame:
                                   * F.sum("w").over(wm.rowsBetween(Window.unboundedPreceding, 0))).alias("b"))
     interest = F.col("b") - F.coalesce(F.lag("b").over(wm), F.lit(0.0)) - F.col("a")
     return bal.select("month", F.round(interest, 0).alias("data_required")).orderBy("month")
+
+
+def allocation(txns: DataFrame, option: int, floor_at_zero: bool = True) -> DataFrame:
+    """Monthly data required under allocation option 1 (previous month-end
+    balance), 2 (trailing 30-day average) or 3 (real-time peak)."""
+    fns = {1: alloc_month_end, 2: alloc_trailing30, 3: alloc_realtime}
+    if option not in fns:
+        raise ValueError(f"option must be 1, 2 or 3, not {option!r}")
+    return fns[option](txns, floor_at_zero=floor_at_zero)
+
+
+def interest(txns: DataFrame, annual_rate: float = 0.06, compound: bool = False) -> DataFrame:
+    """Monthly data growth from daily interest, simple or compounding."""
+    if compound:
+        return interest_compound(txns, annual_rate)
+    return interest_simple(txns, annual_rate)

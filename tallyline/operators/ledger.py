@@ -74,36 +74,37 @@ def monthly_net(txns: DataFrame) -> DataFrame:
         F.sum(signed(txns)).cast("bigint").alias("net"))
 
 
-def month_bounds(txns: DataFrame, start: str | None = None) -> tuple[Column, Column]:
-    """First and last month start of the grid as scalar subqueries (or a fixed
-    start date)."""
+def month_bounds(txns: DataFrame, start: str | None = None, end: str | None = None) -> tuple[Column, Column]:
+    """First and last month start of the grid: the data's first and last
+    transaction months (scalar subqueries) unless fixed dates are given."""
     lo = F.lit(start).cast("date") if start else txns.agg(F.min("txn_date")).scalar()
-    hi = txns.agg(F.max("txn_date")).scalar()
+    hi = F.lit(end).cast("date") if end else txns.agg(F.max("txn_date")).scalar()
     return F.trunc(lo, "month"), F.trunc(hi, "month")
 
 
-def monthly_grid(txns: DataFrame, start: str | None = None) -> DataFrame:
+def monthly_grid(txns: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """customer_id, end_date, net (NULL in months without transactions) for
     every customer and every month from the start to the last month."""
     nets = monthly_net(txns)
     per_cust = nets.groupBy("customer_id").agg(
         F.map_from_entries(F.collect_list(F.struct("end_date", "net"))).alias("m"))
-    lo, hi = month_bounds(txns, start)
+    lo, hi = month_bounds(txns, start, end)
     grid = per_cust.select("customer_id", "m",
                            F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))).alias("month_start"))
     end = F.last_day("month_start")
     return grid.select("customer_id", end.alias("end_date"), F.try_element_at("m", end).alias("net"))
 
 
-def closing_balance(txns: DataFrame, start: str | None = None) -> DataFrame:
+def closing_balance(txns: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """Month-end closing balance per customer over a dense month grid.
 
     ``transactions`` is the month's net (0 when none); ``closing_balance`` is
     the running sum of the month nets, NULL before the customer's first
-    transaction month (as a running SUM over NULLs is NULL).
+    transaction month (as a running SUM over NULLs is NULL).  ``start`` /
+    ``end`` fix the first / last month of the grid (default: the data's).
     """
     w = Window.partitionBy("customer_id").orderBy("end_date").rowsBetween(Window.unboundedPreceding, 0)
-    g = monthly_grid(txns, start)
+    g = monthly_grid(txns, start, end)
     return g.select("customer_id", "end_date",
                     F.coalesce("net", F.lit(0)).cast("bigint").alias("transactions"),
                     F.sum("net").over(w).cast("bigint").alias("closing_balance"))

@@ -88,12 +88,16 @@ def net_after_pay(items: DataFrame, deliveries: DataFrame, products: DataFrame,
         "revenue", "runners_paid", F.round(F.col("revenue") - F.col("runners_paid"), 2).alias("change_left"))
 
 
-def append_product(products: DataFrame, recipes: DataFrame, toppings: DataFrame, name: str) -> DataFrame:
+def append_product(products: DataFrame, recipes: DataFrame, toppings: DataFrame, name: str,
+                   new_id: int | None = None) -> DataFrame:
     """Product catalogue (id, name, recipe text) with one new product holding
-    every topping; its id is one past the largest id."""
+    every topping; its id is ``new_id`` or one past the largest id."""
     current = products.join(recipes, "pizza_id").select("pizza_id", "pizza_name", "toppings")
-    new_id = products.agg((F.max("pizza_id") + 1).alias("pizza_id"))
+    if new_id is not None:
+        id_col = F.lit(new_id).cast(products.schema["pizza_id"].dataType)
+    else:
+        id_col = products.agg(F.max("pizza_id") + 1).scalar()
     all_ids = toppings.agg(F.array_join(F.transform(F.array_sort(F.collect_list("topping_id")),
                                                     lambda x: x.cast("string")), ", ").alias("toppings"))
-    new_row = all_ids.select(new_id.scalar().alias("pizza_id"), F.lit(name).alias("pizza_name"), "toppings")
+    new_row = all_ids.select(id_col.alias("pizza_id"), F.lit(name).alias("pizza_name"), "toppings")
     return current.unionByName(new_row)

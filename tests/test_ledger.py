@@ -142,3 +142,12 @@ def test_compound_interest_vs_iteration(ledger):
     assert set(got) == set(exp)
     for k in exp:
         assert abs(got[k] - exp[k]) <= 1.0, (k, got[k], exp[k])
+
+
+def test_dispatchers_and_end_bound(ledger):
+    assert rows(AL.allocation(ledger, 1)) == rows(AL.alloc_month_end(ledger))
+    assert rows(AL.allocation(ledger, 3)) == rows(AL.alloc_realtime(ledger))
+    assert rows(AL.interest(ledger)) == rows(AL.interest_simple(ledger))
+    assert rows(AL.interest(ledger, compound=True)) == rows(AL.interest_compound(ledger))
+    got = rows(L.closing_balance(ledger, end="2020-02-15"), "end_date")
+    assert {r[0] for r in got} == {JAN, FEB}

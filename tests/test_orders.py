@@ -102,3 +102,8 @@ def test_speed_rounding_is_symmetric(spark):
     df = spark.createDataFrame([(8.1, 40), (-8.1, 40), (8.1, -40), (7.3, 40), (1.0, 0)], "distance double, duration int")
     got = [r[0] for r in df.select(O.speed_kmh()).collect()]
     assert got == [12.2, -12.2, -12.2, 11.0, None]
+
+
+def test_append_product_with_given_id(pizza):
+    out = PR.append_product(pizza["products"], pizza["recipes"], pizza["toppings"], "Supreme", new_id=9)
+    assert rows(out.filter("pizza_name = 'Supreme'")) == [(9, "Supreme", "1, 2, 3, 4, 5")]
