@@ -54,10 +54,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     fresh scratch folder created and registered.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    sc = None
+    try:                                   # no SparkContext on a Spark Connect session
+        sc = spark.sparkContext
+    except Exception:
+        pass
+    if not path and sc is not None:
+        path = sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="tallyline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path
