@@ -2,7 +2,8 @@
 
 Each query's result is forced with the ``noop`` sink (full computation, no
 collect).  After one warm-up pass, every query runs $BENCH_RUNS times and the
-median is reported.  Prints ONE JSON line:
+median is reported ($BENCH_SHUFFLE overrides the 2 x cores shuffle
+partitions).  Prints ONE JSON line:
 
   {"metric": "total_median_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 """
@@ -31,7 +32,8 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
 
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus, app_name="tallyline-bench")
+    shuffle = int(os.environ.get("BENCH_SHUFFLE", str(2 * cpus)))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=shuffle, app_name="tallyline-bench")
 
     def run(name: str) -> float:
         t = time.perf_counter()
@@ -50,7 +52,7 @@ def main() -> None:
         "sf": sf,
         "cpus": cpus,
         "runs": runs,
-        "shuffle_partitions": 2 * cpus,
+        "shuffle_partitions": shuffle,
     }))
 
 
