@@ -151,3 +151,10 @@ def test_dispatchers_and_end_bound(ledger):
     assert rows(AL.interest(ledger, compound=True)) == rows(AL.interest_compound(ledger))
     got = rows(L.closing_balance(ledger, end="2020-02-15"), "end_date")
     assert {r[0] for r in got} == {JAN, FEB}
+
+
+def test_row_order_does_not_change_results(ledger):
+    """SURVEY §5(c): permuting the input rows leaves every result equal."""
+    shuffled = ledger.repartition(5).orderBy(F.rand(7)).repartition(3)
+    for fn in (L.running_balance, L.closing_balance, L.growth_pct, AL.alloc_trailing30, AL.alloc_realtime):
+        assert rows(fn(shuffled)) == rows(fn(ledger)), fn.__name__
