@@ -7,8 +7,11 @@ Inputs as in ``orders`` plus
 
 Scale notes: list parsing is a per-row expression (no shuffle).  Name lookups
 join the topping dimension *after* the data is reduced per topping id where
-the result allows it (rankings, usage); ingredient lists and labels group per
-item, and an item's group is bounded by its recipe plus its lists.
+the result allows it (rankings, usage).  Ingredient lists and labels are
+built once per distinct (product, exclusions, extras) combination -- a group
+bounded by the recipe plus the lists -- and joined back to the items.  Item
+line numbers count identical items first, so no window sorts a hot order's
+raw rows, and copies are regenerated in bounded chunks.
 """
 
 from __future__ import annotations
