@@ -23,3 +23,23 @@ def test_month_partitions_are_pruned(spark, ledger):
 def test_write_table_round_trip(spark, ledger):
     path = S.write_table(ledger, "ledger-copy")
     assert S.read_table(spark, path).count() == ledger.count()
+
+
+def test_bucketed_tables_join_without_shuffle(spark, pizza):
+    import uuid
+    sfx = uuid.uuid4().hex[:8]
+    S.write_bucketed(pizza["items"], f"items_{sfx}", ["order_id"], 4)
+    S.write_bucketed(pizza["deliveries"], f"deliveries_{sfx}", ["order_id"], 4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        j = spark.table(f"items_{sfx}").join(spark.table(f"deliveries_{sfx}"), "order_id")
+        buf = io.StringIO()
+        with redirect_stdout(buf):
+            j.explain("formatted")
+        assert "SortMergeJoin" in buf.getvalue() and "Exchange" not in buf.getvalue()
+        assert j.count() == 8
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql(f"DROP TABLE IF EXISTS items_{sfx}")
+        spark.sql(f"DROP TABLE IF EXISTS deliveries_{sfx}")
