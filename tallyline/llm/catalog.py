@@ -4,15 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules
+from . import bpe, mixing, quality_rules
 from .common import read
 from .oracle import ORACLE  # noqa: F401
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_byte_bpe": op2_byte_bpe,
+    "op3_mixing": op3_mixing,
     "op8_quality_rules": op8_quality_rules,
 }
