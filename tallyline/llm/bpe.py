@@ -23,7 +23,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -44,28 +43,6 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def _ranges(of: str) -> str:
-    """The code points that match the class escape ``of``, as ranges of a character class."""
-    points = np.flatnonzero(np.fromiter((c for c in map(bool, map(regex.compile(of).match, map(chr, range(0x110000))))), bool, 0x110000))
-    cuts = np.flatnonzero(np.diff(points) > 1)
-    starts, ends = points[np.r_[0, cuts + 1]], points[np.r_[cuts, len(points) - 1]]
-    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts.tolist(), ends.tolist()))
-
-
-def compile_pattern(pattern: str) -> re.Pattern:
-    """``pattern`` for the standard ``re`` module, which scans about three times
-    as fast as ``regex``: property classes and white space are spelled out."""
-    out, inside = [], False
-    for part in regex.findall(r"\\p\{\w+\}|\\.|.", pattern, regex.S):
-        if part in (r"\s", r"\S") or part.startswith(r"\p{"):
-            body = _ranges(part.lower() if part == r"\S" else part)
-            out.append(body if inside else f"[{'^' if part == chr(92) + 'S' else ''}{body}]")
-        else:
-            inside = part == "[" or (inside and part != "]")
-            out.append(part)
-    return re.compile("".join(out))
-
-
 class PairTable:
     """(left id, right id) -> merged id in an open-addressing numpy hash table."""
 
@@ -110,7 +87,7 @@ class Codec:
     """Encoder and decoder of one vocabulary."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.find = ranks, compile_pattern(pattern).findall
+        self.ranks, self.find = ranks, regex.compile(pattern).findall
         self.pairs = PairTable(ranks)
         self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.token = {r: t for t, r in ranks.items()}

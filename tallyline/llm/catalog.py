@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, quality_rules
+from . import bpe, mixing, quality_rules, secret_scans
 from .common import read
 from .oracle import ORACLE  # noqa: F401
 
@@ -19,6 +19,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scans.scan(read(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(read(spark, sf_dir, "documents"))
 
@@ -26,5 +30,6 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_mixing": op3_mixing,
+    "op6_secret_scans": op6_secret_scans,
     "op8_quality_rules": op8_quality_rules,
 }
