@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, quality_rules, secret_scans
+from . import bpe, minhash_dedup, mixing, quality_rules, secret_scans
 from .common import read
 from .oracle import ORACLE  # noqa: F401
 
@@ -27,9 +27,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(read(spark, sf_dir, "documents"))
 
 
+def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.classes(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_mixing": op3_mixing,
     "op6_secret_scans": op6_secret_scans,
     "op8_quality_rules": op8_quality_rules,
+    "op10_minhash_dedup": op10_minhash_dedup,
 }

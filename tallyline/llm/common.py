@@ -32,6 +32,20 @@ def shared_dir(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: cuts the
     lineage, so that a lost executor costs only its own tasks."""
+    return reread(df.sparkSession, write(df, name), df.schema)
+
+
+def write(df: DataFrame, name: str) -> str:
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return path
+
+
+def reread(spark: SparkSession, path: str, schema) -> DataFrame:
+    return spark.read.schema(schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table of ``write`` that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
