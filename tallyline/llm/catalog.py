@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, minhash_dedup, mixing, quality_rules, secret_scans
+from . import bpe, embedding_dedup, minhash_dedup, mixing, quality_rules, secret_scans
 from .common import read
 from .oracle import ORACLE  # noqa: F401
 
@@ -19,6 +19,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.links(read(spark, sf_dir, "embeddings"))
+
+
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scans.scan(read(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_mixing": op3_mixing,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op6_secret_scans": op6_secret_scans,
     "op8_quality_rules": op8_quality_rules,
     "op10_minhash_dedup": op10_minhash_dedup,
