@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embedding_dedup, minhash_dedup, mixing, quality_rules, secret_scans
+from . import bpe, embedding_dedup, html_extraction, minhash_dedup, mixing, quality_rules, secret_scans
 from .common import read
 from .oracle import ORACLE  # noqa: F401
 
@@ -31,6 +31,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(read(spark, sf_dir, "documents"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(read(spark, sf_dir, "pages"))
+
+
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.classes(read(spark, sf_dir, "documents"))
 
@@ -41,5 +45,6 @@ QUERIES = {
     "op4_embedding_dedup": op4_embedding_dedup,
     "op6_secret_scans": op6_secret_scans,
     "op8_quality_rules": op8_quality_rules,
+    "op9_html_extraction": op9_html_extraction,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
