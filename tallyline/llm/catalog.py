@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embedding_dedup, html_extraction, minhash_dedup, mixing, quality_rules, secret_scans
+from . import bpe, embedding_dedup, html_extraction, minhash_dedup, mixing, quality_rules, secret_scans, toxicity
 from .common import read
 from .oracle import ORACLE  # noqa: F401
 
@@ -23,6 +23,11 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.links(read(spark, sf_dir, "embeddings"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+
+
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scans.scan(read(spark, sf_dir, "documents"))
 
@@ -43,6 +48,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_mixing": op3_mixing,
     "op4_embedding_dedup": op4_embedding_dedup,
+    "op5_toxicity": op5_toxicity,
     "op6_secret_scans": op6_secret_scans,
     "op8_quality_rules": op8_quality_rules,
     "op9_html_extraction": op9_html_extraction,
