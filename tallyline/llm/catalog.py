@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embedding_dedup, html_extraction, minhash_dedup, mixing, quality_rules, secret_scans, toxicity
+from . import bpe, embedding_dedup, html_extraction, minhash_dedup, mixing, pii, quality_rules, secret_scans, toxicity
 from .common import read
 from .oracle import ORACLE  # noqa: F401
 
@@ -32,6 +32,10 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scans.scan(read(spark, sf_dir, "documents"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(read(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(read(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_secret_scans": op6_secret_scans,
+    "op7_pii": op7_pii,
     "op8_quality_rules": op8_quality_rules,
     "op9_html_extraction": op9_html_extraction,
     "op10_minhash_dedup": op10_minhash_dedup,
