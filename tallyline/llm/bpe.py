@@ -200,9 +200,11 @@ def _vocabulary(path: str) -> bytes:
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id and ``ids`` (array of token ids) of every row."""
-    return _apply(docs, path, pattern, "doc_id long, ids array<int>",
-                  lambda codec, ids: {"ids": pa.array(ids, pa.list_(pa.int32()))})
+    """doc_id, n_tokens, ``ids`` (array of token ids) and the SHA-256 of the bytes
+    that the ids decode to, of every row."""
+    return _apply(docs, path, pattern, "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string", lambda codec, ids: {
+        "n_tokens": pa.array(list(map(len, ids)), pa.int64()), "ids": pa.array(ids, pa.list_(pa.int32())),
+        "decoded_sha256": pa.array([hashlib.sha256(codec.decode(i)).hexdigest() for i in ids], pa.string())})
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:

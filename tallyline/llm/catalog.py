@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embedding_dedup, html_extraction, minhash_dedup, mixing, pii, quality_rules, secret_scans, toxicity
+from . import bpe, embedding_dedup, html_extraction, license_scans, minhash_dedup, mixing, pii, quality_rules, secret_scans, toxicity
 from .common import read
 from .oracle import ORACLE  # noqa: F401
 
 
+def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scans.scan(read(spark, sf_dir, "documents"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -49,6 +53,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scans": op1_license_scans,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_mixing": op3_mixing,
     "op4_embedding_dedup": op4_embedding_dedup,
