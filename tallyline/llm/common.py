@@ -21,6 +21,15 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
 
 
+def fenced(df: DataFrame, condition: Column) -> DataFrame:
+    """``df.filter(condition)`` on the finished columns of ``df``.
+
+    A plain filter is pushed below the projections, where its copy of their
+    expressions is evaluated again, inside lambdas once per element; a
+    nondeterministic column keeps it above them."""
+    return df.withColumn("_fence", F.monotonically_increasing_id()).filter(condition & (F.col("_fence") >= 0)).drop("_fence")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder that the cluster names in ``spark.checkpoint.dir``."""
     path = spark.conf.get("spark.checkpoint.dir", None)

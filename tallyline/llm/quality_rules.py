@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, words
+from .common import WORD, fenced, words
 
 NEITHER = r"[^ \t-\r#*$%&|<>]+"     # neither white space nor a counted symbol
 HAS_WORD = r"[^ \t-\r]"
@@ -118,4 +118,4 @@ def score(docs: DataFrame, rules=RULES) -> DataFrame:
 def keep(docs: DataFrame, rules=RULES) -> DataFrame:
     """The rows of ``docs`` that pass every rule, with their own columns."""
     _, kept, _ = verdict(rules)
-    return counts(docs).filter(kept).select("_row.*")
+    return fenced(counts(docs), kept).select("_row.*")

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import fenced, written
 from .spans import found, joined, placed, replaced
 
 MAX_OWNERS = 4          # up to so many owners a value counts as owner-specific
@@ -127,7 +127,7 @@ def scan(docs: DataFrame) -> DataFrame:
 def mask(docs: DataFrame) -> DataFrame:
     """``docs`` with their own columns; in the text, live-looking secrets become
     ``<secret:kind>`` and the other base spans ``<example:kind>``."""
-    corpus = written(candidates(docs, [F.col("source"), F.col("lang")]).filter(F.size("c") > 0), "secret-candidates")
+    corpus = written(fenced(candidates(docs, [F.col("source"), F.col("lang")]), F.size("c") > 0), "secret-candidates")
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
     rows = judged(candidates(docs, [own]), corpus)
     to = F.transform("spans", lambda x: F.struct(x["s"], x["e"], F.concat(
