@@ -2,13 +2,14 @@
 
 Cluster settings win: every value here is applied only when the running
 session has not set it already.  The checkpoint directory is read from
-``spark.checkpoint.dir``; a scratch folder is used only where it is unset
-(local tests).
+``spark.checkpoint.dir``; a scratch folder is used only where that is unset in
+a single-process local session.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -48,11 +49,12 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only when ``spark.checkpoint.dir`` is unset (local runs, tests) is a
-    fresh scratch folder created and registered.
-    """
+    Where it is unset, a session whose executors run inside this very process
+    (master ``local[...]``: tests, bench) gets a fresh scratch folder; on any
+    other master an error is raised, since a folder of one machine would be
+    written and read by many."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
     try:                                   # no SparkContext on a Spark Connect session
@@ -62,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path and sc is not None:
         path = sc.getCheckpointDir()
     if not path:
+        if sc is None or not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is unset: intermediate tables need a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tallyline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None and not sc.getCheckpointDir():
