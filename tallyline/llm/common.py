@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 # White space of the word definition used by the contracts: space and \x09-\x0D.
 SPACE = r"[ \t-\r]+"
 WORD = r"[^ \t-\r]+"
@@ -32,10 +34,7 @@ def fenced(df: DataFrame, condition: Column) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder that the cluster names in ``spark.checkpoint.dir``."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        raise RuntimeError("spark.checkpoint.dir is unset: intermediate tables need a folder that all executors share")
-    return path.rstrip("/")
+    return ensure_checkpoint_dir(spark).rstrip("/")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
