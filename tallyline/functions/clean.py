@@ -71,13 +71,12 @@ def parse_timestamp(col: str | Column, tokens: Iterable[str] = NULL_TOKENS) -> C
 
 
 def to_int(text: str | Column) -> Column:
-    """INT value of an integer text, NULL for anything else (blank, words,
-    out of range).  The digits are checked before casting: a failing ANSI
+    """BIGINT value of an integer text, NULL for anything else (blank, words,
+    beyond BIGINT).  The digits are checked before casting: a failing ANSI
     ``try_cast`` raises and catches an exception per row, which is slow when
-    most tokens are blank."""
+    most tokens are blank; only 19-digit numbers, which may overflow, take it."""
     t = F.trim(_c(text))
-    v = F.when(t.rlike(r"^[+-]?[0-9]{1,10}$"), t.cast("bigint"))
-    return F.when(v.between(-2147483648, 2147483647), v.cast("int"))
+    return F.when(t.rlike(r"^[+-]?0*[0-9]{1,18}$"), t.cast("bigint")).when(t.rlike(r"^[+-]?0*[0-9]{19}$"), t.try_cast("bigint"))
 
 
 def split_tokens(col: str | Column, sep: str = ",") -> Column:
@@ -86,12 +85,12 @@ def split_tokens(col: str | Column, sep: str = ",") -> Column:
 
 
 def parse_id_list(col: str | Column, sep: str = ",") -> Column:
-    """ARRAY<INT> of the ids in a separated list; blanks and non-numbers dropped,
+    """ARRAY<BIGINT> of the ids in a separated list; blanks and non-numbers dropped,
     NULL / '' give an empty array."""
     c = _c(col)
     ids = F.filter(F.transform(F.split(c, sep), to_int), lambda x: x.isNotNull())
     # a text without a digit holds no id: skip the (interpreted) lambdas for it
-    return F.when(c.rlike("[0-9]"), ids).otherwise(F.array().cast("array<int>"))
+    return F.when(c.rlike("[0-9]"), ids).otherwise(F.array().cast("array<bigint>"))
 
 
 def signed_amount(txn_type: str | Column, amount: str | Column,

@@ -3,18 +3,17 @@
 ``run(spark, tables, name)`` evaluates any query name of the catalog over a
 dict of DataFrames shaped like the original tables (``customer_orders``,
 ``runner_orders``, ``runners``, ``pizza_names``, ``pizza_recipes``,
-``pizza_toppings``, ``customer_transactions``, ``customer_nodes``,
+``pizza_toppings``, ``pizza_ratings``, ``customer_transactions``, ``customer_nodes``,
 ``regions``; see ``sources.business`` for typed readers).  Only the tables a
 query uses need to be present.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import orders as O
-from ..sources.business import with_txn_ids
+from ..sources.business import numbered, with_txn_ids
 from .catalog import BUILDERS, Params
 
 # The parameters stated by the original questions.
@@ -27,6 +26,8 @@ REFERENCE_PARAMS = Params(
     week_anchor="2021-01-01",
     new_product="Supreme",
     rate_per_km=0.3,
+    money_scale=2,
+    calendar_start="2020-01-01",
 )
 
 
@@ -63,6 +64,10 @@ class BusinessCtx:
     def recipes(self) -> DataFrame:
         return self._t("pizza_recipes")
 
+    @property
+    def ratings(self) -> DataFrame:
+        return self._t("pizza_ratings")
+
     @property
     def runners(self) -> DataFrame:
         return self._t("runners")
@@ -77,9 +82,8 @@ class BusinessCtx:
         n = self._t("customer_nodes")
         if "stint_id" in n.columns:
             return n
-        # tie-break for stints starting on the same day (window keyed by customer and day)
-        w = Window.partitionBy("customer_id", "start_date").orderBy("end_date", "node_id", "region_id")
-        return n.withColumn("stint_id", F.row_number().over(w).cast("bigint"))
+        # tie-break for stints starting on the same day
+        return numbered(n, ["customer_id", "start_date"], ["end_date", "node_id", "region_id"], "stint_id")
 
     @property
     def regions(self) -> DataFrame:

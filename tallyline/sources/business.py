@@ -1,70 +1,111 @@
 """Typed readers for the business tables in their original shapes.
 
 Files are read with every column as text (CSV) or as stored (Parquet) and
-then cast to the declared types with non-failing casts: the original loads
-rely on implicit text-to-number conversion, which ANSI store assignment
-rejects.  Integers go through the digit-checked ``to_int``; dates and
-timestamps through ``try_cast``.
+then cast to the declared types.  Keys and amounts are BIGINT.  A value that
+does not convert is never hidden: ``read_business`` fails on it like the
+original loads would, ``read_split`` puts the row aside with the names of the
+columns at fault.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.clean import to_int
 
 # Declared or inferred column types of the business tables (fixed values).
 SCHEMAS: dict[str, list[tuple[str, str]]] = {
-    "regions": [("region_id", "int"), ("region_name", "string")],
-    "customer_nodes": [("customer_id", "int"), ("region_id", "int"), ("node_id", "int"),
+    "regions": [("region_id", "bigint"), ("region_name", "string")],
+    "customer_nodes": [("customer_id", "bigint"), ("region_id", "bigint"), ("node_id", "bigint"),
                        ("start_date", "date"), ("end_date", "date")],
-    "customer_transactions": [("customer_id", "int"), ("txn_date", "date"), ("txn_type", "string"),
-                              ("txn_amount", "int")],
-    "pizza_ratings": [("order_id", "int"), ("customer_id", "int"), ("rating", "int")],
-    "customer_orders": [("order_id", "int"), ("customer_id", "int"), ("pizza_id", "int"),
+    "customer_transactions": [("customer_id", "bigint"), ("txn_date", "date"), ("txn_type", "string"),
+                              ("txn_amount", "bigint")],
+    "pizza_ratings": [("order_id", "bigint"), ("customer_id", "bigint"), ("rating", "bigint")],
+    "customer_orders": [("order_id", "bigint"), ("customer_id", "bigint"), ("pizza_id", "bigint"),
                         ("exclusions", "string"), ("extras", "string"), ("order_time", "timestamp_ntz")],
-    "runner_orders": [("order_id", "int"), ("runner_id", "int"), ("pickup_time", "string"),
+    "runner_orders": [("order_id", "bigint"), ("runner_id", "bigint"), ("pickup_time", "string"),
                       ("distance", "string"), ("duration", "string"), ("cancellation", "string")],
-    "runners": [("runner_id", "int"), ("registration_date", "date")],
-    "pizza_names": [("pizza_id", "int"), ("pizza_name", "string")],
-    "pizza_recipes": [("pizza_id", "int"), ("toppings", "string")],
-    "pizza_toppings": [("topping_id", "int"), ("topping_name", "string")],
+    "runners": [("runner_id", "bigint"), ("registration_date", "date")],
+    "pizza_names": [("pizza_id", "bigint"), ("pizza_name", "string")],
+    "pizza_recipes": [("pizza_id", "bigint"), ("toppings", "string")],
+    "pizza_toppings": [("topping_id", "bigint"), ("topping_name", "string")],
 }
+NUMBER_CHUNK = 1_000_000
 OPEN_END = "9999-12-31"   # end_date of a stint that is still open
 
 
-def _typed(col: str, typ: str):
+def _typed(col: str, typ: str) -> Column:
+    """The value in its declared type, NULL where it does not convert."""
     c = F.col(col)
-    if typ == "int":
-        return to_int(c.cast("string")).alias(col)
+    if typ == "bigint":
+        return to_int(c.cast("string"))
     if typ == "string":
-        return c.cast("string").alias(col)
-    return F.trim(c.cast("string")).try_cast(typ).alias(col)
+        return c.cast("string")
+    return F.trim(c.cast("string")).try_cast(typ)
+
+
+def _fails(col: str, typ: str) -> Column:
+    """True for a value (neither NULL nor blank) that does not convert."""
+    return F.coalesce((F.trim(F.col(col).cast("string")) != "") & _typed(col, typ).isNull(), F.lit(False))
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Project ``df`` onto the declared columns and types of ``table``."""
-    return df.select(*[_typed(c, t) for c, t in SCHEMAS[table]])
+    """Project ``df`` onto the declared columns and types of ``table``; a value
+    that does not convert raises an error that names it."""
+    return df.select(*[F.when(_fails(c, t), F.raise_error(F.concat(F.lit(f"{table}.{c} is no {t}: "), F.col(c).cast("string"))))
+                       .otherwise(_typed(c, t)).alias(c) for c, t in SCHEMAS[table]])
+
+
+def split_rejected(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """(rows that convert, with declared types; the others as they came, with
+    ``rejected_columns``, the names of the columns at fault)."""
+    bad = F.filter(F.array(*[F.when(_fails(c, t), F.lit(c)) for c, t in SCHEMAS[table]]), lambda x: x.isNotNull())
+    good = df.filter(F.size(bad) == 0).select(*[_typed(c, t).alias(c) for c, t in SCHEMAS[table]])
+    return good, df.filter(F.size(bad) > 0).withColumn("rejected_columns", bad)
+
+
+def _raw(spark: SparkSession, path: str, table: str, fmt: str, header: bool, sep: str) -> DataFrame:
+    if fmt == "csv":
+        return (spark.read.option("header", header).option("sep", sep)
+                .schema(", ".join(f"{c} string" for c, _ in SCHEMAS[table])).csv(path))
+    return spark.read.format(fmt).load(path)
 
 
 def read_business(spark: SparkSession, path: str, table: str, fmt: str = "parquet",
                   header: bool = True, sep: str = ",") -> DataFrame:
-    if fmt == "csv":
-        raw = (spark.read.option("header", header).option("sep", sep)
-               .schema(", ".join(f"{c} string" for c, _ in SCHEMAS[table])).csv(path))
-    else:
-        raw = spark.read.format(fmt).load(path)
-    return conform(raw, table)
+    return conform(_raw(spark, path, table, fmt, header, sep), table)
+
+
+def read_split(spark: SparkSession, path: str, table: str, fmt: str = "parquet",
+               header: bool = True, sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """(accepted rows, rejected rows) of a file; see ``split_rejected``."""
+    return split_rejected(_raw(spark, path, table, fmt, header, sep), table)
+
+
+def numbered(df: DataFrame, keys: list[str], order: list[str], out: str, chunk: int = NUMBER_CHUNK) -> DataFrame:
+    """``df`` with an id that is unique within ``keys`` and follows ``order``.
+
+    Identical rows are counted first and regenerated in chunks.  A key of more
+    than ``chunk`` rows is cut by a hash of its order columns into parts with
+    id ranges of their own, so that no window sorts a hot key's rows."""
+    rows = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
+    hot = rows.groupBy(*keys).agg(F.ceil(F.sum("_n") / chunk).cast("bigint").alias("_parts")).filter("_parts > 1")
+    rows = rows.join(hot, keys, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(*order), F.col("_parts")), F.lit(0)))
+    rest = [c for c in df.columns if c not in keys + order]
+    before = Window.partitionBy(*keys, "_part").orderBy(*order, *rest).rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("_part") * F.lit(1 << 40) + F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1
+    rows = rows.withColumn("_first", first).select(*df.columns, "_first", "_n", F.explode(
+        F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / chunk).cast("bigint"))).alias("_chunk"))
+    lo = F.col("_first") + F.col("_chunk") * chunk
+    return rows.select(*df.columns, F.explode(F.sequence(lo, F.least(F.col("_first") + F.col("_n") - 1, lo + chunk - 1))).alias(out))
 
 
 def with_txn_ids(txns: DataFrame) -> DataFrame:
-    """Tie-break id for ledgers without one: the rank of a transaction among
-    the customer's transactions of the same day, by (type, amount).  Equal
-    rows are interchangeable, so any order among them gives the same
-    balances.  The window is keyed by (customer, day)."""
-    w = Window.partitionBy("customer_id", "txn_date").orderBy("txn_type", "txn_amount")
-    return txns.withColumn("txn_id", F.row_number().over(w).cast("bigint"))
+    """Tie-break id for ledgers without one, among the customer's transactions
+    of the same day by (type, amount).  Equal rows are interchangeable, so any
+    order among them gives the same balances."""
+    return numbered(txns, ["customer_id", "txn_date"], ["txn_type", "txn_amount"], "txn_id")
 
 
 def open_stint(end_date: str = "end_date"):

@@ -2,22 +2,75 @@ from __future__ import annotations
 
 import tempfile
 
+import pytest
+
 from tallyline.operators import ledger as L
 from tallyline.sources import business as B
 
-from .conftest import d, rows
+from .conftest import SF_SMALL, d, rows
 
 
-def test_csv_load_with_text_numbers(spark):
+def _csv(text):
     path = tempfile.mkdtemp(prefix="tallyline-csv-")
     with open(f"{path}/t.csv", "w") as f:
-        f.write("customer_id,txn_date,txn_type,txn_amount\n"
-                "429,2020-01-21,deposit,82\n155, 2020-01-10 ,deposit,712\n398,2020-01-01,withdrawal, 0\n"
-                "x,2020-01-02,purchase,5\n")
-    t = B.read_business(spark, path, "customer_transactions", fmt="csv")
-    assert [f.dataType.simpleString() for f in t.schema.fields] == ["int", "date", "string", "int"]
+        f.write("customer_id,txn_date,txn_type,txn_amount\n" + text)
+    return path
+
+
+GOOD = "429,2020-01-21,deposit,82\n155, 2020-01-10 ,deposit,712\n398,2020-01-01,withdrawal, 0\n"
+BIG = "3000000000,2020-01-02,purchase,3000000000\n0000000000012,2020-01-02,purchase,9223372036854775807\n"
+
+
+def test_csv_load_with_text_numbers(spark):
+    t = B.read_business(spark, _csv(GOOD + BIG), "customer_transactions", fmt="csv")
+    assert [f.dataType.simpleString() for f in t.schema.fields] == ["bigint", "date", "string", "bigint"]
     got = {r["customer_id"]: r["txn_amount"] for r in t.collect()}
-    assert got == {429: 82, 155: 712, 398: 0, None: 5}
+    assert got == {429: 82, 155: 712, 398: 0, 3000000000: 3000000000, 12: 9223372036854775807}
+
+
+BAD = "x,2020-01-02,purchase,5\n7,2020-13-01,purchase,99999999999999999999\n8,,purchase,\n"
+
+
+def test_bad_values_fail_or_are_put_aside(spark):
+    path = _csv(GOOD + BAD)
+    with pytest.raises(Exception, match="customer_transactions"):
+        B.read_business(spark, path, "customer_transactions", fmt="csv").collect()
+    good, bad = B.read_split(spark, path, "customer_transactions", fmt="csv")
+    assert rows(good, "customer_id") == [(8,), (155,), (398,), (429,)]
+    assert {r["customer_id"]: r["rejected_columns"] for r in bad.collect()} == {"x": ["customer_id"], "7": ["txn_date", "txn_amount"]}
+
+
+def test_bigint_parquet_keys_are_kept(spark):
+    path = tempfile.mkdtemp(prefix="tallyline-pq-") + "/t"
+    spark.createDataFrame([(3000000000, d("2020-01-01"), "deposit", 3000000000)],
+                          "customer_id bigint, txn_date date, txn_type string, txn_amount bigint").write.parquet(path)
+    assert rows(B.read_business(spark, path, "customer_transactions")) == [(3000000000, d("2020-01-01"), "deposit", 3000000000)]
+
+
+def test_numbering_splits_a_hot_key(spark):
+    """One customer's day with many rows: ids are unique, in order within each
+    part, and equal rows are counted, not sorted."""
+    t = spark.range(0, 3000).selectExpr("1 AS customer_id", "DATE'2020-01-01' AS txn_date", "'deposit' AS txn_type", "id % 500 AS txn_amount")
+    got = B.numbered(t, ["customer_id", "txn_date"], ["txn_type", "txn_amount"], "txn_id", chunk=100)
+    assert got.count() == 3000 and got.select("txn_id").distinct().count() == 3000
+    assert got.groupBy("txn_amount").count().select("count").distinct().collect()[0][0] == 6
+    parts = got.selectExpr("txn_id >> 40 AS p").groupBy("p").count().collect()
+    assert len(parts) > 20 and max(r["count"] for r in parts) < 400
+
+
+def test_typed_tables_and_views(spark):
+    from tallyline.sources import sinks
+    from tallyline.sources.tables import Tables
+    sinks.create_table(spark, "made_regions", B.SCHEMAS["regions"], replace=True)
+    spark.sql("INSERT INTO made_regions VALUES (1, 'North')")
+    assert rows(spark.table("made_regions")) == [(1, "North")]
+    with pytest.raises(Exception, match="already exists"):
+        sinks.create_table(spark, "made_regions", B.SCHEMAS["regions"])
+    sinks.create_table(spark, "made_regions", B.SCHEMAS["regions"], replace=True)
+    assert spark.table("made_regions").count() == 0
+    spark.sql("DROP TABLE made_regions")
+    Tables(spark, SF_SMALL).register_views(["region"])
+    assert spark.sql("SELECT count(*) FROM region").first()[0] == 5
 
 
 def test_tiebreak_ids_and_running_balance(spark):
