@@ -8,15 +8,15 @@ Inputs as in ``orders`` plus
 Scale notes: list parsing is a per-row expression (no shuffle).  Name lookups
 join the topping dimension *after* the data is reduced per topping id where
 the result allows it (rankings, usage).  Ingredient lists and labels are
-built once per distinct (product, exclusions, extras) combination -- a group
-bounded by the recipe plus the lists -- and joined back to the items.  Item
-line numbers count identical items first, so no window sorts a hot order's
+built in the item's own row from arrays and one constant map of topping
+names, after identical items are counted.  Item line numbers count identical
+items first, so no window sorts a hot order's
 raw rows, and copies are regenerated in bounded chunks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import clean as C
@@ -27,7 +27,6 @@ ITEM_KEYS = ["order_id", "pizza_id", "line_no"]
 
 LINE_KEYS = ["order_id", "pizza_id"]
 LINE_ORDER = ["exclusions", "extras", "customer_id", "order_time"]
-COMBO = ["pizza_id", "exclusions", "extras"]
 EXPAND_CHUNK = 100_000
 
 
@@ -107,17 +106,18 @@ def token_rank(items: DataFrame, list_col: str, toppings: DataFrame, count_col:
     return ranked.limit(top) if top else ranked
 
 
-def _combos(lc: DataFrame) -> DataFrame:
-    """Distinct (product, exclusions, extras) combinations with parsed lists,
-    taken from the already counted item contents: identical orders share one
-    ingredient list / label."""
-    return with_id_lists(lc.select(*COMBO).distinct())
+def _names(toppings: DataFrame) -> Column:
+    """MAP id -> name of the whole topping dimension as one scalar.  The
+    dimension is bounded (distinct ingredient words, a few thousand at most),
+    so its map is a constant of the plan and lists are named in their rows:
+    no join on the few topping ids, where a handful of tasks would do the work."""
+    return toppings.agg(F.map_from_entries(F.collect_list(F.struct(F.col("topping_id").cast("bigint"), "topping_name")))).scalar()
 
 
-def _per_item(lc: DataFrame, per_combo: DataFrame, out: str) -> DataFrame:
-    """Attach a per-combination result to every item (with its line number)."""
-    j = lc.join(per_combo, COMBO)
-    return expand_lines(j).select(*ITEM_KEYS, "customer_id", "order_time", out)
+def _expanded(items: DataFrame, out: Column, name: str, columns: list[str]) -> DataFrame:
+    """``out`` for every item with its line number; ``items`` is line_counts
+    joined with what ``out`` needs."""
+    return expand_lines(items.select(*columns, "_first", "_copies", out.alias(name))).select(*ITEM_KEYS, *columns[2:], name)
 
 
 def ingredient_list(items: DataFrame, recipes: DataFrame, toppings: DataFrame, products: DataFrame,
@@ -127,71 +127,48 @@ def ingredient_list(items: DataFrame, recipes: DataFrame, toppings: DataFrame, p
     Default (the question's reading): toppings = recipe minus exclusions plus
     extras (extras outside the recipe included), sorted by name, '2x' when a
     topping is both kept from the recipe and added as an extra; every item is
-    listed.  ``as_written``: only recipe toppings that are not excluded, in
-    recipe order, '2x' when also an extra; extras outside the recipe are
-    dropped, and an item whose recipe is fully excluded disappears.
+    listed, also one without a recipe or product row.  ``as_written``: only
+    recipe toppings that are not excluded, in recipe order, '2x' when also an
+    extra; extras outside the recipe are dropped, and an item whose recipe is
+    missing or fully excluded disappears.
 
-    The list is built once per distinct (product, exclusions, extras) and
-    joined back to the items.
+    Lists are built in the item's row: one scan of the items, one shuffle for
+    their line numbers and the joins to products and recipes.
     """
-    lc = line_counts(items)
-    dim = parse_recipes(recipes).join(products, "pizza_id")
-    j = _combos(lc).join(dim, "pizza_id")
-    keys = [*COMBO, "pizza_name"]
+    how = "inner" if as_written else "left"
+    j = with_id_lists(line_counts(items)).join(products.select("pizza_id", "pizza_name"), "pizza_id", how).join(
+        parse_recipes(recipes), "pizza_id", how)
+    recipe = F.coalesce("recipe_ids", F.array().cast("array<bigint>"))
+    j = j.withColumn("recipe_ids", recipe).withColumn("_names", _names(toppings))
+    name = lambda x: F.try_element_at("_names", x)
+    kept = lambda x: F.array_contains("recipe_ids", x) & ~F.array_contains("exclusion_ids", x)
     if as_written:
-        rows = (j.select(*keys, "exclusion_ids", "extra_ids",
-                         F.posexplode("recipe_ids").alias("pos", "topping_id"))
-                .filter(~F.array_contains("exclusion_ids", F.col("topping_id"))))
-        named = rows.join(toppings, "topping_id").select(
-            *keys, "pos",
-            F.when(F.array_contains("extra_ids", F.col("topping_id")),
-                   F.concat(F.lit("2x"), F.col("topping_name"))).otherwise(F.col("topping_name")).alias("label"))
-        agg = named.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "label"))).alias("xs"))
+        ids = F.filter(F.filter("recipe_ids", lambda x: ~F.array_contains("exclusion_ids", x)), lambda x: name(x).isNotNull())
+        labels = F.transform(ids, lambda x: F.when(F.array_contains("extra_ids", x), F.concat(F.lit("2x"), name(x))).otherwise(name(x)))
+        j = j.withColumn("_labels", labels).filter(F.size("_labels") > 0)
     else:
-        cand = F.array_distinct(F.concat("recipe_ids", "extra_ids"))
-        kept = F.filter(cand, lambda x: (
-            (F.array_contains("recipe_ids", x) & ~F.array_contains("exclusion_ids", x)).cast("int")
-            + F.array_contains("extra_ids", x).cast("int")) > 0)
-        rows = j.select(*keys, "recipe_ids", "exclusion_ids", "extra_ids",
-                        F.explode_outer(kept).alias("topping_id"))
-        n = ((F.array_contains("recipe_ids", F.col("topping_id"))
-              & ~F.array_contains("exclusion_ids", F.col("topping_id"))).cast("int")
-             + F.array_contains("extra_ids", F.col("topping_id")).cast("int"))
-        named = rows.join(toppings, "topping_id", "left").select(
-            *keys, "topping_name",
-            F.when(n > 1, F.concat(n.cast("string"), F.lit("x"), F.col("topping_name")))
-             .otherwise(F.col("topping_name")).alias("label"))
-        agg = named.groupBy(*keys).agg(F.array_sort(F.collect_list(
-            F.when(F.col("topping_name").isNotNull(), F.struct("topping_name", "label")))).alias("xs"))
-    listed = F.array_join(F.transform("xs", lambda x: x["label"]), ", ")
+        ids = F.filter(F.array_distinct(F.concat("recipe_ids", "extra_ids")),
+                       lambda x: (kept(x) | F.array_contains("extra_ids", x)) & name(x).isNotNull())
+        pairs = F.array_sort(F.transform(ids, lambda x: F.struct(name(x).alias("n"), (kept(x) & F.array_contains("extra_ids", x)).alias("twice"))))
+        j = j.withColumn("_labels", F.transform(pairs, lambda p: F.when(p["twice"], F.concat(F.lit("2x"), p["n"])).otherwise(p["n"])))
     # CONCAT semantics of the original: a missing name leaves just the list
-    named_list = F.concat_ws("", F.concat(F.col("pizza_name"), F.lit(": ")), listed)
-    per_combo = agg.select(*COMBO, named_list.alias("ingredients_list"))
-    return _per_item(lc, per_combo, "ingredients_list")
+    text = F.concat_ws("", F.concat(F.col("pizza_name"), F.lit(": ")), F.array_join("_labels", ", "))
+    return _expanded(j, text, "ingredients_list", [*LINE_KEYS, "customer_id", "order_time"])
 
 
 def item_label(items: DataFrame, toppings: DataFrame, products: DataFrame) -> DataFrame:
     """'Name - Exclude a, b - Extra c, d' per item (parts without names vanish);
-    list names keep the order written in the item's lists.  Built once per
-    distinct (product, exclusions, extras)."""
-    lc = line_counts(items)
-    j = _combos(lc).join(products, "pizza_id")
-    keys = [*COMBO, "pizza_name"]
-    tagged = F.concat(
-        F.transform("exclusion_ids", lambda x, i: F.struct(F.lit(0).alias("kind"), i.alias("pos"), x.alias("topping_id"))),
-        F.transform("extra_ids", lambda x, i: F.struct(F.lit(1).alias("kind"), i.alias("pos"), x.alias("topping_id"))))
-    rows = j.select(*keys, F.explode_outer(tagged).alias("e")).select(
-        *keys, "e.kind", "e.pos", "e.topping_id")
-    named = rows.join(toppings, "topping_id", "left")
-    agg = named.groupBy(*keys).agg(F.array_sort(F.collect_list(
-        F.when(F.col("topping_name").isNotNull(), F.struct("kind", "pos", "topping_name")))).alias("xs"))
-
-    def part(kind: int, word: str):
-        names = F.transform(F.filter("xs", lambda x: x["kind"] == kind), lambda x: x["topping_name"])
+    list names keep the order written in the item's lists.  An item without a
+    product row has a label without the name."""
+    j = with_id_lists(line_counts(items)).join(products.select("pizza_id", "pizza_name"), "pizza_id", "left")
+    j = j.withColumn("_names", _names(toppings))
+
+    def part(ids: str, word: str):
+        names = F.filter(F.transform(ids, lambda x: F.try_element_at("_names", x)), lambda x: x.isNotNull())
         return F.when(F.size(names) > 0, F.concat(F.lit(word + " "), F.array_join(names, ", ")))
 
-    per_combo = agg.select(*COMBO, F.concat_ws(" - ", "pizza_name", part(0, "Exclude"), part(1, "Extra")).alias("label"))
-    return _per_item(lc, per_combo, "label").drop("customer_id", "order_time")
+    text = F.concat_ws(" - ", "pizza_name", part("exclusion_ids", "Exclude"), part("extra_ids", "Extra"))
+    return _expanded(j, text, "label", LINE_KEYS)
 
 
 def ingredient_usage(items: DataFrame, recipes: DataFrame, toppings: DataFrame,
@@ -205,11 +182,13 @@ def ingredient_usage(items: DataFrame, recipes: DataFrame, toppings: DataFrame,
     ``as_written``: all items; per recipe topping 2 if it is an extra, else 0
     if excluded, else 1; extras outside the recipe are not counted.
     Default: delivered items (when ``deliveries`` is given); per topping
-    (kept from the recipe ? 1 : 0) + (extra ? 1 : 0).
+    (kept from the recipe ? 1 : 0) + (extra ? 1 : 0); an item without a recipe
+    uses its extras.
     """
     src = items if deliveries is None else delivered_items(items, deliveries)
     grouped = src.groupBy("pizza_id", "exclusions", "extras").agg(F.count("*").alias("cnt"))
-    g = with_id_lists(grouped).join(parse_recipes(recipes), "pizza_id")
+    g = with_id_lists(grouped).join(parse_recipes(recipes), "pizza_id", "inner" if as_written else "left")
+    g = g.withColumn("recipe_ids", F.coalesce("recipe_ids", F.array().cast("array<bigint>")))
     tid = F.col("topping_id")
     if as_written:
         rows = g.select("cnt", "exclusion_ids", "extra_ids", F.explode("recipe_ids").alias("topping_id"))

@@ -53,7 +53,7 @@ def clean_deliveries(raw: DataFrame) -> DataFrame:
 
 
 def with_id_lists(items: DataFrame) -> DataFrame:
-    """Adds ``exclusion_ids`` / ``extra_ids`` as ARRAY<INT> (empty = none)."""
+    """Adds ``exclusion_ids`` / ``extra_ids`` as ARRAY<BIGINT> (empty = none)."""
     return items.withColumn("exclusion_ids", C.parse_id_list("exclusions")) \
                 .withColumn("extra_ids", C.parse_id_list("extras"))
 
@@ -88,9 +88,10 @@ def orders_per_courier(deliveries: DataFrame, successful_only: bool = True) -> D
 
 def product_mix(items: DataFrame, products: DataFrame, names: Iterable[str]) -> DataFrame:
     """Per customer, one count column per product name (conditional sums in a
-    single aggregation; names are given, so no extra job finds them)."""
+    single aggregation; names are given, so no extra job finds them).  A
+    product without a catalogue row counts under no name, but its customer stays."""
     per = items.groupBy("customer_id", "pizza_id").agg(F.count("*").alias("n"))
-    j = per.join(products, "pizza_id")
+    j = per.join(products, "pizza_id", "left")
     return j.groupBy("customer_id").agg(
         *[F.sum(F.when(F.col("pizza_name") == n, F.col("n")).otherwise(0)).alias(n) for n in names])
 
@@ -187,24 +188,34 @@ def prep_correlation(items: DataFrame, deliveries: DataFrame) -> DataFrame:
         .alias("correlation"))
 
 
-def avg_distance(items: DataFrame, deliveries: DataFrame, per: str = "item") -> DataFrame:
-    """Average delivery distance per customer, rounded to 0.1 km.
+KM_UNITS = 100_000_000     # distances are summed as whole units of 1e-8 km
 
+
+def km_units(distance: str = "distance") -> Column:
+    """The distance as written, in whole units of 1e-8 km: the shortest decimal
+    of the double is the number that the text held, and nothing is rounded
+    before the final result."""
+    return (F.col(distance).cast("decimal(20,8)") * F.lit(KM_UNITS)).cast("bigint")
+
+
+def avg_distance(items: DataFrame, deliveries: DataFrame, per: str = "order") -> DataFrame:
+    """Average delivery distance per customer, rounded once, half away from
+    zero, to 0.1 km.
+
+    ``per='order'`` (the question's reading) counts each order once;
     ``per='item'`` weights each order by its item count (the joined-rows
-    average); ``per='order'`` counts each order once.  Items are reduced to
-    (customer, order, count) before the join.
+    average).  Items are reduced to (customer, order, count) before the join.
     """
     cnt = items.groupBy("customer_id", "order_id").agg(F.count("*").alias("n"))
     if per == "order":
         cnt = cnt.withColumn("n", F.lit(1).cast("bigint"))
-    j = cnt.join(deliveries.select("order_id", "distance"), "order_id")
-    # exact half-up rounding of the mean to 0.1 km from integer hundredths
-    # (float sums would make a mean of exactly x.x5 round either way)
-    hundredths = F.round(F.col("distance") * 100).cast("bigint")
-    s = F.sum(hundredths * F.col("n"))
-    n = F.sum(F.when(F.col("distance").isNotNull(), F.col("n")))
-    tenths = F.signum(s) * F.floor((2 * F.abs(s) + 10 * n) / (20 * n))   # half away from zero
-    return j.groupBy("customer_id").agg((tenths / F.lit(10.0)).alias("average_distance"))
+    j = cnt.join(deliveries.select("order_id", km_units().alias("u")), "order_id")
+    sums = j.groupBy("customer_id").agg(
+        F.sum(F.col("u").cast("decimal(28,0)") * F.col("n").cast("decimal(10,0)")).cast("decimal(38,0)").alias("s"),
+        F.sum(F.when(F.col("u").isNotNull(), F.col("n"))).cast("decimal(20,0)").alias("n"))
+    # exact, since a float mean of exactly x.x5 could round either way
+    tenths = F.expr(f"signum(s) * ((2 * abs(s) + {KM_UNITS // 10} * n) div ({KM_UNITS // 5} * n))").cast("double")
+    return sums.select("customer_id", F.when(F.col("n") > 0, tenths / F.lit(10.0)).alias("average_distance"))
 
 
 def duration_spread(deliveries: DataFrame) -> DataFrame:
@@ -212,15 +223,15 @@ def duration_spread(deliveries: DataFrame) -> DataFrame:
 
 
 def speed_kmh(distance: str = "distance", duration: str = "duration") -> Column:
-    """km/h = distance / minutes * 60, rounded half away from zero to 0.1;
-    NULL for a zero or missing duration.  Rounded exactly from integer hundredths of a km,
-    since e.g. 8.1 km in 40 min is exactly 12.15 km/h and a float quotient
-    lands on either side of the half."""
-    d100 = F.round(F.col(distance) * 100).cast("bigint")
-    t = F.col(duration).cast("bigint")
-    # 10 * km/h = 6 * d100 / t, rounded half away from zero
-    tenths = F.signum(d100 * t) * F.floor((12 * F.abs(d100) + F.abs(t)) / (2 * F.abs(t)))
-    return F.when(t != 0, tenths / F.lit(10.0))
+    """km/h = distance / minutes * 60, rounded once, half away from zero, to
+    0.1; NULL for a zero or missing duration.  Exact in whole units of
+    distance: 8.1 km in 40 min is 12.15 km/h and a float quotient lands on
+    either side of the half."""
+    u = f"cast(cast({distance} AS decimal(20,8)) * {KM_UNITS} AS decimal(28,0))"
+    t = f"cast({duration} AS decimal(10,0))"
+    # 10 * km/h = 600 * u / (KM_UNITS * t)
+    tenths = f"signum({u}) * signum({t}) * ((1200 * abs({u}) + {KM_UNITS} * abs({t})) div ({2 * KM_UNITS} * abs({t})))"
+    return F.expr(f"CASE WHEN {duration} <> 0 THEN cast({tenths} AS double) / 10D END")
 
 
 def speed(items: DataFrame, deliveries: DataFrame) -> DataFrame:

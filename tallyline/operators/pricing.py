@@ -62,7 +62,8 @@ def revenue_with_extras(items: DataFrame, deliveries: DataFrame, products: DataF
 
 
 def ratings(items: DataFrame, deliveries: DataFrame) -> DataFrame:
-    """A rating 1..5 for every successful order (derived from its keys)."""
+    """A rating 1..5 for every successful order, derived from its keys: stands
+    in for the ratings table where none is given (the test tables)."""
     orders = items.select("order_id", "customer_id").distinct()
     j = orders.join(successful(deliveries).select("order_id"), "order_id")
     return j.select("order_id", "customer_id",
@@ -78,26 +79,36 @@ def delivery_fact(items: DataFrame, deliveries: DataFrame, rating_table: DataFra
                     "duration", speed_kmh().alias("avg_speed"), "pizza_count")
 
 
-def net_after_pay(items: DataFrame, deliveries: DataFrame, products: DataFrame,
-                  prices: Mapping[str, int], default: int, rate_per_km: float = 0.3) -> DataFrame:
+def net_after_pay(items: DataFrame, deliveries: DataFrame, products: DataFrame, prices: Mapping[str, int],
+                  default: int, rate_per_km: float = 0.3, as_written: bool = False) -> DataFrame:
     """Delivered revenue, courier pay (rate x total km) and what is left,
-    rounded to cents."""
+    rounded to cents.
+
+    Default: couriers are paid for successful deliveries, and no revenue is 0.
+    ``as_written``: the kilometres of every delivery.  Kilometres are summed
+    as decimals, so the cents do not depend on the order of the rows."""
     rev = revenue(items, deliveries, products, prices, default)
-    paid = deliveries.agg(F.round(F.sum("distance") * F.lit(rate_per_km), 2).alias("runners_paid"))
-    return paid.select(rev.scalar().alias("revenue"), "runners_paid").select(
-        "revenue", "runners_paid", F.round(F.col("revenue") - F.col("runners_paid"), 2).alias("change_left"))
+    paid_for = deliveries if as_written else successful(deliveries)
+    km = F.sum(F.col("distance").cast("decimal(20,8)"))
+    paid = paid_for.agg(F.round(km * F.lit(str(rate_per_km)).cast("decimal(10,6)"), 2).alias("paid"))
+    earned = rev.scalar() if as_written else F.coalesce(rev.scalar(), F.lit(0))
+    cost = F.col("paid") if as_written else F.coalesce("paid", F.lit(0))
+    return paid.select(earned.cast("bigint").alias("revenue"), cost.cast("decimal(30,2)").alias("p")).select(
+        "revenue", F.col("p").cast("double").alias("runners_paid"), (F.col("revenue") - F.col("p")).cast("double").alias("change_left"))
 
 
 def append_product(products: DataFrame, recipes: DataFrame, toppings: DataFrame, name: str,
-                   new_id: int | None = None) -> DataFrame:
-    """Product catalogue (id, name, recipe text) with one new product holding
-    every topping; its id is ``new_id`` or one past the largest id."""
-    current = products.join(recipes, "pizza_id").select("pizza_id", "pizza_name", "toppings")
+                   new_id: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(products, recipes), each with one row more: a new product holding every
+    topping, whose id is ``new_id`` or one past the largest id.  All rows stay.
+
+    The topping ids are collected into one text (bounded by the toppings)."""
     if new_id is not None:
-        id_col = F.lit(new_id).cast(products.schema["pizza_id"].dataType)
+        id_col = F.lit(new_id)
     else:
         id_col = products.agg(F.max("pizza_id") + 1).scalar()
-    all_ids = toppings.agg(F.array_join(F.transform(F.array_sort(F.collect_list("topping_id")),
-                                                    lambda x: x.cast("string")), ", ").alias("toppings"))
-    new_row = all_ids.select(id_col.alias("pizza_id"), F.lit(name).alias("pizza_name"), "toppings")
-    return current.unionByName(new_row)
+    all_ids = F.array_join(F.transform(F.array_sort(F.collect_list("topping_id")), lambda x: x.cast("string")), ", ")
+    id_type = products.schema["pizza_id"].dataType
+    new = toppings.agg(all_ids.alias("toppings")).select(id_col.cast(id_type).alias("pizza_id"), F.lit(name).alias("pizza_name"), "toppings")
+    return (products.select("pizza_id", "pizza_name").unionByName(new.select("pizza_id", "pizza_name")),
+            recipes.select("pizza_id", "toppings").unionByName(new.select("pizza_id", "toppings")))

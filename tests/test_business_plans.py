@@ -23,6 +23,7 @@ def tables(spark, pizza, ledger):
     return {
         "customer_orders": pizza["raw_orders"], "runner_orders": pizza["raw_deliveries"],
         "pizza_names": pizza["products"], "pizza_recipes": pizza["recipes"], "pizza_toppings": pizza["toppings"],
+        "pizza_ratings": spark.createDataFrame([(1, 11, 3), (2, 12, 5)], "order_id bigint, customer_id bigint, rating int"),
         "runners": spark.createDataFrame([(1, d("2021-01-01")), (2, d("2021-01-03")), (3, d("2021-01-08"))],
                                          "runner_id int, registration_date date"),
         "customer_transactions": ledger.drop("txn_id"),
@@ -42,6 +43,8 @@ def test_business_values(spark, tables):
     assert rows(BP.run(spark, tables, "by_week_anchor", PARAMS)) == [(1, 2), (2, 1)]
     assert rows(BP.run(spark, tables, "by_week_us", PARAMS)) == [(1, 1), (2, 2)]
     assert BP.run(spark, tables, "realloc_avg", PARAMS).first()[0] == 10.0
+    fact = BP.run(spark, tables, "delivery_fact", PARAMS).collect()
+    assert {r["order_id"]: r["rating"] for r in fact}[1] == 3
     cb = rows(BP.run(spark, tables, "closing_balance", PARAMS), "customer_id", "end_date", "closing_balance")
     assert cb[2] == (1, d("2020-03-31"), -25)
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tallyline.operators import lists as LS
 
 from .conftest import rows
@@ -102,3 +104,18 @@ def test_line_ids_chunked_expansion(spark):
     assert sorted(r["line_no"] for r in LS.expand_lines(lc, chunk=3).collect()) == list(range(1, 24))
     got = rows(LS.expand_lines(lc, chunk=3), "exclusions", "line_no")
     assert got[:2] == [("", 1), ("", 2)] and got[-1] == ("2", 23)
+
+
+def test_items_without_product_or_recipe_rows_stay(spark, pizza):
+    raw = spark.createDataFrame([(1, 1, 1, "", "2"), (1, 1, 8, "1", "2"), (1, 1, 9, "", "")],
+                                "order_id bigint, customer_id bigint, pizza_id bigint, exclusions string, extras string")
+    items = raw.withColumn("order_time", F.lit("2021-01-01 00:00:00").cast("timestamp_ntz"))
+    products = pizza["products"].unionByName(spark.createDataFrame([(9, "Plain")], "pizza_id bigint, pizza_name string"))
+    got = {r["pizza_id"]: r["ingredients_list"] for r in LS.ingredient_list(items, pizza["recipes"], pizza["toppings"], products).collect()}
+    assert got == {1: "Meat Lovers: Bacon, Beef, 2xCheese", 8: "Cheese", 9: "Plain: "}
+    got = {r["pizza_id"]: r["label"] for r in LS.item_label(items, pizza["toppings"], products).collect()}
+    assert got == {1: "Meat Lovers - Extra Cheese", 8: "Exclude Bacon - Extra Cheese", 9: "Plain"}
+    used = dict(rows(LS.ingredient_usage(items, pizza["recipes"], pizza["toppings"])))
+    assert used == {"Bacon": 1, "Beef": 1, "Cheese": 3}
+    written = LS.ingredient_list(items, pizza["recipes"], pizza["toppings"], products, as_written=True)
+    assert [r["pizza_id"] for r in written.collect()] == [1]

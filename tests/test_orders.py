@@ -61,8 +61,8 @@ def test_speed_zero_duration_and_half_up(pizza):
 
 def test_avg_distance(pizza):
     # customer 11: o1 (2 items, 20 km) + o4 (1 item, 5 km): per item 15.0, per order 12.5
-    per_item = dict(rows(O.avg_distance(pizza["items"], pizza["deliveries"])))
-    per_order = dict(rows(O.avg_distance(pizza["items"], pizza["deliveries"], per="order")))
+    per_item = dict(rows(O.avg_distance(pizza["items"], pizza["deliveries"], per="item")))
+    per_order = dict(rows(O.avg_distance(pizza["items"], pizza["deliveries"])))
     assert per_item[11] == 15.0 and per_order[11] == 12.5
     # customer 12: o2 (2 items, 13.4) and cancelled o6 (NULL distance ignored)
     assert per_item[12] == 13.4
@@ -93,9 +93,10 @@ def test_delivery_fact(pizza):
 
 
 def test_append_product(pizza):
-    out = PR.append_product(pizza["products"], pizza["recipes"], pizza["toppings"], "Supreme")
-    assert rows(out.filter("pizza_name = 'Supreme'")) == [(3, "Supreme", "1, 2, 3, 4, 5")]
-    assert out.count() == 3
+    names, recipes = PR.append_product(pizza["products"], pizza["recipes"].filter("pizza_id = 1"), pizza["toppings"], "Supreme")
+    # the product without a recipe stays
+    assert rows(names) == [(1, "Meat Lovers"), (2, "Vegetarian"), (3, "Supreme")]
+    assert rows(recipes) == [(1, "1, 2, 3"), (3, "1, 2, 3, 4, 5")]
 
 
 def test_speed_rounding_is_symmetric(spark):
@@ -105,5 +106,40 @@ def test_speed_rounding_is_symmetric(spark):
 
 
 def test_append_product_with_given_id(pizza):
-    out = PR.append_product(pizza["products"], pizza["recipes"], pizza["toppings"], "Supreme", new_id=9)
-    assert rows(out.filter("pizza_name = 'Supreme'")) == [(9, "Supreme", "1, 2, 3, 4, 5")]
+    names, recipes = PR.append_product(pizza["products"], pizza["recipes"], pizza["toppings"], "Supreme", new_id=9)
+    assert rows(names)[-1] == (9, "Supreme") and rows(recipes)[-1] == (9, "1, 2, 3, 4, 5")
+
+
+def test_distances_are_rounded_once(spark):
+    """0.745 km in 3 min is 14.9 km/h; means of 0.745 and 5.0496 are 0.7 and 5.0."""
+    df = spark.createDataFrame([(0.745, 3)], "distance double, duration int")
+    assert df.select(O.speed_kmh()).first()[0] == 14.9
+    items = spark.createDataFrame([(1, 1), (2, 2)], "order_id bigint, customer_id bigint")
+    raw = spark.createDataFrame([(1, "0.745 km"), (2, "5.0496km")], "order_id bigint, distance string")
+    from tallyline.functions import clean as C
+    deliveries = raw.select("order_id", C.parse_number("distance", C.DISTANCE_UNITS).alias("distance"))
+    assert rows(O.avg_distance(items, deliveries)) == [(1, 0.7), (2, 5.0)]
+
+
+def test_product_mix_keeps_customers_without_catalogue_rows(spark):
+    items = spark.createDataFrame([(1, 7, 1), (2, 8, 99)], "order_id bigint, customer_id bigint, pizza_id bigint")
+    products = spark.createDataFrame([(1, "A")], "pizza_id bigint, pizza_name string")
+    assert rows(O.product_mix(items, products, ["A"])) == [(7, 1), (8, 0)]
+
+
+def _deliveries(spark, cancelled):
+    return spark.createDataFrame([(1, 1, 10.0, cancelled)], "order_id bigint, runner_id int, distance double, cancellation string")
+
+
+def test_net_after_pay_pays_for_successful_orders(spark, pizza):
+    items = pizza["items"].filter("order_id = 1")
+    paid = lambda c, **k: PR.net_after_pay(items, _deliveries(spark, c), pizza["products"], {"Meat Lovers": 12}, 10, **k).first()
+    assert tuple(paid("Customer Cancellation")) == (0, 0.0, 0.0)
+    assert tuple(paid("Customer Cancellation", as_written=True)) == (None, 3.0, None)
+    assert tuple(paid(None)) == (22, 3.0, 19.0)
+
+
+def test_given_ratings_are_used(spark, pizza):
+    ratings = spark.createDataFrame([(1, 11, 3)], "order_id bigint, customer_id bigint, rating int")
+    fact = PR.delivery_fact(pizza["items"], pizza["deliveries"], ratings)
+    assert {r["order_id"]: r["rating"] for r in fact.collect()}[1] == 3
