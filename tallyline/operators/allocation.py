@@ -70,22 +70,53 @@ def alloc_trailing30(txns: DataFrame, floor_at_zero: bool = True, days: int = 30
         (F.sum(v).cast("double") / F.lit(float(days))).alias("data_required")).orderBy("month")
 
 
+def month_peaks(txns: DataFrame) -> DataFrame:
+    """customer_id, month, peak, balance for the months with transactions: the
+    highest balance reached (the one carried in included) and the last one."""
+    per = running_balance(txns).groupBy("customer_id", F.last_day("txn_date").alias("month")).agg(
+        F.max("running_balance").alias("top"), F.max_by("running_balance", F.struct("txn_date", "txn_id")).alias("balance"))
+    w = Window.partitionBy("customer_id").orderBy("month")
+    carried = F.coalesce(F.lag("balance").over(w), F.lit(0))
+    return per.select("customer_id", "month", F.greatest("top", carried).alias("peak"), "balance")
+
+
+def monthly_total(peaks: DataFrame, floor_at_zero: bool = True) -> DataFrame:
+    """month, data_required: the sum over customers of each month's peak, for
+    every month from the first to the last; a month without transactions of a
+    customer holds the balance carried into it.
+
+    No customer is expanded to its quiet months: a balance is added in the
+    month after it was reached and taken off in the customer's next active
+    month, and the running sum of those changes over the months (one row each)
+    is what quiet customers hold."""
+    v = (lambda c: F.greatest(F.col(c), F.lit(0))) if floor_at_zero else F.col
+    w = Window.partitionBy("customer_id").orderBy("month")
+    rows = peaks.select("month", v("peak").alias("own"), v("balance").alias("held"), F.lead("month").over(w).alias("next"))
+    changes = rows.select(F.explode(F.array(
+        F.struct("month", F.col("own").cast("decimal(38,0)").alias("own"), F.lit(0).cast("decimal(38,0)").alias("change")),
+        F.struct(F.last_day(F.add_months("month", 1)).alias("month"), F.lit(None).cast("decimal(38,0)").alias("own"), F.col("held").cast("decimal(38,0)").alias("change")),
+        F.struct(F.col("next").alias("month"), F.lit(None).cast("decimal(38,0)").alias("own"), (-F.col("held")).cast("decimal(38,0)").alias("change")))).alias("c"))
+    per = changes.select("c.*").filter("month is not null").groupBy("month").agg(F.sum("own").alias("own"), F.sum("change").alias("change"))
+    # From here on one row per calendar month.
+    order = Window.orderBy("month")
+    months = per.select("month", F.coalesce("own", F.lit(0)).alias("own"), F.sum("change").over(order).alias("quiet"), F.lead("month").over(order).alias("next"),
+                        F.max(F.when(F.col("own").isNotNull(), F.col("month"))).over(Window.partitionBy()).alias("last"))
+    months = months.filter(F.col("month") <= F.col("last"))
+    filled = months.select("month", "own", "quiet", F.explode(F.sequence(
+        F.trunc("month", "month"), F.trunc(F.when(F.col("month") < F.col("last"), F.add_months("next", -1)).otherwise(F.col("month")), "month"),
+        F.expr("INTERVAL 1 MONTH"))).alias("ms"))
+    here = F.last_day("ms")
+    return filled.select(here.alias("month"), (F.when(here == F.col("month"), F.col("own")).otherwise(F.lit(0)) + F.col("quiet")).cast("bigint").alias(
+        "data_required")).orderBy("month")
+
+
 def alloc_realtime(txns: DataFrame, floor_at_zero: bool = True) -> DataFrame:
-    w = Window.partitionBy("customer_id").orderBy("end_date")
-    cb = closing_balance(txns).select(
-        "customer_id", "end_date", F.coalesce(F.lag("closing_balance").over(w), F.lit(0)).alias("carried"))
-    peaks = running_balance(txns).groupBy("customer_id", F.last_day("txn_date").alias("end_date")).agg(
-        F.max("running_balance").alias("peak_txn"))
-    j = cb.join(peaks, ["customer_id", "end_date"], "left")
-    peak = F.greatest(F.col("carried"), F.coalesce("peak_txn", "carried"))
-    v = F.greatest(peak, F.lit(0)) if floor_at_zero else peak
-    return j.groupBy(F.col("end_date").alias("month")).agg(
-        F.sum(v).cast("bigint").alias("data_required")).orderBy("month")
-
-
-def interest_simple(txns: DataFrame, annual_rate: float = 0.06, floor_at_zero: bool = True) -> DataFrame:
+    return monthly_total(month_peaks(txns), floor_at_zero)
+
+
+def interest_simple(txns: DataFrame, annual_rate: float = 0.06, floor_at_zero: bool = True, scale: int = 2) -> DataFrame:
     """Monthly total of daily simple interest (rate/365 on each day's closing
-    balance), rounded to 2 decimals."""
+    balance), rounded to ``scale`` decimals."""
     seg = balance_segments(txns)
     ex = seg.select("seg_start", "seg_end", "balance",
                     F.explode(F.sequence(F.trunc("seg_start", "month"), F.trunc("seg_end", "month"),
@@ -94,19 +125,24 @@ def interest_simple(txns: DataFrame, annual_rate: float = 0.06, floor_at_zero: b
     overlap = F.datediff(F.least("seg_end", me), F.greatest("seg_start", "ms")) + 1
     b = F.greatest("balance", F.lit(0)) if floor_at_zero else F.col("balance")
     per = ex.groupBy(me.alias("month")).agg(F.sum(b * overlap).alias("balance_days"))
-    return per.select("month", F.round(F.col("balance_days").cast("double") * F.lit(annual_rate) / F.lit(365.0), 2)
+    return per.select("month", F.round(F.col("balance_days").cast("double") * F.lit(annual_rate) / F.lit(365.0), scale)
                       .alias("data_required")).orderBy("month")
 
 
-def interest_compound(txns: DataFrame, annual_rate: float = 0.06) -> DataFrame:
+def interest_compound(txns: DataFrame, annual_rate: float = 0.06, floor_at_zero: bool = False, scale: int = 2) -> DataFrame:
     """Monthly interest with daily compounding: each day's closing balance
-    grows by (1 + rate/365) at the end of the day.
+    grows by (1 + rate/365) at the end of the day; with ``floor_at_zero`` only
+    a positive one does.
 
     Balance at day D is sum(a_t * g^(D - t + 1)) with g = 1 + rate/365, so a
     month's total over all customers follows from per-month sums of a_t and
-    a_t * g^-(t - t0); exponents are offset from the first date t0.  Rounded
-    to whole units.  Balances are not floored (the closed form is linear).
+    a_t * g^-(t - t0); exponents are offset from the first date t0.  The floor
+    makes each customer's balance depend on its own path, which is followed
+    along its days with transactions and month ends.  Rounded to ``scale``
+    decimals.
     """
+    if floor_at_zero:
+        return _compound_floored(txns, annual_rate, scale)
     g = 1.0 + annual_rate / 365.0
     t0 = txns.agg(F.min("txn_date")).scalar()
     amt = signed(txns)
@@ -123,7 +159,32 @@ def interest_compound(txns: DataFrame, annual_rate: float = 0.06) -> DataFrame:
     bal = j.select("month", "a", (F.pow(F.lit(g), (F.datediff("month", t0) + 1).cast("double"))
                                   * F.sum("w").over(wm.rowsBetween(Window.unboundedPreceding, 0))).alias("b"))
     interest = F.col("b") - F.coalesce(F.lag("b").over(wm), F.lit(0.0)) - F.col("a")
-    return bal.select("month", F.round(interest, 0).alias("data_required")).orderBy("month")
+    return bal.select("month", F.round(interest, scale).alias("data_required")).orderBy("month")
+
+
+def _compound_floored(txns: DataFrame, annual_rate: float, scale: int) -> DataFrame:
+    """Daily compounding of positive balances only.  A customer's path holds at
+    most one entry per calendar day (day nets are summed first), so it is
+    bounded by the calendar, not by the transactions."""
+    g = 1.0 + annual_rate / 365.0
+    horizon = F.date_add(_horizon(txns), 1)
+    day = txns.groupBy("customer_id", "txn_date").agg(F.sum(signed(txns)).cast("double").alias("net"))
+    path = day.groupBy("customer_id").agg(F.collect_list(F.struct(F.col("txn_date").alias("d"), "net")).alias("days"), F.min("txn_date").alias("first"))
+    path = path.withColumn("end", horizon)      # a subquery cannot stand inside a lambda's argument
+    # The first of every later month ends the growth of the month before.
+    firsts = F.transform(F.sequence(F.add_months(F.trunc("first", "month"), 1), F.col("end"), F.expr("INTERVAL 1 MONTH")),
+                         lambda d: F.struct(d.alias("d"), F.lit(0.0).alias("net")))
+    steps = F.array_sort(F.concat("days", firsts))
+    grown = lambda acc, x: F.when((acc["b"] > 0) & acc["d"].isNotNull(),
+                                  acc["b"] * F.pow(F.lit(g), F.datediff(x["d"], acc["d"]).cast("double"))).otherwise(acc["b"])
+    start = F.struct(F.lit(0.0).alias("b"), F.lit(None).cast("date").alias("d"), F.array().cast("array<struct<month:date,i:double>>").alias("out"))
+    run = F.aggregate(steps, start, lambda acc, x: F.struct(
+        (grown(acc, x) + x["net"]).alias("b"), x["d"].alias("d"),
+        F.concat(acc["out"], F.array(F.struct(F.last_day(F.date_sub(x["d"], 1)).alias("month"), (grown(acc, x) - acc["b"]).alias("i")))).alias("out")),
+        lambda acc: acc["out"])
+    rows = path.select(F.explode(run).alias("r")).select("r.month", "r.i")
+    lo = F.trunc(txns.agg(F.min("txn_date")).scalar(), "month")
+    return rows.filter(F.col("month") >= lo).groupBy("month").agg(F.round(F.sum("i"), scale).alias("data_required")).orderBy("month")
 
 
 def allocation(txns: DataFrame, option: int, floor_at_zero: bool = True) -> DataFrame:
@@ -135,8 +196,10 @@ def allocation(txns: DataFrame, option: int, floor_at_zero: bool = True) -> Data
     return fns[option](txns, floor_at_zero=floor_at_zero)
 
 
-def interest(txns: DataFrame, annual_rate: float = 0.06, compound: bool = False) -> DataFrame:
-    """Monthly data growth from daily interest, simple or compounding."""
+def interest(txns: DataFrame, annual_rate: float = 0.06, compound: bool = False, floor_at_zero: bool | None = None,
+             scale: int = 2) -> DataFrame:
+    """Monthly data growth from daily interest, simple or compounding; the
+    floor is that of the chosen kind (simple: on, compounding: off) unless given."""
     if compound:
-        return interest_compound(txns, annual_rate)
-    return interest_simple(txns, annual_rate)
+        return interest_compound(txns, annual_rate, bool(floor_at_zero), scale)
+    return interest_simple(txns, annual_rate, floor_at_zero is not False, scale)

@@ -33,7 +33,8 @@ def signed(txns: DataFrame) -> Column:
 
 
 def txn_summary(txns: DataFrame) -> DataFrame:
-    return txns.groupBy("txn_type").agg(F.count("*").alias("unique_count"),
+    """Rows and amount per type; types compare without case and outer blanks."""
+    return txns.groupBy(C.norm_text("txn_type").alias("txn_type")).agg(F.count("*").alias("unique_count"),
                                         F.sum("txn_amount").cast("bigint").alias("total_amount"))
 
 
@@ -74,11 +75,18 @@ def monthly_net(txns: DataFrame) -> DataFrame:
         F.sum(signed(txns)).cast("bigint").alias("net"))
 
 
+MAX_YEAR = 2199    # a grid beyond it comes from a sentinel date such as 9999-12-31
+
+
 def month_bounds(txns: DataFrame, start: str | None = None, end: str | None = None) -> tuple[Column, Column]:
     """First and last month start of the grid: the data's first and last
-    transaction months (scalar subqueries) unless fixed dates are given."""
-    lo = F.lit(start).cast("date") if start else txns.agg(F.min("txn_date")).scalar()
-    hi = F.lit(end).cast("date") if end else txns.agg(F.max("txn_date")).scalar()
+    transaction months (one scalar subquery for both) unless fixed dates are
+    given.  A last month after ``MAX_YEAR`` is an error, since every customer
+    would get a row for each of its months."""
+    both = txns.agg(F.struct(F.min("txn_date").alias("lo"), F.max("txn_date").alias("hi")).alias("b")).scalar()
+    lo = F.lit(start).cast("date") if start else both["lo"]
+    hi = F.lit(end).cast("date") if end else both["hi"]
+    hi = F.when(F.year(hi) > MAX_YEAR, F.raise_error(F.lit(f"the month grid would run beyond {MAX_YEAR}: give an end date"))).otherwise(hi)
     return F.trunc(lo, "month"), F.trunc(hi, "month")
 
 

@@ -15,6 +15,7 @@ per-task maps of distinct day gaps, not sorted in one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -104,6 +105,6 @@ def realloc_percentiles(nodes: DataFrame, regions: DataFrame,
             return F.percentile(F.col("moving_days"), F.lit(p))
         return F.approx_percentile(F.col("moving_days"), p, accuracy).cast("double")
 
-    per = gaps.groupBy("region_id").agg(*[pct(p).alias(PCT_NAMES.get(p, f"p{int(p * 100)}")) for p in ps])
-    cols = [PCT_NAMES.get(p, f"p{int(p * 100)}") for p in ps]
+    cols = [PCT_NAMES.get(p, "p" + f"{Decimal(str(float(p))) * 100:f}".rstrip("0").rstrip(".").replace(".", "_")) for p in ps]
+    per = gaps.groupBy("region_id").agg(*[pct(p).alias(n) for p, n in zip(ps, cols)])
     return per.join(regions, "region_id").select("region_id", "region_name", *cols).orderBy("region_id")

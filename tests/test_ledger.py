@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyline.operators import allocation as AL
@@ -158,3 +159,39 @@ def test_row_order_does_not_change_results(ledger):
     shuffled = ledger.repartition(5).orderBy(F.rand(7)).repartition(3)
     for fn in (L.running_balance, L.closing_balance, L.growth_pct, AL.alloc_trailing30, AL.alloc_realtime):
         assert rows(fn(shuffled)) == rows(fn(ledger)), fn.__name__
+
+
+def test_compound_interest_with_floor_matches_a_daily_walk(ledger):
+    txns = ledger.collect()
+    g, want = 1 + 0.06 / 365, {}
+    for c in {r["customer_id"] for r in txns}:
+        own = [r for r in txns if r["customer_id"] == c]
+        b, day = 0.0, min(r["txn_date"] for r in own)
+        while day <= dt.date(2020, 3, 31):
+            b += sum(-r["txn_amount"] if r["txn_type"] in ("withdrawal", "purchase") else r["txn_amount"] for r in own if r["txn_date"] == day)
+            gain = b * (g - 1) if b > 0 else 0.0
+            b += gain
+            want[day.month] = want.get(day.month, 0.0) + gain
+            day += dt.timedelta(days=1)
+    got = {r["month"].month: r["data_required"] for r in AL.interest(ledger, compound=True, floor_at_zero=True, scale=6).collect()}
+    assert got.keys() == want.keys() and all(abs(got[m] - want[m]) < 1e-5 for m in want)
+
+
+def test_a_sentinel_date_is_an_error_not_a_huge_grid(spark):
+    t = spark.createDataFrame([(1, 1, d("2020-01-01"), "deposit", 1), (1, 2, d("9999-12-31"), "deposit", 1)],
+                              "customer_id bigint, txn_id bigint, txn_date date, txn_type string, txn_amount bigint")
+    with pytest.raises(Exception, match="give an end date"):
+        L.closing_balance(t).collect()
+    assert L.closing_balance(t, end="2020-03-31").count() == 3
+
+
+def test_type_summary_ignores_case(spark):
+    t = spark.createDataFrame([(1, " Deposit", 1), (1, "deposit", 2)], "customer_id bigint, txn_type string, txn_amount bigint")
+    assert rows(L.txn_summary(t)) == [("deposit", 2, 3)]
+
+
+def test_realtime_allocation_reads_the_ledger_twice_at_most(spark):
+    from tallyline.plans.catalog import QUERIES
+    from .conftest import SF_SMALL
+    plan = QUERIES["alloc_realtime"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") <= 2
