@@ -4,32 +4,37 @@
   aggregation (update mode).  State is one row per customer.
 * ``live_monthly_net(stream)`` -- net flow per customer and month
   (update mode, no watermark, so late rows still count).
-* ``live_month_peaks(stream)`` -- the peak balance each customer reaches in
-  each month, carried balance included, kept with ``applyInPandasWithState``
-  (state per customer: balance, open month, peak so far).  Within a
-  micro-batch a customer's transactions are applied in (date, txn_id) order;
-  across micro-batches they are applied in arrival order, so the source
-  should deliver each customer's ledger in order (e.g. an append-only log).
-* ``run_to_table`` drives a streaming query with an ``availableNow`` trigger
-  into a Parquet folder under the session's checkpoint directory, and
-  returns the latest row per key as a batch DataFrame.
+* ``MonthPeaks`` -- the peak balance each customer reaches in each month, the
+  balance carried in included.  Every micro-batch is one Spark job over the
+  batch and a state table (one row per customer: balance, open month, its peak,
+  last transaction), so no customer's rows meet in one Python process and a
+  hot customer is split like in the batch operator.  Transactions are applied
+  in event order (date, id): a row at or before its customer's last applied
+  transaction is late; late rows go to a table of their own and change nothing.
+* ``month_total`` -- the monthly requirement over all customers, quiet months
+  included, from the emitted peaks.
+
+Sources are folders that grow; ``replay`` feeds a ledger in date ranges, so a
+customer's history crosses micro-batches.  Every batch writes its own folder,
+which a retry overwrites.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import clean as C
+from ..operators.allocation import monthly_total
+from ..operators.ledger import running_balance
 from ..session import ensure_checkpoint_dir
 
 TXN_SCHEMA = "customer_id bigint, txn_id bigint, txn_date date, txn_type string, txn_amount bigint"
+STATE_SCHEMA = "customer_id bigint, balance bigint, month date, peak bigint, last_date date, last_id bigint"
+PEAK_SCHEMA = "customer_id bigint, month date, peak bigint, balance bigint"
+PERIODS = 3        # date ranges of a replay
 
 
 def live_balance(stream: DataFrame) -> DataFrame:
@@ -48,97 +53,121 @@ def live_monthly_net(stream: DataFrame) -> DataFrame:
         F.count("*").alias("txn_count"))
 
 
-_OUT_SCHEMA = "customer_id bigint, month_idx bigint, peak bigint, balance bigint"
-_STATE_SCHEMA = "balance bigint, month bigint, peak bigint"
-
-
-def _peaks(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Per customer: apply the batch's transactions in (day, txn_id) order to
-    the carried state and emit (month, peak, balance) for every month touched.
-    Plain numpy on int columns: the signed amount and the month index are
-    computed in the JVM before, and the month date after, this function."""
-    (cust,) = key
-    parts = list(pdfs)
-    pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-    if state.exists:
-        balance, month, peak = state.get
-    else:
-        balance, month, peak = 0, None, None
-    order = np.lexsort((pdf["txn_id"].to_numpy(), pdf["day"].to_numpy()))
-    amt = pdf["signed"].to_numpy(dtype=np.int64)[order]
-    mon = pdf["month_idx"].to_numpy(dtype=np.int64)[order]
-    run = balance + np.cumsum(amt)
-    starts = np.flatnonzero(np.r_[True, mon[1:] != mon[:-1]])
-    seg_max = np.maximum.reduceat(run, starts)
-    carried = np.r_[balance, run[starts[1:] - 1]]     # balance entering each month segment
-    peaks = np.maximum(seg_max, carried)
-    if month is not None and mon[0] == month:           # continuing the open month
-        peaks[0] = max(peaks[0], peak)
-    ends = np.r_[starts[1:] - 1, len(run) - 1]
-    months = mon[starts]
-    state.update((int(run[-1]), int(months[-1]), int(peaks[-1])))
-    yield pd.DataFrame({"customer_id": np.full(len(starts), cust, dtype=np.int64), "month_idx": months,
-                        "peak": peaks, "balance": run[ends]})
-
-
-def live_month_peaks(stream: DataFrame) -> DataFrame:
-    prepared = stream.select(
-        "customer_id", "txn_id",
-        F.datediff("txn_date", F.lit("1970-01-01").cast("date")).alias("day"),
-        (F.year("txn_date") * 12 + F.month("txn_date") - 1).cast("bigint").alias("month_idx"),
-        C.signed_amount("txn_type", "txn_amount").cast("bigint").alias("signed"))
-    out = prepared.groupBy("customer_id").applyInPandasWithState(
-        _peaks, _OUT_SCHEMA, _STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
-    month = F.last_day(F.make_date((F.col("month_idx") / 12).cast("int"), (F.col("month_idx") % 12 + 1).cast("int"),
-                                   F.lit(1)))
-    return out.select("customer_id", month.alias("month"), "peak", "balance")
-
-
-def run_to_table(spark: SparkSession, stream_df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Run ``stream_df`` until its source is drained (availableNow), write
-    every micro-batch's updated rows to its own ``batch_id=N`` folder under the
-    checkpoint folder (idempotent on retry), and return the latest version of
-    each key."""
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    sink = f"{base}/sink"
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def latest(spark: SparkSession, sink: str, schema: str, keys: list[str]) -> DataFrame:
+    """The newest version of each key among the batch folders of a sink."""
+    out = spark.read.schema(f"{schema}, batch_id bigint").parquet(sink)
+    rest = [c for c in out.columns if c not in (*keys, "batch_id")]
+    return out.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("r")).select(*keys, "r.*")
+
+
+class MonthPeaks:
+    """The sink of the month peaks: tables ``peaks`` (updates per batch),
+    ``late`` (rows that came too late) and ``state`` (one version per batch)."""
+
+    def __init__(self, spark: SparkSession, base: str):
+        self.spark, self.base = spark, base
+
+    def _read(self, table: str, schema: str, batch_id: int) -> DataFrame:
+        if batch_id < 0:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.base}/{table}/batch_id={batch_id}")
+
+    def _write(self, df: DataFrame, table: str, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.base}/{table}/batch_id={batch_id}")
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        state = self._read("state", STATE_SCHEMA, batch_id - 1)
+        rows = batch.select("customer_id", "txn_id", "txn_date", "txn_type", "txn_amount")
+        seen = rows.join(state.select("customer_id", "last_date", "last_id"), "customer_id", "left")
+        late = F.coalesce(F.struct("txn_date", "txn_id") <= F.struct("last_date", "last_id"), F.lit(False)) & F.col("last_date").isNotNull()
+        self._write(seen.filter(late).drop("last_date", "last_id"), "late", batch_id)
+        fresh = seen.filter(~late).drop("last_date", "last_id")
+        per = running_balance(fresh).groupBy("customer_id", F.last_day("txn_date").alias("month")).agg(
+            F.max("running_balance").alias("top"), F.max_by("running_balance", F.struct("txn_date", "txn_id")).alias("end"),
+            F.max(F.struct("txn_date", "txn_id")).alias("at"))
+        old = state.select("customer_id", F.col("balance").alias("before"), F.col("month").alias("open"), F.col("peak").alias("open_peak"))
+        w = Window.partitionBy("customer_id").orderBy("month")
+        before = F.coalesce("before", F.lit(0))
+        carried = before + F.coalesce(F.lag("end").over(w), F.lit(0))
+        peak = F.greatest(before + F.col("top"), carried, F.when(F.col("open") == F.col("month"), F.col("open_peak")))
+        new = per.join(old, "customer_id", "left").select(
+            "customer_id", "month", peak.cast("bigint").alias("peak"), (before + F.col("end")).cast("bigint").alias("balance"), "at")
+        self._write(new, "work", batch_id)
+        new = self.spark.read.schema(new.schema).parquet(f"{self.base}/work/batch_id={batch_id}")
+        self._write(new.select("customer_id", "month", "peak", "balance"), "peaks", batch_id)
+        last = new.groupBy("customer_id").agg(F.max_by(F.struct("balance", "month", "peak", "at"), "month").alias("s")).select(
+            "customer_id", "s.balance", "s.month", "s.peak", F.col("s.at.txn_date").alias("last_date"), F.col("s.at.txn_id").alias("last_id"))
+        self._write(last.unionByName(state.join(last, "customer_id", "left_anti")), "state", batch_id)
+
+    def peaks(self) -> DataFrame:
+        return latest(self.spark, f"{self.base}/peaks", PEAK_SCHEMA, ["customer_id", "month"])
+
+    def late_rows(self) -> DataFrame:
+        return self.spark.read.schema(f"{TXN_SCHEMA}, batch_id bigint").parquet(f"{self.base}/late")
+
+
+def month_total(peaks: DataFrame, floor_at_zero: bool = True) -> DataFrame:
+    """month, data_required over all customers, quiet months included."""
+    return monthly_total(peaks, floor_at_zero)
+
+
+class Replay:
+    """A ledger fed to streams as a folder that grows by one date range at a
+    time; the tasks and files of a range are those of the ledger's own plan."""
+
+    def __init__(self, spark: SparkSession, txns: DataFrame, name: str, periods: int = PERIODS):
+        self.spark, self.base, self.periods = spark, _folder(spark, name), periods
+        rows = txns.select("customer_id", "txn_id", "txn_date", "txn_type", "txn_amount")
+        lo, hi = txns.agg(F.min("txn_date")).scalar(), txns.agg(F.max("txn_date")).scalar()
+        share = F.datediff("txn_date", lo) / F.greatest(F.datediff(hi, lo) + 1, F.lit(1))
+        self.rows = rows.withColumn("_p", F.coalesce(F.floor(share * periods), F.lit(0)).cast("int"))
+
+    def _stream(self) -> DataFrame:
+        return self.spark.readStream.schema(TXN_SCHEMA).parquet(f"{self.base}/source")
+
+    def run(self, query, sink, mode: str = "update") -> None:
+        """Append a range, process it as one micro-batch, and so on; ``query``
+        maps the stream to the streamed rows, ``sink`` takes each batch."""
+        for p in range(self.periods):
+            self.rows.filter(F.col("_p") == p).drop("_p").write.mode("append").parquet(f"{self.base}/source")
+            q = (query(self._stream()).writeStream.outputMode(mode).foreachBatch(sink)
+                 .option("checkpointLocation", f"{self.base}/checkpoint").trigger(availableNow=True).start())
+            q.awaitTermination()
+
+
+def _updates(spark: SparkSession, txns: DataFrame, name: str, query, schema: str, keys: list[str]) -> DataFrame:
+    r = Replay(spark, txns, name)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # one folder per micro-batch, overwritten on a retry: a batch replayed
-        # after a failure replaces its own output instead of appending twice
-        batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{r.base}/sink/batch_id={batch_id}")
+
+    r.run(query, write)
+    return latest(spark, f"{r.base}/sink", schema, keys)
+
 
-    q = (stream_df.writeStream.outputMode("update").foreachBatch(write)
-         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
-    out = spark.read.parquet(sink)
-    w = Window.partitionBy(*keys).orderBy(F.desc("batch_id"))
-    return out.withColumn("_rk", F.row_number().over(w)).filter("_rk = 1").drop("_rk", "batch_id")
+def replay_live_balance(spark: SparkSession, txns: DataFrame) -> DataFrame:
+    return _updates(spark, txns, "live-balance", live_balance, "customer_id bigint, balance bigint, txn_count bigint, as_of date", ["customer_id"])
 
 
-def stage_source(spark: SparkSession, txns: DataFrame, name: str, files: int = 4) -> str:
-    """Write a batch ledger as a file source folder (test / replay helper)."""
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-src-{uuid.uuid4().hex}"
-    txns.select("customer_id", "txn_id", "txn_date", "txn_type", "txn_amount") \
-        .repartition(files, "customer_id").write.parquet(path)
-    return path
+def replay_monthly_net(spark: SparkSession, txns: DataFrame) -> DataFrame:
+    return _updates(spark, txns, "monthly-net", live_monthly_net, "customer_id bigint, month date, net bigint, txn_count bigint",
+                    ["customer_id", "month"])
 
 
-def replay_live_balance(spark: SparkSession, txns: DataFrame, files_per_trigger: int = 2) -> DataFrame:
-    src = stage_source(spark, txns, "live-balance")
-    stream = spark.readStream.schema(TXN_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(src)
-    return run_to_table(spark, live_balance(stream), ["customer_id"], "live-balance") \
-        .select("customer_id", "balance", "txn_count", "as_of")
+def replay_peaks(spark: SparkSession, txns: DataFrame) -> MonthPeaks:
+    r = Replay(spark, txns, "month-peaks")
+    sink = MonthPeaks(spark, r.base)
+    r.run(lambda stream: stream, sink, mode="append")
+    return sink
 
 
-def replay_month_peaks(spark: SparkSession, txns: DataFrame, files_per_trigger: int = 2) -> DataFrame:
-    src = stage_source(spark, txns, "month-peaks")
-    stream = spark.readStream.schema(TXN_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(src)
-    return run_to_table(spark, live_month_peaks(stream), ["customer_id", "month"], "month-peaks") \
-        .select("customer_id", "month", "peak", "balance")
+def replay_month_peaks(spark: SparkSession, txns: DataFrame) -> DataFrame:
+    return replay_peaks(spark, txns).peaks()
 
 
-def replay_monthly_net(spark: SparkSession, txns: DataFrame, files_per_trigger: int = 2) -> DataFrame:
-    src = stage_source(spark, txns, "monthly-net")
-    stream = spark.readStream.schema(TXN_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(src)
-    return run_to_table(spark, live_monthly_net(stream), ["customer_id", "month"], "monthly-net") \
-        .select("customer_id", "month", "net", "txn_count")
+def replay_month_total(spark: SparkSession, txns: DataFrame) -> DataFrame:
+    return month_total(replay_peaks(spark, txns).peaks())

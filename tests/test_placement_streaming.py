@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import uuid
+
 import pytest
 
 from tallyline.operators import placement as PL
@@ -40,36 +42,50 @@ def test_gaps(nodes, regions):
 
 
 def test_live_balance_matches_batch(spark, ledger):
-    got = rows(LB.replay_live_balance(spark, ledger, files_per_trigger=1), "customer_id", "balance", "txn_count")
+    got = rows(LB.replay_live_balance(spark, ledger), "customer_id", "balance", "txn_count")
     assert got == [(1, -25, 4), (2, 30, 3), (3, 11, 2)]
 
 
 def test_live_month_peaks(spark, ledger):
-    got = rows(LB.replay_month_peaks(spark, ledger, files_per_trigger=1))
+    got = rows(LB.replay_month_peaks(spark, ledger))
     assert got == [(1, d("2020-01-31"), 100, 70), (1, d("2020-03-31"), 70, -25),
                    (2, d("2020-02-29"), 50, 50), (2, d("2020-03-31"), 50, 30),
                    (3, d("2020-01-31"), 10, 10), (3, d("2020-02-29"), 11, 11)]
 
 
-def test_month_peaks_state_carries_across_batches(spark, ledger):
-    """Customer 1's January arrives in the first micro-batch, March in the
-    second: the carried balance (70) must be the March peak."""
-    import time
-    import uuid
+def _sink(spark):
     from tallyline.session import ensure_checkpoint_dir
-    src = f"{ensure_checkpoint_dir(spark)}/carry-{uuid.uuid4().hex}"
-    cols = ["customer_id", "txn_id", "txn_date", "txn_type", "txn_amount"]
-    ledger.filter("txn_date < '2020-02-01'").select(*cols).coalesce(1).write.parquet(src)
-    time.sleep(1.1)     # the file source orders files by modification time
-    ledger.filter("txn_date >= '2020-02-01'").select(*cols).coalesce(1).write.mode("append").parquet(src)
-    stream = spark.readStream.schema(LB.TXN_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
-    got = rows(LB.run_to_table(spark, LB.live_month_peaks(stream), ["customer_id", "month"], "carry"),
-               "customer_id", "month", "peak", "balance")
-    assert (1, d("2020-03-31"), 70, -25) in got and (3, d("2020-02-29"), 11, 11) in got
-    bal = rows(LB.run_to_table(spark, LB.live_balance(
-        spark.readStream.schema(LB.TXN_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)), ["customer_id"], "carry2"),
-        "customer_id", "balance")
-    assert bal == [(1, -25), (2, 30), (3, 11)]
+    return LB.MonthPeaks(spark, f"{ensure_checkpoint_dir(spark)}/peaks-{uuid.uuid4().hex}")
+
+
+def test_month_peaks_state_carries_across_batches(spark, ledger):
+    """January arrives in the first micro-batch, the rest in the second: the
+    carried balance (70) must be the March peak of customer 1.  A batch that
+    is processed again gives the same result."""
+    sink = _sink(spark)
+    sink(ledger.filter("txn_date < '2020-02-01'"), 0)
+    for _ in range(2):
+        sink(ledger.filter("txn_date >= '2020-02-01'"), 1)
+    assert rows(sink.peaks(), "customer_id", "month", "peak", "balance") == [
+        (1, d("2020-01-31"), 100, 70), (1, d("2020-03-31"), 70, -25), (2, d("2020-02-29"), 50, 50),
+        (2, d("2020-03-31"), 50, 30), (3, d("2020-01-31"), 10, 10), (3, d("2020-02-29"), 11, 11)]
+    assert sink.late_rows().count() == 0
+
+
+def test_late_rows_go_aside(spark):
+    schema = "customer_id bigint, txn_id bigint, txn_date date, txn_type string, txn_amount bigint"
+    sink = _sink(spark)
+    sink(spark.createDataFrame([(1, 1, d("2020-01-05"), "deposit", 100), (1, 2, d("2020-03-05"), "deposit", 900)], schema), 0)
+    sink(spark.createDataFrame([(1, 3, d("2020-01-20"), "purchase", 50), (1, 4, d("2020-03-06"), "deposit", 1)], schema), 1)
+    assert rows(sink.peaks()) == [(1, d("2020-01-31"), 100, 100), (1, d("2020-03-31"), 1001, 1001)]
+    assert rows(sink.late_rows(), "customer_id", "txn_id", "txn_amount") == [(1, 3, 50)]
+
+
+def test_month_total_of_the_stream_equals_the_batch(spark, ledger):
+    from tallyline.operators import allocation as AL
+    want = rows(AL.alloc_realtime(ledger))
+    assert rows(LB.replay_month_total(spark, ledger)) == want == [
+        (d("2020-01-31"), 110), (d("2020-02-29"), 70 + 50 + 11), (d("2020-03-31"), 70 + 50 + 11)]
 
 
 def test_approx_percentiles_return_observed_values(nodes, regions):
@@ -97,17 +113,28 @@ def test_stint_gaps_blocks_match_plain_window(spark):
         assert rows(got) == rows(brute)
 
 
-def test_monthly_net_counts_late_rows(spark, ledger):
-    """January arrives after February/March: its month is still updated."""
-    import time
-    import uuid
+def test_replay_crosses_batches(spark, ledger):
+    """The replay feeds date ranges, so a customer's rows meet several batches."""
+    got = rows(LB.replay_monthly_net(spark, ledger), "customer_id", "month", "net", "txn_count")
+    assert (1, d("2020-01-31"), 70, 2) in got and (1, d("2020-03-31"), -95, 2) in got and len(got) == 6
+
+
+def test_percentile_names_are_distinct(nodes, regions):
+    assert PL.realloc_percentiles(nodes, regions, ps=(0.29, 0.5, 0.99, 0.995)).columns[2:] == ["p29", "median", "p99", "p99_5"]
+
+
+def test_checkpoint_folder_is_needed_outside_local_sessions():
     from tallyline.session import ensure_checkpoint_dir
-    src = f"{ensure_checkpoint_dir(spark)}/late-{uuid.uuid4().hex}"
-    cols = ["customer_id", "txn_id", "txn_date", "txn_type", "txn_amount"]
-    ledger.filter("txn_date >= '2020-02-01'").select(*cols).coalesce(1).write.parquet(src)
-    time.sleep(1.1)
-    ledger.filter("txn_date < '2020-02-01'").select(*cols).coalesce(1).write.mode("append").parquet(src)
-    stream = spark.readStream.schema(LB.TXN_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
-    got = rows(LB.run_to_table(spark, LB.live_monthly_net(stream), ["customer_id", "month"], "late"),
-               "customer_id", "month", "net", "txn_count")
-    assert (1, d("2020-01-31"), 70, 2) in got and (3, d("2020-01-31"), 10, 1) in got and len(got) == 6
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
