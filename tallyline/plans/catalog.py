@@ -29,6 +29,7 @@ DEFAULT_PRICE = 10
 SURCHARGES = {"gear": 2}        # every other extra costs SURCHARGE_DEFAULT
 SURCHARGE_DEFAULT = 1
 WEEK_ANCHOR = "2024-01-01"
+CALENDAR_START = "1994-10-15"    # a fixed first month of the balance grid
 NEW_PRODUCT = "Supreme"
 RATE_PER_KM = 0.3
 
@@ -41,8 +42,10 @@ class Params:
     surcharges: dict = field(default_factory=lambda: dict(SURCHARGES))
     surcharge_default: int = SURCHARGE_DEFAULT
     week_anchor: str = WEEK_ANCHOR
+    calendar_start: str = CALENDAR_START
     new_product: str = NEW_PRODUCT
     rate_per_km: float = RATE_PER_KM
+    money_scale: int = 0            # decimals of interest: amounts are whole cents
 
 
 TEST_PARAMS = Params()
@@ -76,6 +79,11 @@ class Ctx:
     def recipes(self) -> DataFrame:
         return A.recipes(self.t)
 
+    @property
+    def ratings(self) -> DataFrame:
+        """The test tables have no ratings: they are derived from the orders."""
+        return PR.ratings(self.items, self.deliveries)
+
     @property
     def runners(self) -> DataFrame:
         return A.runners(self.t)
@@ -127,7 +135,8 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "pickup_minutes": (lambda c: O.pickup_minutes(c.items, c.deliveries)),
     "prep_by_size": (lambda c: O.prep_by_size(c.items, c.deliveries)),
     "prep_correlation": (lambda c: O.prep_correlation(c.items, c.deliveries)),
-    "avg_distance": (lambda c: O.avg_distance(c.items, c.deliveries, per="item")),
+    "avg_distance": (lambda c: O.avg_distance(c.items, c.deliveries)),
+    "avg_distance_as_written": (lambda c: O.avg_distance(c.items, c.deliveries, per="item")),
     "avg_distance_per_order": (lambda c: O.avg_distance(c.items, c.deliveries, per="order")),
     "duration_spread": (lambda c: O.duration_spread(c.deliveries)),
     "speed": (lambda c: O.speed(c.items, c.deliveries)),
@@ -158,11 +167,14 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "revenue_with_extras_as_written": (lambda c: PR.revenue_with_extras(
         c.items, c.deliveries, c.products, c.toppings, c.p.prices, c.p.default_price, c.p.surcharges,
         c.p.surcharge_default, as_written=True)),
-    "ratings": (lambda c: PR.ratings(c.items, c.deliveries)),
-    "delivery_fact": (lambda c: PR.delivery_fact(c.items, c.deliveries, PR.ratings(c.items, c.deliveries))),
+    "ratings": (lambda c: c.ratings),
+    "delivery_fact": (lambda c: PR.delivery_fact(c.items, c.deliveries, c.ratings)),
     "net_after_pay": (lambda c: PR.net_after_pay(c.items, c.deliveries, c.products, c.p.prices,
                                                   c.p.default_price, c.p.rate_per_km)),
-    "append_product": (lambda c: PR.append_product(c.products, c.recipes, c.toppings, c.p.new_product)),
+    "net_after_pay_as_written": (lambda c: PR.net_after_pay(c.items, c.deliveries, c.products, c.p.prices,
+                                                             c.p.default_price, c.p.rate_per_km, as_written=True)),
+    "append_product": (lambda c: PR.append_product(c.products, c.recipes, c.toppings, c.p.new_product)[0]),
+    "append_product_recipe": (lambda c: PR.append_product(c.products, c.recipes, c.toppings, c.p.new_product)[1]),
     # ---- node placements
     "distinct_nodes": (lambda c: PL.distinct_nodes(c.nodes)),
     "nodes_per_region": (lambda c: PL.nodes_per_region(c.nodes, c.regions)),
@@ -177,6 +189,7 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "active_customers": (lambda c: L.active_customers(c.txns)),
     "active_customers_as_written": (lambda c: L.active_customers(c.txns, as_written=True)),
     "closing_balance": (lambda c: L.closing_balance(c.txns)),
+    "closing_balance_fixed_start": (lambda c: L.closing_balance(c.txns, start=c.p.calendar_start)),
     "growth_pct": (lambda c: L.growth_pct(c.txns)),
     "growth_pct_abs": (lambda c: L.growth_pct(c.txns, use_abs=True)),
     "running_balance": (lambda c: L.running_balance(c.txns)),
@@ -185,11 +198,12 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "alloc_month_end": (lambda c: AL.alloc_month_end(c.txns)),
     "alloc_trailing30": (lambda c: AL.alloc_trailing30(c.txns)),
     "alloc_realtime": (lambda c: AL.alloc_realtime(c.txns)),
-    "interest_simple": (lambda c: AL.interest_simple(c.txns)),
-    "interest_compound": (lambda c: AL.interest_compound(c.txns)),
+    "interest_simple": (lambda c: AL.interest_simple(c.txns, scale=c.p.money_scale)),
+    "interest_compound": (lambda c: AL.interest_compound(c.txns, scale=c.p.money_scale)),
     # ---- streaming (replayed from a file source with an availableNow trigger)
     "live_balance": (lambda c: LB.replay_live_balance(c.spark, c.txns)),
     "live_month_peaks": (lambda c: LB.replay_month_peaks(c.spark, c.txns)),
+    "live_month_total": (lambda c: LB.replay_month_total(c.spark, c.txns)),
     "live_monthly_net": (lambda c: LB.replay_monthly_net(c.spark, c.txns)),
 }
 

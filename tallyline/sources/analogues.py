@@ -96,7 +96,7 @@ def raw_deliveries(t: Tables) -> DataFrame:
         F.when(cancelled, F.lit("null"))
          .when(ok % 4 == 0, F.concat(dist_txt, F.lit("km")))
          .when(ok % 4 == 1, F.concat(dist_txt, F.lit(" km")))
-         .when(ok % 4 == 2, dist_txt)
+         .when(ok % 4 == 2, F.concat(dist_txt, F.lit("45")))   # three decimals: x.x45
          .otherwise(F.concat(_s(F.expr("km10 div 10")), F.lit("km"))).alias("distance"),
         F.when(cancelled, F.lit("null"))
          .when(ck % 5 == 0, F.concat(_s(m), F.lit(" minutes")))
@@ -114,7 +114,9 @@ def raw_deliveries(t: Tables) -> DataFrame:
 
 
 def products(t: Tables) -> DataFrame:
-    return t.part.select(F.col("p_partkey").alias("pizza_id"), F.col("p_type").alias("pizza_name"))
+    """Catalogue rows; every 97th part has none, so that items without a
+    product row occur."""
+    return t.part.filter("p_partkey % 97 <> 5").select(F.col("p_partkey").alias("pizza_id"), F.col("p_type").alias("pizza_name"))
 
 
 def toppings(t: Tables) -> DataFrame:
@@ -129,8 +131,9 @@ def toppings(t: Tables) -> DataFrame:
 
 
 def recipes(t: Tables) -> DataFrame:
-    """Recipe text per product: the ids of its name's words in word order."""
-    words = t.part.select("p_partkey", F.posexplode(F.split("p_name", " ")).alias("pos", "topping_name"))
+    """Recipe text per product: the ids of its name's words in word order;
+    every 89th part has no recipe."""
+    words = t.part.filter("p_partkey % 89 <> 7").select("p_partkey", F.posexplode(F.split("p_name", " ")).alias("pos", "topping_name"))
     ids = words.join(toppings(t), "topping_name")
     return ids.groupBy(F.col("p_partkey").alias("pizza_id")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "topping_id"))),

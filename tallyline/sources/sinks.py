@@ -21,9 +21,10 @@ def write_by_month(df: DataFrame, path: str, date_col: str, mode: str = "overwri
     """Write ``df`` partitioned by the first day of the month of ``date_col``.
 
     Rows are clustered by month before the write so each task writes few
-    files per month folder."""
+    files per month folder; the clustering is a rebalance, whose large
+    partitions adaptive execution splits, so a hot month is not one task."""
     month = F.trunc(F.col(date_col), "month")
-    (df.withColumn("month", month).repartition("month")
+    (df.withColumn("month", month).hint("rebalance", "month")
        .write.mode(mode).partitionBy("month").parquet(path))
 
 
@@ -50,6 +51,14 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def create_table(spark: SparkSession, table: str, columns: list[tuple[str, str]], replace: bool = False) -> None:
+    """An empty catalogue table with the declared columns; with ``replace`` an
+    existing one is dropped first, otherwise it is an error."""
+    if replace:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} ({', '.join(f'{c} {t}' for c, t in columns)}) USING parquet")
+
+
 def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, mode: str = "overwrite") -> None:
     """Save ``df`` as a catalog table bucketed (and sorted) by ``keys``.
 

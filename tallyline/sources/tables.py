@@ -6,8 +6,6 @@ Parquet scan, so callers only ``select`` what they need.
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -53,7 +51,3 @@ class Tables:
     def register_views(self, names=TABLES) -> None:
         for n in names:
             self.read(n).createOrReplaceTempView(n)
-
-    @cached_property
-    def path(self) -> str:
-        return self.sf_dir
