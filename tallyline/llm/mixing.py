@@ -77,8 +77,9 @@ def _place(rows: DataFrame, per: DataFrame) -> DataFrame:
 
 
 def _uniform(seed: int) -> Column:
-    """A uniform number in [0, 1) from the hash of the id."""
-    return F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.lit(seed)), 11) / F.lit(float(1 << 53))
+    """A uniform number in [0, 1) from 48 bits of the MD5 of seed and id."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")))
+    return F.conv(F.substring(digest, 1, 12), 16, 10).cast("long") / F.lit(float(1 << 48))
 
 
 def _source() -> Column:

@@ -1,5 +1,85 @@
-"""DuckDB SQL of the training-data queries that SQL can express."""
+"""DuckDB SQL of the training-data queries that SQL can express.
+
+Written as the plain definition of each result: whole windows instead of
+ranges of keys, every unit against every template, every 3-word window.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from . import license_scans, mixing, quality_rules
+from .license_texts import TEMPLATES
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _quoted(words) -> str:
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+
+
+def _quality() -> str:
+    stops = _quoted(sorted({v for w in quality_rules.STOP_WORDS for v in (w, w.capitalize())}))
+    metric = {"n_words": "n_words", "repeat_ratio": "n_repeat_words / n", "mean_word_chars": "word_chars / n", "symbol_ratio": "n_symbols / n",
+              "stop_ratio": "n_stop / n", "dup_line_ratio": "n_dup_lines / greatest(n_lines, 1)"}
+    fails = [(n, f"{metric[m]} {op} {b}") for n, m, op, b in quality_rules.RULES]
+    base = " OR ".join(c for n, c in fails if n in quality_rules.BASE)
+    names = ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in fails)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, t, regexp_extract_all(t, '{WORD}') AS ws FROM d),
+places AS (SELECT r, unnest(ws) AS a, unnest(range(1, len(ws) + 1)) AS i FROM w),
+windows AS (SELECT x.r, x.i, x.a || ' ' || y.a || ' ' || z.a AS g FROM places x JOIN places y ON y.r = x.r AND y.i = x.i + 1
+            JOIN places z ON z.r = x.r AND z.i = x.i + 2),
+twice AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+covered AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY r),
+lines AS (SELECT r, count(*) AS n, count(DISTINCT l) AS d FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d)
+          WHERE regexp_matches(l, '{WORD}') GROUP BY r),
+m AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(coalesce(lines.n - lines.d, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words,
+             len(list_filter(ws, lambda x: x IN ({stops}))) AS n_stop, coalesce(lines.n, 0) AS n_lines, greatest(len(ws), 1) AS n
+      FROM w LEFT JOIN lines USING (r) LEFT JOIN covered USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {base} AS base_failed,
+       NOT ({" OR ".join(c for _, c in fails)}) AS kept, concat_ws(',', {names}) AS failed_rules
+FROM m"""
+
+
+def _mixing() -> str:
+    weights = ", ".join(f"{w}.0" for w in mixing.WEIGHTS)
+    return f"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size,
+                  substr(md5('7:' || doc_id), 1, 12) AS u FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, CAST(list_extract([{weights}], 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)}) AS DOUBLE) AS w,
+             CAST({mixing.MAX_EPOCHS} * source_size AS DOUBLE) AS cap FROM s),
+l AS (SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) - coalesce(sum(cap) OVER before, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER before, 0)) AS level
+      FROM w WINDOW before AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, source_size, least(cap, w * (SELECT arg_min(level, (cap / w, source IS NULL, source)) FROM l WHERE level <= cap / w)) AS target FROM l),
+p AS (SELECT d.doc_id, d.size, d.source, t.source_size, t.target, CAST(round(t.target) AS BIGINT) AS budget,
+             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.u, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source, source_size, target,
+       CAST(CASE WHEN source_size = 0 THEN 0 ELSE (budget // source_size) * size + greatest(0, least(size, budget % source_size - start)) END AS BIGINT) AS taken
+FROM p"""
+
+
+def _licenses() -> str:
+    rows = ",\n".join(f"({_quoted([name])}, [{_quoted(license_scans.template_bigrams(text))}])" for name, text in TEMPLATES)
+    return f"""
+WITH templates(name, grams) AS (VALUES {rows}),
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+units AS (SELECT DISTINCT r, trim(regexp_replace(lower(u), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS u FROM (
+  SELECT r, unnest(list_concat(string_split(t, chr(10)), string_split_regex(t, '[.!?]+\\s+|\\n'), string_split_regex(t, '\\n[ \\t]*\\n'), [t])) AS u FROM d)),
+grams AS (SELECT r, u, list_distinct(list_transform(range(1, len(string_split(u, ' '))),
+                 lambda i: string_split(u, ' ')[i] || ' ' || string_split(u, ' ')[i + 1])) AS g FROM units WHERE u LIKE '% %'),
+hits AS (SELECT * FROM (SELECT r, u, name, 2.0 * len(list_intersect(g, grams)) / (len(g) + len(grams)) AS dice FROM grams, templates) WHERE dice >= {license_scans.DICE}),
+best AS (SELECT r, max(dice) AS dice, count(DISTINCT u) AS n_units, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses FROM hits GROUP BY r)
+SELECT d.doc_id, (SELECT min(name) FROM hits h WHERE h.r = d.r AND h.dice = best.dice) AS license, CAST(coalesce(best.dice, 0) AS DOUBLE) AS dice,
+       coalesce(n_units, 0) AS n_units, coalesce(licenses, '') AS licenses
+FROM d LEFT JOIN best USING (r)"""
+
+
+ORACLE: dict[str, str] = {
+    "op1_license_scans": _licenses(),
+    "op3_mixing": _mixing(),
+    "op8_quality_rules": _quality(),
+}

@@ -112,7 +112,7 @@ def score(docs: DataFrame, rules=RULES) -> DataFrame:
     c = counts(docs.select("doc_id", "text"))
     return c.select(F.col("_row.doc_id").alias("doc_id"), *[F.col(f"_c.{x}").alias(x) for x in (
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
-        base.alias("base_failed"), kept.alias("kept"), names.alias("failed_rules"))
+        base.alias("base_failed"), kept.alias("kept"), F.array_join(names, ",").alias("failed_rules"))
 
 
 def keep(docs: DataFrame, rules=RULES) -> DataFrame:
