@@ -10,10 +10,11 @@ from contextlib import redirect_stdout
 import pytest
 
 import __spark_entry__ as entry_mod
+from tallyline.plans.catalog import QUERIES
 
 from .conftest import SF_SMALL
 
-BATCH = sorted(n for n in entry_mod.queries() if not n.startswith("live_"))
+BATCH = sorted(n for n in QUERIES if not n.startswith("live_"))
 
 
 def plan_text(df) -> str:

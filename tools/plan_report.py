@@ -33,15 +33,26 @@ OPS = {
 }
 
 
+def _final(text: str) -> list[str]:
+    if "== Final Plan ==" in text:
+        text = text.split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+    return [re.sub(r"^[\s:|+\-*]*", "", line).strip() for line in text.splitlines()[1:]]
+
+
 def tree(df) -> list[str]:
+    """The operators of the final adaptive plan, those of its scalar subqueries
+    included (a reused subquery counts once)."""
     df.collect()                      # run it, so explain shows the final adaptive plan
     buf = io.StringIO()
     with redirect_stdout(buf):
         df.explain("formatted")
-    head = buf.getvalue().split("\n\n(1)")[0]
-    if "== Final Plan ==" in head:
-        head = head.split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
-    return [re.sub(r"^[\s:|+\-*]*", "", line).strip() for line in head.splitlines()[1:]]
+    main, _, rest = buf.getvalue().partition("===== Subqueries =====")
+    nodes = _final(main.split("\n\n(1)")[0])
+    for part in re.split(r"^Subquery:\d+ Hosting operator.*$", rest, flags=re.M)[1:]:
+        part = part.split("\n\n(")[0]
+        if "ReusedSubquery" not in part:
+            nodes += _final(part)
+    return nodes
 
 
 def counts(df) -> dict[str, int]:
@@ -66,7 +77,7 @@ def main() -> None:
         "plan (`explain('formatted')` after execution) is counted.  *local*: run with default settings,",
         "where dimension sides are small enough to broadcast.  *large*: broadcasts disabled, the shape",
         "when no side fits in memory (every join sort-merges).  Columns: parquet scans, shuffle",
-        "exchanges actually run, exchanges reused from another branch, sort-merge joins, window",
+        "exchanges actually run (scalar subqueries included), exchanges reused from another branch, sort-merge joins, window",
         "operators, aggregation operators (partial and final count separately), generators (explode),",
         "Python evaluation nodes.  `live_*` queries are streaming replays and are omitted.",
         "",
