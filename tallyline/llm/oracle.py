@@ -6,7 +6,7 @@ ranges of keys, every unit against every template, every 3-word window.
 
 from __future__ import annotations
 
-from . import license_scans, mixing, quality_rules
+from . import license_scans, mixing, pii, quality_rules, secret_scans
 from .license_texts import TEMPLATES
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -78,8 +78,87 @@ SELECT d.doc_id, (SELECT min(name) FROM hits h WHERE h.r = d.r AND h.dice = best
 FROM d LEFT JOIN best USING (r)"""
 
 
+def _sql(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
+def _places(kind: str, k: int, pattern: str, text: str, source: str, keep: str) -> str:
+    """keep, k, kind, s, e, m (the match) of every match: a match begins after the gaps and matches before it."""
+    p = _sql(pattern)
+    return f"""SELECT {keep}, {k} AS k, '{kind}' AS kind, s, s + length(m) AS e, m FROM (
+  SELECT {keep}, h[i] AS m, CAST(list_sum(list_transform(g[1:i], lambda x: length(x)))
+         + coalesce(list_sum(list_transform(h[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
+  FROM (SELECT {keep}, string_split_regex({text}, '{p}') AS g, regexp_extract_all({text}, '{p}') AS h,
+               unnest(range(1, len(regexp_extract_all({text}, '{p}')) + 1)) AS i FROM {source}))"""
+
+
+def _secrets() -> str:
+    rules = secret_scans.BASE + secret_scans.WIDER
+    n_base = len(secret_scans.BASE)
+    found = []
+    for k, (kind, pattern, value, least) in enumerate(rules):
+        v = "m" if value == "(.+)" else f"regexp_extract(m, '{_sql(value)}', 1)"
+        found.append(f"SELECT r, k, kind, s, e, v FROM (SELECT *, {v} AS v FROM ({_places(kind, k, pattern, 't', 'd', 'r')})) WHERE length(v) >= {least}")
+    every = "\nUNION ALL\n".join(found)
+    span = "string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k)"
+    counts = ", ".join(f"count(*) FILTER (kind = '{kind}') AS n_{kind}" for kind, *_ in secret_scans.BASE)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+c AS ({every}),
+owners AS (SELECT v, count(DISTINCT source) + max(CASE WHEN source IS NULL THEN 1 ELSE 0 END) AS n FROM c JOIN d USING (r) GROUP BY v),
+letters AS (SELECT v, x, count(*) AS n FROM (SELECT v, unnest(string_split(v, '')) AS x FROM owners) GROUP BY v, x),
+looks AS (SELECT v, -sum(n / length(v) * log2(n / length(v))) >= {secret_scans.MIN_ENTROPY}
+                 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AS random FROM letters GROUP BY v),
+j AS (SELECT c.*, random AND n <= {secret_scans.MAX_OWNERS} AS live FROM c JOIN owners USING (v) JOIN looks USING (v)),
+per AS (SELECT r, {counts}, {span} FILTER (k < {n_base}) AS base, {span} AS spans,
+               count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_copied
+        FROM j WHERE k < {n_base} OR live GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{kind}, 0) AS n_{kind}" for kind, *_ in secret_scans.BASE)}, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+FROM d LEFT JOIN per USING (r)"""
+
+
+def _pii() -> str:
+    digits = "regexp_replace(m, '[^0-9]', '', 'g')"
+    at = f"CAST(substr(reverse({digits}), CAST(i AS BIGINT), 1) AS INTEGER)"
+    luhn = f"list_sum(list_transform(range(1, length({digits}) + 1), lambda i: CASE WHEN i % 2 = 1 THEN {at} WHEN {at} > 4 THEN 2 * {at} - 9 ELSE 2 * {at} END)) % 10 = 0"
+    valid = {"email": "true", "card": f"length({digits}) BETWEEN 13 AND 19 AND {luhn}", "phone": f"length({digits}) BETWEEN 9 AND 15",
+             "ip": "list_max(list_transform(string_split(m, '.'), lambda x: CAST(x AS HUGEINT))) <= 255"}
+    key = {"email": "lower(m)", "ip": "lower(m)", "card": digits, "phone": digits}
+    patterns = {**pii.PATTERNS, "card": r"[0-9](?:[\x20-]?[0-9])+"}
+    base = "\nUNION ALL\n".join(
+        f"SELECT r, k, kind, s, e, '{kind}:' || {key[kind]} AS key FROM ({_places(kind, k, patterns[kind], 't', 'd', 'r')}) WHERE {valid[kind]}"
+        for k, kind in enumerate(pii.KINDS))
+    c = pii.CONTEXT
+    span = "string_agg(kind || ':' || s || ':' || e, ',' ORDER BY k, s)"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+b AS ({base}),
+sides AS (
+  SELECT r, key, s - length(x) AS o, x FROM (
+    SELECT r, key, s, CASE WHEN s > {c} THEN regexp_replace(substring(t, s - {c} + 1, {c}), '^\\S+', '') ELSE substring(t, 1, s) END AS x FROM b JOIN d USING (r))
+  UNION ALL
+  SELECT r, key, e AS o, CASE WHEN e + {c} < length(t) THEN regexp_replace(substring(t, e + 1, {c}), '\\S+$', '') ELSE substring(t, e + 1, {c}) END AS x
+  FROM b JOIN d USING (r)),
+terms AS (SELECT r, key, lower(m) AS term, o + s AS s, o + e AS e FROM ({_places("term", 4, pii.TERM, "x", "sides", "r, key, o")})),
+n_e AS (SELECT key, count(DISTINCT r) AS n_e FROM b GROUP BY key),
+n_et AS (SELECT key, term, count(DISTINCT r) AS n_et FROM terms GROUP BY key, term HAVING count(DISTINCT r) >= {pii.MIN_SUPPORT}),
+n_t AS (SELECT term, count(*) AS n_t FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(t), '{pii.TERM}'))) AS term FROM d) GROUP BY term),
+flagged AS (SELECT key, term FROM n_et JOIN n_e USING (key) JOIN n_t USING (term), (SELECT CAST(count(*) AS DOUBLE) AS n FROM d)
+            WHERE n_e < n AND ln(n * n_et / (n_e * n_t)) / ln(n / n_e) >= {pii.GENERALISE}),
+extra AS (SELECT DISTINCT r, s, e FROM terms JOIN flagged USING (key, term)),
+every AS (SELECT r, k, kind, s, e FROM b UNION ALL SELECT r, 4, 'term', s, e FROM extra),
+per AS (SELECT r, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in (*pii.KINDS, "term"))},
+               {span} FILTER (k < 4) AS base, {span} AS spans FROM every GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in pii.KINDS)}, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(n_term, 0) AS n_terms
+FROM d LEFT JOIN per USING (r)"""
+
+
 ORACLE: dict[str, str] = {
     "op1_license_scans": _licenses(),
     "op3_mixing": _mixing(),
+    "op6_secret_scans": _secrets(),
+    "op7_pii": _pii(),
     "op8_quality_rules": _quality(),
 }
