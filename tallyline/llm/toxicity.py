@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CUT = 0.7
-MAX_TOXIC, MAX_CLEAN = 3000, 6000     # rows of each label that the model is fitted on
+MAX_TOXIC, MAX_CLEAN = 2000, 4000     # rows of each label that the model is fitted on
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 18, 12, 8, (1, 2, 3)
 PREFIXES = (3, 4, 5, 6)
 SHRINK = 10.0
@@ -132,11 +132,19 @@ class Scorer:
         return float(h @ self.m.out + self.m.out_bias), lang
 
 
-def _log_odds(docs: list[list[str]], y: np.ndarray) -> np.ndarray:
+class _Coded:
+    """Texts as arrays of word numbers, with the feature buckets of every word."""
+
+    def __init__(self, texts: list[str]):
+        number: dict[str, int] = {}
+        self.docs = [np.array([number.setdefault(w, len(number)) for w in tokens(t)], np.int32) for t in texts]
+        self.features = np.array([features(w) for w in number] or [[0] * (1 + len(PREFIXES))], np.int32)
+
+
+def _log_odds(coded: _Coded, rows: np.ndarray, y: np.ndarray) -> np.ndarray:
     n = np.zeros((2, BUCKETS))
-    for words, label in zip(docs, y):
-        f = np.unique(np.array([features(w) for w in set(words)], np.int64).ravel()) if words else np.zeros(0, np.int64)
-        n[label, f] += 1
+    for k, label in zip(rows, y):
+        n[label, np.unique(coded.features[np.unique(coded.docs[k])])] += 1
     base = y.mean()
     p = (n[1] + SHRINK * base) / (n.sum(axis=0) + SHRINK)
     out = np.log(p / (1 - p)) - np.log(base / (1 - base))
@@ -155,44 +163,35 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     if not 0 < y.sum() < len(y):
         return m
     part = rng.permutation(len(y))
-    words = [tokens(t) for t in texts]
+    coded = _Coded(texts)
     stats, train, tune = np.split(part, [int(0.45 * len(y)), int(0.8 * len(y))])
     for p in (stats, train, tune):            # tiny samples: every part needs both labels
         if not 0 < y[p].sum() < len(p):
             stats = train = tune = part
             break
-    m.embedding[:, 0] = _log_odds([words[k] for k in stats], y[stats]) / 5
+    m.embedding[:, 0] = _log_odds(coded, stats, y[stats]) / 5
     m.embedding[0] = 0
     for j, w in enumerate(WIDTHS):
         m.filters[j][:, 0, :FILTERS // 2] = 1 / w
         m.out[j * FILTERS:j * FILTERS + FILTERS // 2] = 0.3
     m.fitted = True
-    _train(m, [words[k] for k in train], y[train], rng)
+    _train(m, coded, train, y[train], rng)
     _calibrate(m, [texts[k] for k in tune], y[tune])
     return m
 
 
-def _train(m: Model, docs: list[list[str]], y: np.ndarray, rng) -> None:
-    memo: dict[str, int] = {}
-    table: list[list[int]] = []
-    idx = []
-    for d in docs:
-        for w in d:
-            if w not in memo:
-                memo[w] = len(table)
-                table.append(features(w))
-        idx.append(np.fromiter(map(memo.__getitem__, d), np.int64, len(d)))
-    feats = np.array(table or [[0] * (1 + len(PREFIXES))], np.int64)
+def _train(m: Model, coded: _Coded, rows_of: np.ndarray, y: np.ndarray, rng) -> None:
+    idx, feats = [coded.docs[k] for k in rows_of], coded.features
     weight = np.where(y == 1, len(y) / (2 * max(1, y.sum())), len(y) / (2 * max(1, (1 - y).sum())))
     params = [*m.filters, m.bias, m.out]
     first, second, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
     grads, held = [np.zeros_like(p) for p in params], 0
     n_w = max(WIDTHS)
     for _ in range(EPOCHS):
-        for d in rng.permutation(len(docs)):
+        for d in rng.permutation(len(idx)):
             f = feats[idx[d]]
             if len(f) < n_w:
-                f = np.concatenate([f, np.zeros((n_w - len(f), feats.shape[1]), np.int64)])
+                f = np.concatenate([f, np.zeros((n_w - len(f), feats.shape[1]), np.int32)])
             x = m.embedding[f].sum(axis=1)
             z, at = [], []
             for fil in m.filters:
@@ -243,7 +242,9 @@ def _best_cut(logits: np.ndarray, y: np.ndarray) -> float:
 
 
 def _calibrate(m: Model, texts: list[str], y: np.ndarray) -> None:
-    scored = Scorer(m)(texts)
+    scorer, scored = Scorer(m), []
+    for at in range(0, len(texts), 100):
+        scored += scorer(texts[at:at + 100])
     logits, langs = np.array([s for s, _ in scored]), np.array([g for _, g in scored])
     m.cuts["*"] = _best_cut(logits, y)
     for g in set(langs.tolist()):
