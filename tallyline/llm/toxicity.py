@@ -268,10 +268,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on the labelled rows that are not held out, up to the bounds of the module."""
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter(F.col("toxic").isin(0, 1) & ~held_out())
     order = F.xxhash64("doc_id")
+    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.filter("toxic = 1").orderBy(order, "doc_id").limit(MAX_TOXIC).unionByName(
-        known.filter("toxic = 0").orderBy(order, "doc_id").limit(MAX_CLEAN)).dropDuplicates(["doc_id"])
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
-        "doc_id", "text", "toxic").toPandas().sort_values(["doc_id", "text"], kind="stable")
+        known.filter("toxic = 0").orderBy(order, "doc_id").limit(MAX_CLEAN))
+    # One text per doc_id, combined map-side: rows that repeat an id stay within the bound.
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.max("toxic").alias("toxic")).toPandas().sort_values("doc_id")
     return fit([t or "" for t in rows["text"]], rows["toxic"].astype(int).tolist())
 
 
