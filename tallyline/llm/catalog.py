@@ -28,8 +28,7 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

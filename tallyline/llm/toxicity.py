@@ -6,16 +6,21 @@ widths 1, 2 and 3 slide over the words of the whole text, each keeps its
 maximum, and a linear layer over the rectified maxima gives a logit.  The
 first embedding coordinate starts as the shrunken log odds of the feature
 among labelled texts (from one part of the sample), the others at random; all
-weights are then trained by Adam on a second part; a third part sets one
-threshold per language.
+weights are then trained by Adam on a second part.
+
+The thresholds, one per language, come from all labelled rows that are not
+held out, at the true rate of toxic texts: Spark scores them and counts them
+per language and logit (steps of ``1 / STEPS``), and the driver reads these
+counts.  A language with fewer than ``LEAST`` rows of either label takes the
+threshold of all rows.
 
 The language of a text is guessed from its function words, never read from a
 column.  The score is the logistic of the logit shifted so that the language's
 threshold falls on ``CUT``; it only depends on the text.
 
-The model is fitted on the driver from at most ``MAX_TOXIC`` + ``MAX_CLEAN``
-labelled rows (hash-ordered, so runs agree); scoring is one pass over all
-documents, without a shuffle.  A worker remembers the filter responses of up
+The weights are fitted on the driver from at most ``MAX_TOXIC`` + ``MAX_CLEAN``
+labelled rows (hash-ordered, so runs agree); ``classify`` scores all documents
+in one pass and only shuffles the labelled rows' ids and logits.  A worker remembers the filter responses of up
 to ``REMEMBER`` words, which changes no score.
 
 Defined results: a null or empty text gets the score of a text without words;
@@ -31,11 +36,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 CUT = 0.7
-MAX_TOXIC, MAX_CLEAN = 2000, 4000     # rows of each label that the model is fitted on
+MAX_TOXIC, MAX_CLEAN = 3000, 6000     # rows of each label that the weights are fitted on
+STEPS, FAR, LEAST = 64, 64, 10        # of the logits' histogram: steps a unit, its end, rows of either label for a language's own threshold
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 18, 12, 8, (1, 2, 3)
 PREFIXES = (3, 4, 5, 6)
 SHRINK = 10.0
@@ -153,7 +161,7 @@ def _log_odds(coded: _Coded, rows: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def fit(texts: list[str], labels: list[int]) -> Model:
-    """The model of labelled texts (see the module's text)."""
+    """The model of labelled texts, without thresholds (see the module's text)."""
     rng = np.random.default_rng(SEED)
     y = np.array(labels, np.int64)
     shape = dict(embedding=rng.normal(0, 0.05, (BUCKETS, DIM)).astype(np.float32),
@@ -164,10 +172,10 @@ def fit(texts: list[str], labels: list[int]) -> Model:
         return m
     part = rng.permutation(len(y))
     coded = _Coded(texts)
-    stats, train, tune = np.split(part, [int(0.45 * len(y)), int(0.8 * len(y))])
-    for p in (stats, train, tune):            # tiny samples: every part needs both labels
+    stats, train, rest = np.split(part, [int(0.45 * len(y)), int(0.8 * len(y))])
+    for p in (stats, train, rest):            # tiny samples: every part needs both labels
         if not 0 < y[p].sum() < len(p):
-            stats = train = tune = part
+            stats = train = part
             break
     m.embedding[:, 0] = _log_odds(coded, stats, y[stats]) / 5
     m.embedding[0] = 0
@@ -176,7 +184,6 @@ def fit(texts: list[str], labels: list[int]) -> Model:
         m.out[j * FILTERS:j * FILTERS + FILTERS // 2] = 0.3
     m.fitted = True
     _train(m, coded, train, y[train], rng)
-    _calibrate(m, [texts[k] for k in tune], y[tune])
     return m
 
 
@@ -228,47 +235,55 @@ def _train(m: Model, coded: _Coded, rows_of: np.ndarray, y: np.ndarray, rng) ->
                 held = 0
 
 
-def _best_cut(logits: np.ndarray, y: np.ndarray) -> float:
-    """The middle of the widest range of thresholds of the best F1."""
-    order = np.argsort(-logits, kind="stable")
-    s, t = logits[order], y[order]
-    tp = np.cumsum(t)
-    f1 = 2 * tp / (np.arange(1, len(t) + 1) + t.sum())
-    gap = s - np.r_[s[1:], s[-1] - 2]
-    f1[gap == 0] = -1                          # no threshold separates equal logits
+def _best_cut(bins: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> float:
+    """The middle of the widest range of thresholds of the best F1 over a histogram of logits."""
+    order = np.argsort(-bins)
+    s, t, n = bins[order].astype(float), toxic[order], (toxic + clean)[order]
+    f1 = 2 * np.cumsum(t) / (np.cumsum(n) + t.sum())
+    gap = s - np.r_[s[1:], s[-1] - 2 * STEPS]
     best = np.flatnonzero(f1 >= f1.max() - 1e-12)
     k = best[gap[best].argmax()]
-    return float(s[k] - gap[k] / 2)
-
+    return float(s[k] - (gap[k] - 1) / 2) / STEPS
 
-def _calibrate(m: Model, texts: list[str], y: np.ndarray) -> None:
-    scorer, scored = Scorer(m), []
-    for at in range(0, len(texts), 100):
-        scored += scorer(texts[at:at + 100])
-    logits, langs = np.array([s for s, _ in scored]), np.array([g for _, g in scored])
-    m.cuts["*"] = _best_cut(logits, y)
-    for g in set(langs.tolist()):
-        sel = langs == g
-        if y[sel].sum() >= 10 and (1 - y[sel]).sum() >= 10:
-            m.cuts[g] = _best_cut(logits[sel], y[sel])
 
-
-def score_of(m: Model, logit: float, lang: str) -> float:
+def calibrate(m: Model, rows: DataFrame, known: DataFrame) -> None:
+    """Thresholds from all rows (of ``logits``) that have a label in ``known``."""
+    if not m.fitted:
+        return
+    step = F.floor(F.greatest(F.least(F.col("logit"), F.lit(float(FAR))), F.lit(float(-FAR))) * STEPS)
+    per = rows.filter(~held_out()).groupBy("doc_id", "lang", step.alias("bin")).agg(F.count("*").alias("n")).join(known, "doc_id")
+    counts = per.groupBy("lang", "bin").agg(F.sum(F.col("toxic") * F.col("n")).alias("toxic"),
+                                            F.sum((1 - F.col("toxic")) * F.col("n")).alias("clean")).toPandas()
+    total = counts.groupby("bin", as_index=False)[["toxic", "clean"]].sum()
+    m.cuts = {"*": _best_cut(*(total[c].to_numpy() for c in ("bin", "toxic", "clean")))}
+    for g, h in counts.groupby("lang"):
+        if min(h["toxic"].sum(), h["clean"].sum()) >= LEAST:
+            m.cuts[g] = _best_cut(*(h[c].to_numpy() for c in ("bin", "toxic", "clean")))
+
+
+def score_of(m: Model, logit: Column, lang: Column) -> Column:
     if not m.fitted:
-        return 0.0
-    shifted = logit - m.cuts.get(lang, m.cuts["*"]) + np.log(CUT / (1 - CUT))
-    return float(1 / (1 + np.exp(-np.clip(shifted, -30, 30))))
+        return F.lit(0.0)
+    cut = F.lit(m.cuts["*"])
+    for g, c in sorted(m.cuts.items()):
+        cut = F.when(lang == g, F.lit(c)).otherwise(cut)
+    shifted = logit - cut + float(np.log(CUT / (1 - CUT)))
+    return 1 / (1 + F.exp(-F.greatest(F.least(shifted, F.lit(30.0)), F.lit(-30.0))))
 
 
 def held_out():
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fit on the labelled rows that are not held out, up to the bounds of the module."""
+def _known(labels: DataFrame) -> DataFrame:
+    """doc_id, toxic: the labels that are not held out, one of each doc_id."""
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter(F.col("toxic").isin(0, 1) & ~held_out())
+    return known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+
+
+def _fitted(docs: DataFrame, known: DataFrame) -> Model:
+    """Fit the weights on the labelled rows, up to the bounds of the module."""
     order = F.xxhash64("doc_id")
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.filter("toxic = 1").orderBy(order, "doc_id").limit(MAX_TOXIC).unionByName(
         known.filter("toxic = 0").orderBy(order, "doc_id").limit(MAX_CLEAN))
     # One text per doc_id, combined map-side: rows that repeat an id stay within the bound.
@@ -277,16 +292,44 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     return fit([t or "" for t in rows["text"]], rows["toxic"].astype(int).tolist())
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row."""
+def logits(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, logit and lang (the guessed language) of every row."""
     def run(batches):
         scorer = Scorer(model)
         for b in batches:
             for at in range(0, b.num_rows, 200):
                 part = b.slice(at, 200)
-                s = [score_of(model, x, g) for x, g in scorer([t or "" for t in part.column("text").to_pylist()])]
-                yield pa.record_batch({"doc_id": part.column("doc_id"), "score": pa.array(s, pa.float64())})
+                got = scorer([t or "" for t in part.column("text").to_pylist()])
+                yield pa.record_batch({"doc_id": part.column("doc_id"), "logit": pa.array([x for x, _ in got], pa.float64()),
+                                       "lang": pa.array([g for _, g in got], pa.string())})
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
+        run, "doc_id long, logit double, lang string")
+
+
+def train(docs: DataFrame, labels: DataFrame) -> Model:
+    """The weights from a sample, the thresholds from all labelled rows, without the held-out ones."""
+    known = _known(labels)
+    model = _fitted(docs, known)
+    if model.fitted:
+        calibrate(model, logits(docs.filter(~held_out()), model), known)
+    return model
+
+
+def _scores(rows: DataFrame, model: Model) -> DataFrame:
+    out = rows.select("doc_id", held_out().alias("held_out"), score_of(model, F.col("logit"), F.col("lang")).alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, held_out, score and predicted of every row."""
+    return _scores(logits(docs, model), model)
+
 
-    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, score double")
-    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
+def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``score`` by the model of ``train``, with one pass over the texts for both."""
+    known = _known(labels)
+    model = _fitted(docs, known)
+    rows = written(logits(docs, model), "logits")
+    calibrate(model, rows, known)
+    return _scores(rows, model)

@@ -267,6 +267,27 @@ def test_toxicity_edge_cases(spark, edge_docs, documents):
     assert {r.score for r in toxicity.score(edge_docs, nothing).collect()} == {0.0}
 
 
+def test_toxicity_thresholds_cover_all_labelled_rows(spark, monkeypatch):
+    """The sample is smaller than the labelled rows and has its own toxic rate."""
+    monkeypatch.setattr(toxicity, "MAX_TOXIC", 60)
+    monkeypatch.setattr(toxicity, "MAX_CLEAN", 90)
+    rows = toxic_corpus()
+    docs = spark.createDataFrame([r[:2] for r in rows] + [rows[0][:2]], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int")
+    m = toxicity.train(docs, labels)
+    used = by_id(toxicity.logits(docs.filter(~toxicity.held_out()), m))
+    y = {r[0]: r[2] for r in rows}
+    assert len(used) > 500
+
+    def f1(cut):
+        hit = sum(y[i] for i, r in used.items() if r.logit >= cut)
+        return 2 * hit / (sum(r.logit >= cut for r in used.values()) + sum(y[i] for i in used))
+
+    assert f1(m.cuts["*"]) >= max(f1(k / toxicity.STEPS) for k in range(-20 * toxicity.STEPS, 20 * toxicity.STEPS)) - 0.01
+    got = toxicity.classify(docs, labels).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, toxicity.score(docs, m).collect())) and len(got) == len(rows) + 1
+
+
 # ------------------------------------------------------------ pages
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header><h1>Site</h1></header>
