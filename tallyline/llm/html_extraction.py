@@ -5,7 +5,9 @@ every block element from the root).  Every path has, over the host's pages,
 variants of presentation (its sequence of children) and of content (its text
 and links).  The importance of a path is the mix of both entropies, scaled to
 0..1 by the logarithm of the number of pages: a menu or advert that repeats
-over the host is near 0, an article near 1.  Branches of low importance are
+over the host is near 0, an article near 1.  Equal pages of a host count once,
+and inside an article or main element equal articles count once, whatever
+surrounds them, so that copies say nothing about their own text.  Branches of low importance are
 removed from each page; elements that HTML or their class name marks as
 menus, forms, adverts, comments and the like are removed on any host, also
 where too few pages tell anything.
@@ -16,8 +18,8 @@ paths of a host come back.  A low path occurs on at least ``MIN_SHARE`` of the
 host's pages, so a host has at most (paths per page) / MIN_SHARE of them.
 
 Article elements, main elements, what encloses them, and unlabelled paragraphs
-are never removed for repeating, so that copies of a page keep their text; a
-page of which nothing would be left falls back on the element rules.
+are never removed for repeating; a page of which nothing would be left falls
+back on the element rules.
 
 Defined results: null or empty html gives an empty text; pages without a host
 use the element rules alone; repeated rows get the same text each; an empty
@@ -128,17 +130,20 @@ def children(n: Node):
     return (p for p in n.parts if isinstance(p, Node))
 
 
-def paths(root: Node) -> dict[str, tuple[int, int]]:
-    """path -> hash of its children's names, hash of its text and links, over the page."""
+def paths(root: Node) -> dict[str, tuple[int, int, int]]:
+    """path -> hash of its children's names, hash of its text and links, over the page, and
+    what counts once: the hash of the outermost article or main around it, or of the page."""
     out: dict[str, tuple[int, int]] = {}
+    around: dict[str, str] = {}
 
-    def walk(n: Node, path: str) -> tuple[list, list]:
+    def walk(n: Node, path: str, top: str) -> tuple[list, list]:
         names, texts = [], []
         for p in n.parts:
             if isinstance(p, Node):
                 name = f"{p.tag}.{p.label}" if p.label else p.tag
                 names.append(name)
-                texts += walk(p, f"{path}>{name}")[1]
+                at = f"{path}>{name}"
+                texts += walk(p, at, top or (at if p.tag in ("article", "main") else ""))[1]
             elif isinstance(p, str):
                 texts += p.split()
             elif p[0] == "href":
@@ -147,10 +152,12 @@ def paths(root: Node) -> dict[str, tuple[int, int]]:
             s, c = _h(names), _h(texts)
             old = out.get(path, (0, 0))
             out[path] = ((old[0] * 31 + s) % 2**63, (old[1] * 31 + c) % 2**63)
+            around[path] = top
         return names, texts
 
-    walk(root, "")
-    return out
+    walk(root, "", "")
+    page = _h([f"{p} {s} {c}" for p, (s, c) in sorted(out.items())])
+    return {p: (s, c, out[around[p]][1] if around[p] else page) for p, (s, c) in out.items()}
 
 
 def _h(words: list[str]) -> int:
@@ -209,15 +216,16 @@ def _emit_paths(batches):
     for b in batches:
         for at in range(0, b.num_rows, 200):
             part = b.slice(at, 200)
-            host, path, style, content = [], [], [], []
+            host, path, style, content, once = [], [], [], [], []
             for h, html in zip(part.column("host").to_pylist(), part.column("html").to_pylist()):
-                for p, (s, c) in paths(tree(html)).items():
+                for p, (s, c, o) in paths(tree(html)).items():
                     host.append(h)
                     path.append(p)
                     style.append(s)
                     content.append(c)
+                    once.append(o)
             yield pa.record_batch({"host": pa.array(host, pa.string()), "path": pa.array(path, pa.string()),
-                                   "style": pa.array(style, pa.int64()), "content": pa.array(content, pa.int64())})
+                                   "style": pa.array(style, pa.int64()), "content": pa.array(content, pa.int64()), "once": pa.array(once, pa.int64())})
 
 
 def _entropy(rows: DataFrame, of: str) -> DataFrame:
@@ -231,7 +239,8 @@ def _entropy(rows: DataFrame, of: str) -> DataFrame:
 
 def low_paths(pages: DataFrame) -> DataFrame:
     """host and ``low``: its paths of low importance (columns host, html)."""
-    rows = written(pages.filter("host <> ''").mapInArrow(_emit_paths, "host string, path string, style long, content long"), "paths")
+    rows = written(pages.filter("host <> ''").mapInArrow(_emit_paths, "host string, path string, style long, content long, once long"), "paths")
+    rows = rows.distinct()
     both = _entropy(rows, "style").join(_entropy(rows, "content").drop("pages"), ["host", "path"])
     importance = CONTENT_WEIGHT * F.col("h_content") + (1 - CONTENT_WEIGHT) * F.col("h_style")
     size = pages.filter("host <> ''").groupBy("host").agg(F.count("*").alias("host_pages"))

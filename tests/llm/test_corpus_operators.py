@@ -317,5 +317,17 @@ def test_repeated_branches_of_a_host_are_removed(spark):
     assert {r.text for r in copied.collect()} == {"a copied article"} and copied.count() == 11
 
 
+def test_copied_articles_keep_their_branches(spark):
+    """Copies of a whole page, and of an article in differing surroundings."""
+    article = "<article><h1>T</h1><div>body</div><section class=text>more</section><p class=lead>lead</article>"
+    rows = [(k, "http://copy.example/", f"<body>{article}</body>") for k in range(8)]
+    rows += [(100 + k, "http://mixed.example/", f"<body>{article}</body>") for k in range(30)]
+    rows += [(200 + k, "http://mixed.example/", f"<body><article><h1>T{k}</h1><div>body {k}</div></article></body>") for k in range(6)]
+    rows += [(300 + k, "http://near.example/", f"<body><div class=x>visit {k}</div>{article}</body>") for k in range(8)]
+    got = {r.page_id: r.text for r in html_extraction.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    want = "T\nbody\nmore\nlead"
+    assert {k: v for k, v in got.items() if v != want} == {200 + k: f"T{k}\nbody {k}" for k in range(6)}
+
+
 def test_pages_empty(spark):
     assert html_extraction.extract(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
