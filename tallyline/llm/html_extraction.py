@@ -13,9 +13,11 @@ menus, forms, adverts, comments and the like are removed on any host, also
 where too few pages tell anything.
 
 The merged tree is never in one place: pages emit one row per path with two
-hashes, the counts are aggregations that combine map-side, and only the low
-paths of a host come back.  A low path occurs on at least ``MIN_SHARE`` of the
-host's pages, so a host has at most (paths per page) / MIN_SHARE of them.
+hashes, the counts are aggregations that combine map-side, and low paths come
+back as (host, path) rows to the pages that hold them: a page gets its own low
+paths, at most as many as it has elements, however many its host has, and only
+those that the extraction of that page can ask for (``asked``).  The share of a
+host's pages that a path is on plays no part.
 
 Article elements, main elements, what encloses them, and unlabelled paragraphs
 are never removed for repeating; a page of which nothing would be left falls
@@ -38,7 +40,8 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-MIN_PAGES, MIN_SHARE = 4, 0.02
+MIN_PAGES = 4
+SALTS = 16                 # parts that a (host, path) is dealt over when low paths come back
 LOW = 0.35                 # importance below which a branch is removed
 CONTENT_WEIGHT = 0.9
 
@@ -164,14 +167,29 @@ def _h(words: list[str]) -> int:
     return int.from_bytes(hashlib.blake2b(" ".join(words).encode("utf-8", "replace"), digest_size=8).digest(), "little") >> 1
 
 
-def main_text(root: Node, low: frozenset[str] = frozenset()) -> str:
-    """The page's article as blocks, one per line, without noise and low branches."""
-    def removed(n: Node, path: str, in_article: bool, holds: bool) -> bool:
+MODES = ("article", "main", None)
+
+
+class _Asked:
+    """Stands for a set of low paths: all or none are in it; keeps what was looked up."""
+
+    def __init__(self, answer: bool):
+        self.answer, self.paths = answer, set()
+
+    def __contains__(self, path: str) -> bool:
+        self.paths.add(path)
+        return self.answer
+
+
+def _lines(root: Node, tag: str | None, low) -> list[str]:
+    """The blocks of the page's ``tag`` elements (None: of the page) without noise and low branches."""
+    def noise(n: Node, in_article: bool, holds: bool) -> bool:
         if n.tag == "header":
             return not in_article
-        if n.noise and not (holds and n.tag not in NOISE_TAGS):
-            return True
-        return path in low and not holds and not (n.tag in KEEP_TAGS and (not n.label or n.tag in ("article", "main")))
+        return n.noise and not (holds and n.tag not in NOISE_TAGS)
+
+    def kept(n: Node) -> bool:
+        return n.tag in KEEP_TAGS and (not n.label or n.tag in ("article", "main"))
 
     def holds_article(n: Node) -> bool:
         return any((c.tag in ("article", "main") and not c.noise) or (c.tag not in NOISE_TAGS and holds_article(c)) for c in children(n))
@@ -183,49 +201,65 @@ def main_text(root: Node, low: frozenset[str] = frozenset()) -> str:
                 out[-1].append(p)
             elif isinstance(p, Node):
                 at = f"{path}>{p.tag}.{p.label}" if p.label else f"{path}>{p.tag}"
-                if not removed(p, at, in_article, False):
+                if not noise(p, in_article, False) and (p.tag == "header" or kept(p) or at not in low):
                     blocks(p, at, in_article, out)
                 out.append([])
             elif p[0] == "break":
                 out.append([])
 
-    def find(n: Node, path: str, tag: str, found: list) -> None:
+    def find(n: Node, path: str, found: list) -> None:
         for c in children(n):
             at = f"{path}>{c.tag}.{c.label}" if c.label else f"{path}>{c.tag}"
             if c.tag == tag and not c.noise:
                 found.append((c, at))
-            elif not removed(c, at, False, holds_article(c)):
-                find(c, at, tag, found)
-
-    for tag in ("article", "main", None):
-        found: list = []
-        if tag:
-            find(root, "", tag, found)
-        else:
-            found = [(root, "")]
-        out: list[list[str]] = []
-        for n, path in found:
-            blocks(n, path, tag is not None, out)
-        lines = [t for t in (" ".join("".join(b).split()) for b in out) if t]
-        if lines:
+            elif not noise(c, False, holds_article(c)):
+                find(c, at, found)
+
+    found: list = [] if tag else [(root, "")]
+    if tag:
+        find(root, "", found)
+    out: list[list[str]] = []
+    for n, path in found:
+        blocks(n, path, tag is not None, out)
+    return [t for t in (" ".join("".join(b).split()) for b in out) if t]
+
+
+def main_text(root: Node, low: frozenset[str] = frozenset()) -> str:
+    """The page's article as blocks, one per line, without noise and low branches."""
+    for tag in MODES:
+        if lines := _lines(root, tag, low):
             return "\n".join(lines)
     return main_text(root) if low else ""
 
 
+def asked(root: Node) -> set[str]:
+    """The paths of the page whose being low can change its text."""
+    out: set[str] = set()
+    for tag in MODES:
+        none = _Asked(False)
+        lines = _lines(root, tag, none)
+        out |= none.paths
+        if lines and _lines(root, tag, _Asked(True)):      # no low path can empty this mode
+            break
+    return out
+
+
+PATHS = "host string, page binary, path string, style long, content long, once long, asked boolean"
+
+
 def _emit_paths(batches):
     for b in batches:
         for at in range(0, b.num_rows, 200):
             part = b.slice(at, 200)
-            host, path, style, content, once = [], [], [], [], []
-            for h, html in zip(part.column("host").to_pylist(), part.column("html").to_pylist()):
-                for p, (s, c, o) in paths(tree(html)).items():
-                    host.append(h)
-                    path.append(p)
-                    style.append(s)
-                    content.append(c)
-                    once.append(o)
-            yield pa.record_batch({"host": pa.array(host, pa.string()), "path": pa.array(path, pa.string()),
-                                   "style": pa.array(style, pa.int64()), "content": pa.array(content, pa.int64()), "once": pa.array(once, pa.int64())})
+            rows = []
+            for h, page, html in zip(*(part.column(c).to_pylist() for c in ("host", "page", "html"))):
+                root = tree(html)
+                ask = asked(root)
+                rows += [(h, page, p, *x, p in ask) for p, x in paths(root).items()]
+            cols = list(zip(*rows)) or [()] * 7
+            types = [pa.string(), pa.binary(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+            names = ["host", "page", "path", "style", "content", "once", "asked"]
+            yield pa.record_batch({name: pa.array(col, t) for name, col, t in zip(names, cols, types)})
 
 
 def _entropy(rows: DataFrame, of: str) -> DataFrame:
@@ -238,35 +272,32 @@ def _entropy(rows: DataFrame, of: str) -> DataFrame:
 
 
 def low_paths(pages: DataFrame) -> DataFrame:
-    """host and ``low``: its paths of low importance (columns host, html)."""
-    rows = written(pages.filter("host <> ''").mapInArrow(_emit_paths, "host string, path string, style long, content long, once long"), "paths")
-    rows = rows.distinct()
-    both = _entropy(rows, "style").join(_entropy(rows, "content").drop("pages"), ["host", "path"])
+    """host, page and ``low``: the paths of low importance of each page that has some (columns host, page, html)."""
+    rows = written(pages.filter("host <> ''").mapInArrow(_emit_paths, PATHS), "paths")
+    once = rows.select("host", "path", "style", "content", "once").distinct()
+    both = _entropy(once, "style").join(_entropy(once, "content").drop("pages"), ["host", "path"])
     importance = CONTENT_WEIGHT * F.col("h_content") + (1 - CONTENT_WEIGHT) * F.col("h_style")
-    size = pages.filter("host <> ''").groupBy("host").agg(F.count("*").alias("host_pages"))
-    low = both.filter((importance < LOW) & (F.col("pages") >= MIN_PAGES)).join(size, "host").filter(F.col("pages") >= MIN_SHARE * F.col("host_pages"))
-    return written(low.groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("low")), "low-paths")
+    low = written(both.filter((importance < LOW) & (F.col("pages") >= MIN_PAGES)).select("host", "path"), "low-paths")
+    salt = F.pmod(F.xxhash64("page"), F.lit(SALTS)).cast("int")
+    salted = low.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    mine = rows.filter("asked").select("host", "page", "path", salt.alias("salt")).join(salted, ["host", "path", "salt"])
+    return written(mine.groupBy("host", "page").agg(F.sort_array(F.collect_set("path")).alias("low")), "low-paths-of-pages")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     rows = pages.select("page_id", "url", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), HOST, 1)).alias("host"),
                         F.coalesce("html", F.lit("")).alias("html"))
-    low = low_paths(rows.select("host", "html"))
+    rows = rows.withColumn("page", F.substring(F.unhex(F.sha2("html", 256)), 1, 16))
+    low = low_paths(rows.select("host", "page", "html"))
 
     def run(batches):
-        seen: dict = {}
         for b in batches:
             for at in range(0, b.num_rows, 200):
                 part = b.slice(at, 200)
-                texts = []
-                for h, html, low in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), part.column("low")):
-                    if h not in seen:
-                        seen = seen if len(seen) < 1000 else {}
-                        seen[h] = frozenset(low.as_py() or ())
-                    texts.append(main_text(tree(html), seen[h]))
+                texts = [main_text(tree(html), frozenset(low or ())) for html, low in zip(part.column("html").to_pylist(), part.column("low").to_pylist())]
                 yield pa.record_batch({"page_id": part.column("page_id"), "url": part.column("url"), "text": pa.array(texts, pa.string()),
                                        "n_chars": pa.array(list(map(len, texts)), pa.int64())})
 
-    return rows.join(low, "host", "left").select("page_id", "url", "host", "html", "low").mapInArrow(
+    return rows.join(low, ["host", "page"], "left").select("page_id", "url", "html", "low").mapInArrow(
         run, "page_id long, url string, text string, n_chars long")

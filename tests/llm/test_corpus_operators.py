@@ -329,5 +329,15 @@ def test_copied_articles_keep_their_branches(spark):
     assert {k: v for k, v in got.items() if v != want} == {200 + k: f"T{k}\nbody {k}" for k in range(6)}
 
 
+def test_repeated_branches_do_not_depend_on_the_hosts_size(spark):
+    """A notice on 6 of 6 and on 6 of 506 pages of a host (under 2%)."""
+    page = lambda k, note: f"<body>{note}<div class=text{k % 9}><p>page {k} says {k * 7} things</div></body>"
+    note = "<div class=rare>Our shop since 1990</div>"
+    rows = [(k, "http://small.example/", page(k, note)) for k in range(6)]
+    rows += [(100 + k, "http://large.example/", page(k, note if k < 6 else "")) for k in range(506)]
+    got = {r.page_id: r.text for r in html_extraction.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert len(got) == 512 and all(t == f"page {k % 100 if k < 100 else k - 100} says {(k if k < 100 else k - 100) * 7} things" for k, t in got.items())
+
+
 def test_pages_empty(spark):
     assert html_extraction.extract(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
