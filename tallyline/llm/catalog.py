@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embedding_dedup, html_extraction, license_scans, minhash_dedup, mixing, pii, quality_rules, secret_scans, toxicity
+from . import bpe, embedding_dedup, html_extraction, license_scans, minhash_dedup, mixing, packing, periodic_runs, pii, quality_rules, secret_scans, spelling, toxicity
 from .common import read
 from .oracle import ORACLE  # noqa: F401
 
@@ -51,6 +51,20 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.classes(read(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.digests(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(read(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.with_periods(read(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_license_scans": op1_license_scans,
     "op2_byte_bpe": op2_byte_bpe,
@@ -62,4 +76,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_html_extraction": op9_html_extraction,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op11_packing": op11_packing,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_periodic_runs": op13_periodic_runs,
 }

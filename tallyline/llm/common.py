@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,3 +61,20 @@ def discard(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table of ``write`` that nothing reads any more."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def sliced(batch: pa.RecordBatch, column: str, most: int, rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """The batch in slices whose values of a string, binary or list column hold
+    ``most`` characters, bytes or elements at most (or are one row), and ``rows`` rows."""
+    values = batch.column(column)
+    if pa.types.is_list(values.type):
+        size = pc.list_value_length(values)
+    else:
+        size = pc.binary_length(values)
+    ends = np.cumsum(size.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = int(ends[at - 1]) if at else 0
+        end = min(max(at + 1, int(np.searchsorted(ends, before + most, "right"))), at + rows)
+        yield batch.slice(at, end - at)
+        at = end
