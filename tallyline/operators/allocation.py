@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ledger import closing_balance, running_balance, signed
+from .ledger import closing_balance, month_summary, signed, summary_peaks
 
 
 def _horizon(txns: DataFrame):
@@ -73,11 +73,7 @@ def alloc_trailing30(txns: DataFrame, floor_at_zero: bool = True, days: int = 30
 def month_peaks(txns: DataFrame) -> DataFrame:
     """customer_id, month, peak, balance for the months with transactions: the
     highest balance reached (the one carried in included) and the last one."""
-    per = running_balance(txns).groupBy("customer_id", F.last_day("txn_date").alias("month")).agg(
-        F.max("running_balance").alias("top"), F.max_by("running_balance", F.struct("txn_date", "txn_id")).alias("balance"))
-    w = Window.partitionBy("customer_id").orderBy("month")
-    carried = F.coalesce(F.lag("balance").over(w), F.lit(0))
-    return per.select("customer_id", "month", F.greatest("top", carried).alias("peak"), "balance")
+    return summary_peaks(month_summary(txns))
 
 
 def monthly_total(peaks: DataFrame, floor_at_zero: bool = True) -> DataFrame:

@@ -166,6 +166,36 @@ def running_balance(txns: DataFrame, chunk: int = RUN_CHUNK) -> DataFrame:
         (F.col("opening") + F.col("in_block")).cast("bigint").alias("running_balance"))
 
 
+def month_summary(txns: DataFrame, chunk: int = RUN_CHUNK) -> DataFrame:
+    """customer_id, month, net, top, first, last of the months with transactions:
+    the month's sum, the highest of its running sums in the order (date, txn_id),
+    and the places (date, txn_id) of its first and last transaction.
+
+    Two summaries of adjoining stretches combine: net = net1 + net2 and
+    top = max(top1, net1 + top2).  The blocks of ``running_balance`` are summed up
+    this way, so no offset is joined back to the rows."""
+    place = F.struct("txn_date", "txn_id")
+    s = txns.withColumn("signed_amount", signed(txns)).withColumn("block", F.floor(F.col("txn_id") / F.lit(chunk)).cast("bigint"))
+    blk = ["customer_id", "txn_date", "block"]
+    inside = Window.partitionBy(*blk).orderBy("txn_id").rowsBetween(Window.unboundedPreceding, 0)
+    blocks = s.withColumn("_run", F.sum("signed_amount").over(inside)).groupBy(*blk).agg(
+        F.sum("signed_amount").alias("net"), F.max("_run").alias("top"), F.min(place).alias("first"), F.max(place).alias("last"))
+    before = Window.partitionBy("customer_id", "month").orderBy("txn_date", "block").rowsBetween(Window.unboundedPreceding, -1)
+    rows = blocks.withColumn("month", F.last_day("txn_date"))
+    rows = rows.withColumn("top", F.coalesce(F.sum("net").over(before), F.lit(0)) + F.col("top"))
+    return rows.groupBy("customer_id", "month").agg(
+        F.sum("net").cast("bigint").alias("net"), F.max("top").cast("bigint").alias("top"), F.min("first").alias("first"), F.max("last").alias("last"))
+
+
+def summary_peaks(summaries: DataFrame) -> DataFrame:
+    """customer_id, month, peak, balance of month summaries: the highest balance
+    of the month, the one carried in included, and the last one."""
+    w = Window.partitionBy("customer_id").orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
+    carried = F.coalesce(F.sum("net").over(w), F.lit(0))
+    return summaries.select("customer_id", "month", (carried + F.greatest("top", F.lit(0))).cast("bigint").alias("peak"),
+                            (carried + F.col("net")).cast("bigint").alias("balance"))
+
+
 def balance_stats(txns: DataFrame) -> DataFrame:
     rb = running_balance(txns)
     return rb.groupBy("customer_id").agg(F.min("running_balance").alias("min_balance"),

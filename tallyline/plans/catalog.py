@@ -203,6 +203,7 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     # ---- streaming (replayed from a file source with an availableNow trigger)
     "live_balance": (lambda c: LB.replay_live_balance(c.spark, c.txns)),
     "live_month_peaks": (lambda c: LB.replay_month_peaks(c.spark, c.txns)),
+    "live_peaks_late": (lambda c: LB.replay_month_peaks(c.spark, c.txns, delay=10)),
     "live_month_total": (lambda c: LB.replay_month_total(c.spark, c.txns)),
     "live_monthly_net": (lambda c: LB.replay_monthly_net(c.spark, c.txns)),
 }

@@ -66,3 +66,9 @@ def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, mod
     deliveries by ``order_id`` -- join without a shuffle on either side, which
     removes the largest exchange from every order query that joins them."""
     (df.write.mode(mode).format("parquet").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -4,13 +4,9 @@
   aggregation (update mode).  State is one row per customer.
 * ``live_monthly_net(stream)`` -- net flow per customer and month
   (update mode, no watermark, so late rows still count).
-* ``MonthPeaks`` -- the peak balance each customer reaches in each month, the
-  balance carried in included.  Every micro-batch is one Spark job over the
-  batch and a state table (one row per customer: balance, open month, its peak,
-  last transaction), so no customer's rows meet in one Python process and a
-  hot customer is split like in the batch operator.  Transactions are applied
-  in event order (date, id): a row at or before its customer's last applied
-  transaction is late; late rows go to a table of their own and change nothing.
+* ``PeakStore`` (module ``peak_store``) -- the peak balance each customer reaches
+  in each month, the balance carried in included.  A late transaction corrects
+  its month and the months after.
 * ``month_total`` -- the monthly requirement over all customers, quiet months
   included, from the emitted peaks.
 
@@ -23,18 +19,16 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean as C
 from ..operators.allocation import monthly_total
-from ..operators.ledger import running_balance
 from ..session import ensure_checkpoint_dir
+from .peak_store import TXN_SCHEMA, PeakStore
 
-TXN_SCHEMA = "customer_id bigint, txn_id bigint, txn_date date, txn_type string, txn_amount bigint"
-STATE_SCHEMA = "customer_id bigint, balance bigint, month date, peak bigint, last_date date, last_id bigint"
-PEAK_SCHEMA = "customer_id bigint, month date, peak bigint, balance bigint"
 PERIODS = 3        # date ranges of a replay
+REPLAY_BUCKETS = 2 # a replayed test ledger has few customers
 
 
 def live_balance(stream: DataFrame) -> DataFrame:
@@ -64,67 +58,28 @@ def latest(spark: SparkSession, sink: str, schema: str, keys: list[str]) -> Data
     return out.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("r")).select(*keys, "r.*")
 
 
-class MonthPeaks:
-    """The sink of the month peaks: tables ``peaks`` (updates per batch),
-    ``late`` (rows that came too late) and ``state`` (one version per batch)."""
-
-    def __init__(self, spark: SparkSession, base: str):
-        self.spark, self.base = spark, base
-
-    def _read(self, table: str, schema: str, batch_id: int) -> DataFrame:
-        if batch_id < 0:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.base}/{table}/batch_id={batch_id}")
-
-    def _write(self, df: DataFrame, table: str, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.base}/{table}/batch_id={batch_id}")
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        state = self._read("state", STATE_SCHEMA, batch_id - 1)
-        rows = batch.select("customer_id", "txn_id", "txn_date", "txn_type", "txn_amount")
-        seen = rows.join(state.select("customer_id", "last_date", "last_id"), "customer_id", "left")
-        late = F.coalesce(F.struct("txn_date", "txn_id") <= F.struct("last_date", "last_id"), F.lit(False)) & F.col("last_date").isNotNull()
-        self._write(seen.filter(late).drop("last_date", "last_id"), "late", batch_id)
-        fresh = seen.filter(~late).drop("last_date", "last_id")
-        per = running_balance(fresh).groupBy("customer_id", F.last_day("txn_date").alias("month")).agg(
-            F.max("running_balance").alias("top"), F.max_by("running_balance", F.struct("txn_date", "txn_id")).alias("end"),
-            F.max(F.struct("txn_date", "txn_id")).alias("at"))
-        old = state.select("customer_id", F.col("balance").alias("before"), F.col("month").alias("open"), F.col("peak").alias("open_peak"))
-        w = Window.partitionBy("customer_id").orderBy("month")
-        before = F.coalesce("before", F.lit(0))
-        carried = before + F.coalesce(F.lag("end").over(w), F.lit(0))
-        peak = F.greatest(before + F.col("top"), carried, F.when(F.col("open") == F.col("month"), F.col("open_peak")))
-        new = per.join(old, "customer_id", "left").select(
-            "customer_id", "month", peak.cast("bigint").alias("peak"), (before + F.col("end")).cast("bigint").alias("balance"), "at")
-        self._write(new, "work", batch_id)
-        new = self.spark.read.schema(new.schema).parquet(f"{self.base}/work/batch_id={batch_id}")
-        self._write(new.select("customer_id", "month", "peak", "balance"), "peaks", batch_id)
-        last = new.groupBy("customer_id").agg(F.max_by(F.struct("balance", "month", "peak", "at"), "month").alias("s")).select(
-            "customer_id", "s.balance", "s.month", "s.peak", F.col("s.at.txn_date").alias("last_date"), F.col("s.at.txn_id").alias("last_id"))
-        self._write(last.unionByName(state.join(last, "customer_id", "left_anti")), "state", batch_id)
-
-    def peaks(self) -> DataFrame:
-        return latest(self.spark, f"{self.base}/peaks", PEAK_SCHEMA, ["customer_id", "month"])
-
-    def late_rows(self) -> DataFrame:
-        return self.spark.read.schema(f"{TXN_SCHEMA}, batch_id bigint").parquet(f"{self.base}/late")
-
-
 def month_total(peaks: DataFrame, floor_at_zero: bool = True) -> DataFrame:
     """month, data_required over all customers, quiet months included."""
     return monthly_total(peaks, floor_at_zero)
 
 
 class Replay:
-    """A ledger fed to streams as a folder that grows by one date range at a
-    time; the tasks and files of a range are those of the ledger's own plan."""
+    """A ledger fed to streams as a folder that grows by one range at a time.  The
+    ledger is written once, by ranges of its dates; each range then joins the
+    source.  With ``delay``, one transaction in so many arrives one or two ranges
+    after its own."""
 
-    def __init__(self, spark: SparkSession, txns: DataFrame, name: str, periods: int = PERIODS):
-        self.spark, self.base, self.periods = spark, _folder(spark, name), periods
+    def __init__(self, spark: SparkSession, txns: DataFrame, name: str, periods: int = PERIODS, delay: int | None = None):
+        self.spark, self.base, self.periods = spark, _folder(spark, name), periods + (2 if delay else 0)
         rows = txns.select("customer_id", "txn_id", "txn_date", "txn_type", "txn_amount")
-        lo, hi = txns.agg(F.min("txn_date")).scalar(), txns.agg(F.max("txn_date")).scalar()
-        share = F.datediff("txn_date", lo) / F.greatest(F.datediff(hi, lo) + 1, F.lit(1))
-        self.rows = rows.withColumn("_p", F.coalesce(F.floor(share * periods), F.lit(0)).cast("int"))
+        bounds = txns.agg(F.struct(F.min("txn_date").alias("lo"), F.max("txn_date").alias("hi")).alias("b")).scalar()
+        share = F.datediff("txn_date", bounds["lo"]) / F.greatest(F.datediff(bounds["hi"], bounds["lo"]) + 1, F.lit(1))
+        period = F.coalesce(F.floor(share * periods), F.lit(0)).cast("int")
+        if delay:
+            h = F.xxhash64("customer_id", "txn_id", "txn_date")
+            period = period + F.when(F.pmod(h, F.lit(delay)) == 0, F.lit(1) + F.pmod(F.shiftright(h, 20), F.lit(2))).otherwise(F.lit(0)).cast("int")
+        rows.withColumn("_p", period).write.partitionBy("_p").parquet(f"{self.base}/ranges")
+        self.rows = spark.read.schema(f"{TXN_SCHEMA}, _p int").parquet(f"{self.base}/ranges")
 
     def _stream(self) -> DataFrame:
         return self.spark.readStream.schema(TXN_SCHEMA).parquet(f"{self.base}/source")
@@ -158,15 +113,15 @@ def replay_monthly_net(spark: SparkSession, txns: DataFrame) -> DataFrame:
                     ["customer_id", "month"])
 
 
-def replay_peaks(spark: SparkSession, txns: DataFrame) -> MonthPeaks:
-    r = Replay(spark, txns, "month-peaks")
-    sink = MonthPeaks(spark, r.base)
+def replay_peaks(spark: SparkSession, txns: DataFrame, periods: int = PERIODS, delay: int | None = None, buckets: int = REPLAY_BUCKETS) -> PeakStore:
+    r = Replay(spark, txns, "month-peaks", periods, delay)
+    sink = PeakStore(spark, r.base, buckets, period="year")      # a range spans years
     r.run(lambda stream: stream, sink, mode="append")
     return sink
 
 
-def replay_month_peaks(spark: SparkSession, txns: DataFrame) -> DataFrame:
-    return replay_peaks(spark, txns).peaks()
+def replay_month_peaks(spark: SparkSession, txns: DataFrame, delay: int | None = None) -> DataFrame:
+    return replay_peaks(spark, txns, delay=delay).peaks()
 
 
 def replay_month_total(spark: SparkSession, txns: DataFrame) -> DataFrame:

@@ -1,11 +1,16 @@
 from __future__ import annotations
 
+import datetime as dt
+import glob
+import random
 import uuid
 
 import pytest
 
+from tallyline.operators import allocation as AL
 from tallyline.operators import placement as PL
 from tallyline.streaming import live_balance as LB
+from tallyline.streaming.peak_store import PeakStore
 
 from .conftest import d, rows
 
@@ -55,7 +60,7 @@ def test_live_month_peaks(spark, ledger):
 
 def _sink(spark):
     from tallyline.session import ensure_checkpoint_dir
-    return LB.MonthPeaks(spark, f"{ensure_checkpoint_dir(spark)}/peaks-{uuid.uuid4().hex}")
+    return PeakStore(spark, f"{ensure_checkpoint_dir(spark)}/peaks-{uuid.uuid4().hex}", buckets=2)
 
 
 def test_month_peaks_state_carries_across_batches(spark, ledger):
@@ -69,20 +74,70 @@ def test_month_peaks_state_carries_across_batches(spark, ledger):
     assert rows(sink.peaks(), "customer_id", "month", "peak", "balance") == [
         (1, d("2020-01-31"), 100, 70), (1, d("2020-03-31"), 70, -25), (2, d("2020-02-29"), 50, 50),
         (2, d("2020-03-31"), 50, 30), (3, d("2020-01-31"), 10, 10), (3, d("2020-02-29"), 11, 11)]
-    assert sink.late_rows().count() == 0
+    assert sink.corrections().count() == 0 and sink.rejected().count() == 0
 
 
-def test_late_rows_go_aside(spark):
+def test_late_rows_correct_their_month_and_those_after(spark):
     schema = "customer_id bigint, txn_id bigint, txn_date date, txn_type string, txn_amount bigint"
     sink = _sink(spark)
     sink(spark.createDataFrame([(1, 1, d("2020-01-05"), "deposit", 100), (1, 2, d("2020-03-05"), "deposit", 900)], schema), 0)
     sink(spark.createDataFrame([(1, 3, d("2020-01-20"), "purchase", 50), (1, 4, d("2020-03-06"), "deposit", 1)], schema), 1)
-    assert rows(sink.peaks()) == [(1, d("2020-01-31"), 100, 100), (1, d("2020-03-31"), 1001, 1001)]
-    assert rows(sink.late_rows(), "customer_id", "txn_id", "txn_amount") == [(1, 3, 50)]
+    assert rows(sink.peaks()) == [(1, d("2020-01-31"), 100, 50), (1, d("2020-03-31"), 951, 951)]
+    assert sink.corrections().count() == 0                 # both came after what their months held
+    late = spark.createDataFrame([(1, 0, d("2020-01-01"), "deposit", 7), (1, 5, None, "deposit", 1), (None, 6, d("2020-01-01"), "deposit", 1),
+                                  (2, 7, d("2020-02-01"), "deposit", 5)], schema)
+    for _ in range(2):                                     # a batch that is processed again counts once
+        sink(late, 2)
+        assert rows(sink.peaks()) == [(1, d("2020-01-31"), 107, 57), (1, d("2020-03-31"), 958, 958), (2, d("2020-02-29"), 5, 5)]
+    assert rows(sink.corrections()) == [(1, d("2020-01-31"), 2)] and sorted(r["txn_id"] for r in sink.rejected().collect()) == [5, 6]
+    sink(spark.createDataFrame([], schema), 3)
+    assert sink.last_batch() == 3 and len(rows(sink.peaks())) == 3
+
+
+@pytest.mark.parametrize("period", ["month", "year"])
+def test_any_order_of_arrival_gives_the_batch_result(spark, period):
+    """Transactions in random batches, many on one day and of one customer."""
+    rnd = random.Random(5)
+    txns = [(rnd.choice([1, 1, 1, 2, 3]), k, d(f"202{rnd.randint(0, 1)}-{rnd.randint(1, 3):02d}-{rnd.choice([1, 1, 2, 28]):02d}"),
+             rnd.choice(["deposit", "purchase", "withdrawal"]), rnd.randint(1, 90)) for k in range(300)]
+    schema = "customer_id bigint, txn_id bigint, txn_date date, txn_type string, txn_amount bigint"
+    sink = _sink(spark)
+    sink.period = period
+    rnd.shuffle(txns)
+    for batch in range(4):
+        sink(spark.createDataFrame(txns[75 * batch:75 * batch + 75], schema), batch)
+        seen = spark.createDataFrame(txns[:75 * batch + 75], schema)
+        assert rows(sink.peaks()) == rows(AL.month_peaks(seen)) == _plain_peaks(txns[:75 * batch + 75])
+    assert sink.corrections().count() > 0
+
+
+def _plain_peaks(txns):
+    out, balance = {}, {}
+    for customer, _, day, kind, amount in sorted(txns, key=lambda t: (t[0], t[2], t[1])):
+        month = (day.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
+        before = balance.get(customer, 0)
+        balance[customer] = before + (amount if kind == "deposit" else -amount)
+        peak = out.get((customer, month), (before, 0))[0]
+        out[customer, month] = (max(peak, balance[customer]), balance[customer])
+    return sorted((c, m, p, b) for (c, m), (p, b) in out.items())
+
+
+def test_a_batch_writes_the_cells_it_touches(spark):
+    """State written follows the batch: one late row writes one cell of many."""
+    schema = "customer_id bigint, txn_id bigint, txn_date date, txn_type string, txn_amount bigint"
+    sink = _sink(spark)
+    sink.buckets = 4
+    history = [(c, 100 * c + m, d(f"2020-{m:02d}-10"), "deposit", 10) for c in range(40) for m in range(1, 13)]
+    sink(spark.createDataFrame(history, schema), 0)
+    sink(spark.createDataFrame([(7, 5, d("2020-02-01"), "deposit", 1)], schema), 1)
+    cells = lambda v: sorted(glob.glob(f"{sink.base}/cells/version={v}/period=*/bucket=*"))
+    assert len(cells(0)) == 48 and len(cells(1)) == 1 and "period=2020-02-01" in cells(1)[0]
+    sink(spark.createDataFrame([(7, 6, d("2020-02-02"), "deposit", 1)], schema), 2)
+    assert len(cells(0)) == 47 and len(cells(2)) == 1        # what no retry reads is deleted
+    assert [r["peak"] for r in sink.peaks().filter("customer_id = 7").orderBy("month").collect()][:3] == [10, 22, 32]
 
 
 def test_month_total_of_the_stream_equals_the_batch(spark, ledger):
-    from tallyline.operators import allocation as AL
     want = rows(AL.alloc_realtime(ledger))
     assert rows(LB.replay_month_total(spark, ledger)) == want == [
         (d("2020-01-31"), 110), (d("2020-02-29"), 70 + 50 + 11), (d("2020-03-31"), 70 + 50 + 11)]
