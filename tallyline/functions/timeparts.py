@@ -48,3 +48,9 @@ def weekday_name(ts: str | Column) -> Column:
 
 def month_end(d: str | Column) -> Column:
     return F.last_day(_c(d).cast("date"))
+
+
+def seconds(ts: str) -> Column:
+    """Whole seconds since 1970 of a local timestamp, without the session zone."""
+    return (F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint") * 86400
+            + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts))

@@ -165,22 +165,25 @@ def _compound_floored(txns: DataFrame, annual_rate: float, scale: int) -> DataFr
     g = 1.0 + annual_rate / 365.0
     horizon = F.date_add(_horizon(txns), 1)
     day = txns.groupBy("customer_id", "txn_date").agg(F.sum(signed(txns)).cast("double").alias("net"))
-    path = day.groupBy("customer_id").agg(F.collect_list(F.struct(F.col("txn_date").alias("d"), "net")).alias("days"), F.min("txn_date").alias("first"))
+    step = F.struct(F.col("txn_date").alias("d"), "net", F.lit(False).alias("closes"))
+    path = day.groupBy("customer_id").agg(F.collect_list(step).alias("days"), F.min("txn_date").alias("first"))
     path = path.withColumn("end", horizon)      # a subquery cannot stand inside a lambda's argument
-    # The first of every later month ends the growth of the month before.
+    # The first of every later month closes the month before; only then a result is added.
     firsts = F.transform(F.sequence(F.add_months(F.trunc("first", "month"), 1), F.col("end"), F.expr("INTERVAL 1 MONTH")),
-                         lambda d: F.struct(d.alias("d"), F.lit(0.0).alias("net")))
+                         lambda d: F.struct(d.alias("d"), F.lit(0.0).alias("net"), F.lit(True).alias("closes")))
     steps = F.array_sort(F.concat("days", firsts))
-    grown = lambda acc, x: F.when((acc["b"] > 0) & acc["d"].isNotNull(),
-                                  acc["b"] * F.pow(F.lit(g), F.datediff(x["d"], acc["d"]).cast("double"))).otherwise(acc["b"])
-    start = F.struct(F.lit(0.0).alias("b"), F.lit(None).cast("date").alias("d"), F.array().cast("array<struct<month:date,i:double>>").alias("out"))
+    growth = lambda acc, x: F.when((acc["b"] > 0) & acc["d"].isNotNull(),
+                                   acc["b"] * (F.pow(F.lit(g), F.datediff(x["d"], acc["d"]).cast("double")) - 1)).otherwise(F.lit(0.0))
+    start = F.struct(F.lit(0.0).alias("b"), F.lit(None).cast("date").alias("d"), F.lit(0.0).alias("i"),
+                     F.array().cast("array<struct<month:date,i:double>>").alias("out"))
     run = F.aggregate(steps, start, lambda acc, x: F.struct(
-        (grown(acc, x) + x["net"]).alias("b"), x["d"].alias("d"),
-        F.concat(acc["out"], F.array(F.struct(F.last_day(F.date_sub(x["d"], 1)).alias("month"), (grown(acc, x) - acc["b"]).alias("i")))).alias("out")),
+        (acc["b"] + growth(acc, x) + x["net"]).alias("b"), x["d"].alias("d"),
+        F.when(x["closes"], F.lit(0.0)).otherwise(acc["i"] + growth(acc, x)).alias("i"),
+        F.when(x["closes"], F.concat(acc["out"], F.array(F.struct(
+            F.last_day(F.date_sub(x["d"], 1)).alias("month"), (acc["i"] + growth(acc, x)).alias("i"))))).otherwise(acc["out"]).alias("out")),
         lambda acc: acc["out"])
     rows = path.select(F.explode(run).alias("r")).select("r.month", "r.i")
-    lo = F.trunc(txns.agg(F.min("txn_date")).scalar(), "month")
-    return rows.filter(F.col("month") >= lo).groupBy("month").agg(F.round(F.sum("i"), scale).alias("data_required")).orderBy("month")
+    return rows.groupBy("month").agg(F.round(F.sum("i"), scale).alias("data_required")).orderBy("month")
 
 
 def allocation(txns: DataFrame, option: int, floor_at_zero: bool = True) -> DataFrame:

@@ -20,6 +20,9 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.timeparts import seconds
+from .quantiles import exact_quantiles
+
 
 def distinct_nodes(nodes: DataFrame) -> DataFrame:
     return nodes.agg(F.countDistinct("node_id").alias("unique_nodes"))
@@ -47,6 +50,15 @@ def reallocation_gaps(nodes: DataFrame) -> DataFrame:
     return first.withColumn("moving_days", F.datediff(F.lead("first_date").over(w), F.col("first_date")))
 
 
+def reallocation_seconds(moves: DataFrame) -> DataFrame:
+    """The same gaps to the second, of rows customer_id, region_id, node_id, moved_at
+    (a local timestamp): ``moving_seconds`` between the whole seconds of two visits."""
+    first = moves.groupBy("customer_id", "region_id", "node_id").agg(F.min("moved_at").alias("first_at"))
+    w = Window.partitionBy("customer_id").orderBy("first_at", "node_id")
+    at = seconds("first_at")
+    return first.withColumn("moving_seconds", F.lead(at).over(w) - at)
+
+
 STINT_CHUNK = 1_000_000
 
 
@@ -108,3 +120,12 @@ def realloc_percentiles(nodes: DataFrame, regions: DataFrame,
     cols = [PCT_NAMES.get(p, "p" + f"{Decimal(str(float(p))) * 100:f}".rstrip("0").rstrip(".").replace(".", "_")) for p in ps]
     per = gaps.groupBy("region_id").agg(*[pct(p).alias(n) for p, n in zip(ps, cols)])
     return per.join(regions, "region_id").select("region_id", "region_name", *cols).orderBy("region_id")
+
+
+def realloc_second_percentiles(moves: DataFrame, regions: DataFrame, ps: Sequence[float] = (0.5, 0.8, 0.95)) -> DataFrame:
+    """Exact percentiles per region of gaps to the second, whose values are nearly
+    all distinct: by rank selection, without a map of a region's values."""
+    names = [PCT_NAMES.get(p, f"p{p}") for p in ps]
+    gaps = reallocation_seconds(moves).filter("moving_seconds is not null")
+    per = exact_quantiles(gaps, ["region_id"], "moving_seconds", ps, names)
+    return per.join(regions, "region_id").select("region_id", "region_name", *names).orderBy("region_id")

@@ -11,9 +11,11 @@ query uses need to be present.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import orders as O
-from ..sources.business import numbered, with_txn_ids
+from ..operators.numbering import numbered
+from ..sources.business import with_txn_ids
 from .catalog import BUILDERS, Params
 
 # The parameters stated by the original questions.
@@ -85,6 +87,20 @@ class BusinessCtx:
         # tie-break for stints starting on the same day
         return numbered(n, ["customer_id", "start_date"], ["end_date", "node_id", "region_id"], "stint_id")
 
+    @property
+    def moves(self) -> DataFrame:
+        """Placements with the start of their first day as the moment."""
+        return self.nodes.withColumn("moved_at", F.col("start_date").cast("timestamp_ntz"))
+
+    @property
+    def hot_ledger(self) -> DataFrame:
+        return self._t("customer_transactions").drop("txn_id")
+
+    @property
+    def ledger_text(self) -> DataFrame:
+        t = self._t("customer_transactions")
+        return t.select(*[F.col(c).cast("string") for c in ("customer_id", "txn_date", "txn_type", "txn_amount")])
+
     @property
     def regions(self) -> DataFrame:
         return self._t("regions")

@@ -7,18 +7,26 @@ from the question it answers; the plain name follows the question.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import allocation as AL
 from ..operators import ledger as L
 from ..operators import lists as LS
+from ..operators import month_end as ME
+from ..operators import numbering as N
 from ..operators import orders as O
 from ..operators import placement as PL
 from ..operators import pricing as PR
+from ..operators import sketches as SK
+from ..session import ensure_checkpoint_dir
 from ..sources import analogues as A
+from ..sources import business as B
+from ..sources import sinks
 from ..sources.tables import Tables
 from ..streaming import live_balance as LB
 
@@ -96,11 +104,46 @@ class Ctx:
     def nodes(self) -> DataFrame:
         return A.node_placements(self.t)
 
+    @property
+    def moves(self) -> DataFrame:
+        return A.node_moves(self.t)
+
+    @property
+    def hot_ledger(self) -> DataFrame:
+        return A.hot_ledger(self.t)
+
+    @property
+    def ledger_text(self) -> DataFrame:
+        return A.ledger_text(self.t)
+
     @property
     def regions(self) -> DataFrame:
         return A.regions(self.t)
 
 
+def _bulk_load(c: Ctx) -> DataFrame:
+    """The ledger written as CSV and loaded with its rejected rows."""
+    path = f"{ensure_checkpoint_dir(c.spark).rstrip('/')}/load-{uuid.uuid4().hex}"
+    c.ledger_text.write.option("header", True).csv(path)
+    return B.load_report(c.spark, path, "customer_transactions")
+
+
+def _widened_table(c: Ctx) -> DataFrame:
+    """A typed table that is created, filled, widened by a rewrite and filled with
+    values that only the wider type holds."""
+    table = f"made_{uuid.uuid4().hex}"
+    sinks.create_table(c.spark, table, [("order_id", "bigint"), ("customer_id", "bigint"), ("rating", "int")], replace=True)
+    first = c.ratings.select(F.col("order_id").cast("bigint"), F.col("customer_id").cast("bigint"), F.col("rating").cast("int"))
+    first.write.insertInto(table)
+    sinks.widen_column(c.spark, table, "rating", "bigint")
+    first.select(-F.col("order_id"), "customer_id", F.col("rating").cast("bigint") * 10_000_000_000).write.insertInto(table)
+    return c.spark.table(table)
+
+
+def _month_end_incremental(c: Ctx) -> DataFrame:
+    return ME.appended_in_periods(c.spark, c.txns, f"{ensure_checkpoint_dir(c.spark).rstrip('/')}/month-end-{uuid.uuid4().hex}")
+
+
 def q(fn: Callable[[Ctx], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(Ctx(spark, sf_dir))
@@ -113,6 +156,9 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     # ---- cleaning
     "clean_orders": (lambda c: c.items),
     "clean_deliveries": (lambda c: c.deliveries),
+    # ---- loads and tables
+    "bulk_load": _bulk_load,
+    "widened_table": _widened_table,
     # ---- counts
     "items_ordered": (lambda c: O.items_ordered(c.items)),
     "distinct_customers": (lambda c: O.distinct_customers(c.items)),
@@ -144,6 +190,8 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "success_pct_as_written": (lambda c: O.success_pct(c.deliveries, as_written=True)),
     # ---- lists
     "line_ids": (lambda c: LS.with_line_ids(c.items)),
+    "global_ids": (lambda c: N.with_global_ids(c.items, ["order_time", "order_id"], "record_id")),
+    "hot_key_ids": (lambda c: N.numbered(c.hot_ledger, ["customer_id", "txn_date"], ["txn_type", "txn_amount"], "txn_id")),
     "recipe_rows": (lambda c: LS.explode_recipe(c.recipes, c.toppings)),
     "extra_rows": (lambda c: LS.explode_ids(c.items, "extras", "extra_id")),
     "exclusion_rows": (lambda c: LS.explode_ids(c.items, "exclusions", "exclusion_id")),
@@ -183,6 +231,7 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "realloc_avg": (lambda c: PL.realloc_avg(c.nodes)),
     "realloc_avg_per_stint": (lambda c: PL.realloc_avg(c.nodes, per_stint=True)),
     "realloc_percentiles": (lambda c: PL.realloc_percentiles(c.nodes, c.regions)),
+    "realloc_second_percentiles": (lambda c: PL.realloc_second_percentiles(c.moves, c.regions)),
     # ---- ledger
     "txn_summary": (lambda c: L.txn_summary(c.txns)),
     "deposit_averages": (lambda c: L.deposit_averages(c.txns)),
@@ -190,6 +239,8 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "active_customers_as_written": (lambda c: L.active_customers(c.txns, as_written=True)),
     "closing_balance": (lambda c: L.closing_balance(c.txns)),
     "closing_balance_fixed_start": (lambda c: L.closing_balance(c.txns, start=c.p.calendar_start)),
+    "month_end_incremental": _month_end_incremental,
+    "yearly_customers": (lambda c: SK.yearly_customers(c.txns)),
     "growth_pct": (lambda c: L.growth_pct(c.txns)),
     "growth_pct_abs": (lambda c: L.growth_pct(c.txns, use_abs=True)),
     "running_balance": (lambda c: L.running_balance(c.txns)),
@@ -200,6 +251,7 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "alloc_realtime": (lambda c: AL.alloc_realtime(c.txns)),
     "interest_simple": (lambda c: AL.interest_simple(c.txns, scale=c.p.money_scale)),
     "interest_compound": (lambda c: AL.interest_compound(c.txns, scale=c.p.money_scale)),
+    "interest_compound_floored": (lambda c: AL.interest_compound(c.txns, floor_at_zero=True, scale=c.p.money_scale)),
     # ---- streaming (replayed from a file source with an availableNow trigger)
     "live_balance": (lambda c: LB.replay_live_balance(c.spark, c.txns)),
     "live_month_peaks": (lambda c: LB.replay_month_peaks(c.spark, c.txns)),

@@ -171,5 +171,34 @@ def node_placements(t: Tables) -> DataFrame:
                     F.col("event_id").alias("stint_id")))
 
 
+def node_moves(t: Tables) -> DataFrame:
+    """Node placements to the microsecond."""
+    ev = t.events.select("user_id", "event_type", "ts")
+    cust = t.customer.select("c_custkey", "c_nationkey")
+    nat = t.nation.select("n_nationkey", "n_regionkey")
+    return (ev.join(cust, ev.user_id == cust.c_custkey).join(nat, F.col("c_nationkey") == F.col("n_nationkey"))
+            .select(F.col("user_id").alias("customer_id"), F.col("n_regionkey").alias("region_id"),
+                    F.col("event_type").alias("node_id"), F.col("ts").alias("moved_at")))
+
+
+def hot_ledger(t: Tables) -> DataFrame:
+    """A ledger without transaction ids in which one customer (0) has a third of
+    the rows, and days are months, so that a key has very many rows."""
+    txns = transactions(t)
+    return txns.select(F.when(F.col("customer_id") % 3 == 0, 0).otherwise(F.col("customer_id")).cast("bigint").alias("customer_id"),
+                       F.trunc("txn_date", "month").alias("txn_date"), "txn_type", "txn_amount")
+
+
+def ledger_text(t: Tables) -> DataFrame:
+    """The ledger as text for a bulk load; every 50th amount and every 70th date is
+    no such value, every 90th amount is blank and every 40th customer has blanks around."""
+    txns = transactions(t)
+    k = F.col("txn_id")
+    return txns.select(
+        F.when(k % 40 == 3, F.concat(F.lit(" "), F.col("customer_id").cast("string"), F.lit(" "))).otherwise(F.col("customer_id").cast("string")).alias("customer_id"),
+        F.when(k % 70 == 1, F.lit("2020-13-45")).otherwise(F.col("txn_date").cast("string")).alias("txn_date"), "txn_type",
+        F.when(k % 50 == 1, F.lit("12.x")).when(k % 90 == 2, F.lit("")).otherwise(F.col("txn_amount").cast("string")).alias("txn_amount"))
+
+
 def regions(t: Tables) -> DataFrame:
     return t.region.select(F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region_name"))

@@ -9,10 +9,11 @@ columns at fault.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clean import to_int
+from ..operators.numbering import numbered
 
 # Declared or inferred column types of the business tables (fixed values).
 SCHEMAS: dict[str, list[tuple[str, str]]] = {
@@ -31,7 +32,6 @@ SCHEMAS: dict[str, list[tuple[str, str]]] = {
     "pizza_recipes": [("pizza_id", "bigint"), ("toppings", "string")],
     "pizza_toppings": [("topping_id", "bigint"), ("topping_name", "string")],
 }
-NUMBER_CHUNK = 1_000_000
 OPEN_END = "9999-12-31"   # end_date of a stint that is still open
 
 
@@ -83,24 +83,6 @@ def read_split(spark: SparkSession, path: str, table: str, fmt: str = "parquet",
     return split_rejected(_raw(spark, path, table, fmt, header, sep), table)
 
 
-def numbered(df: DataFrame, keys: list[str], order: list[str], out: str, chunk: int = NUMBER_CHUNK) -> DataFrame:
-    """``df`` with an id that is unique within ``keys`` and follows ``order``.
-
-    Identical rows are counted first and regenerated in chunks.  A key of more
-    than ``chunk`` rows is cut by a hash of its order columns into parts with
-    id ranges of their own, so that no window sorts a hot key's rows."""
-    rows = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
-    hot = rows.groupBy(*keys).agg(F.ceil(F.sum("_n") / chunk).cast("bigint").alias("_parts")).filter("_parts > 1")
-    rows = rows.join(hot, keys, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(*order), F.col("_parts")), F.lit(0)))
-    rest = [c for c in df.columns if c not in keys + order]
-    before = Window.partitionBy(*keys, "_part").orderBy(*order, *rest).rowsBetween(Window.unboundedPreceding, -1)
-    first = F.col("_part") * F.lit(1 << 40) + F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1
-    rows = rows.withColumn("_first", first).select(*df.columns, "_first", "_n", F.explode(
-        F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / chunk).cast("bigint"))).alias("_chunk"))
-    lo = F.col("_first") + F.col("_chunk") * chunk
-    return rows.select(*df.columns, F.explode(F.sequence(lo, F.least(F.col("_first") + F.col("_n") - 1, lo + chunk - 1))).alias(out))
-
-
 def with_txn_ids(txns: DataFrame) -> DataFrame:
     """Tie-break id for ledgers without one, among the customer's transactions
     of the same day by (type, amount).  Equal rows are interchangeable, so any
@@ -111,3 +93,12 @@ def with_txn_ids(txns: DataFrame) -> DataFrame:
 def open_stint(end_date: str = "end_date"):
     """True for a stint whose end date is the open-ended sentinel."""
     return F.col(end_date) == F.lit(OPEN_END).cast("date")
+
+
+def load_report(spark: SparkSession, path: str, table: str, fmt: str = "csv") -> DataFrame:
+    """Every row of a file with its fate: the columns as text (of accepted rows in
+    their types' own form) and ``rejected_columns`` (comma-joined; null if accepted)."""
+    good, bad = read_split(spark, path, table, fmt)
+    names = [c for c, _ in SCHEMAS[table]]
+    accepted = good.select(*[F.col(c).cast("string").alias(c) for c in names], F.lit(None).cast("string").alias("rejected_columns"))
+    return accepted.unionByName(bad.select(*names, F.array_join("rejected_columns", ",").alias("rejected_columns")))

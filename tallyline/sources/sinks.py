@@ -59,6 +59,24 @@ def create_table(spark: SparkSession, table: str, columns: list[tuple[str, str]]
     spark.sql(f"CREATE TABLE {table} ({', '.join(f'{c} {t}' for c, t in columns)}) USING parquet")
 
 
+def widen_column(spark: SparkSession, table: str, column: str, to: str) -> None:
+    """Give a column of a catalogue table a wider type by rewriting the table: the
+    rows go to a new table with the new type, which then takes the old one's name.
+    A value that the new type cannot hold is an error before anything is dropped."""
+    old = spark.table(table)
+    if column not in old.columns:
+        raise ValueError(f"{table} has no column {column}")
+    new = f"{table}_{uuid.uuid4().hex[:8]}"
+    create_table(spark, new, [(f.name, to if f.name == column else f.dataType.simpleString()) for f in old.schema.fields])
+    wider = F.col(column).cast(to)
+    lost = F.col(column).isNotNull() & (wider.isNull() | (wider.cast(old.schema[column].dataType) != F.col(column)))
+    value = F.when(lost, F.raise_error(F.concat(F.lit(f"{table}.{column} is no {to}: "), F.col(column).cast("string"))).cast(to)).otherwise(wider)
+    old.select(*[value.alias(c) if c == column else F.col(c) for c in old.columns]).write.insertInto(new)
+    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    spark.catalog.refreshTable(table)
+
+
 def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, mode: str = "overwrite") -> None:
     """Save ``df`` as a catalog table bucketed (and sorted) by ``keys``.
 

@@ -3,8 +3,12 @@ from __future__ import annotations
 import tempfile
 
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from tallyline.operators import ledger as L
+from tallyline.operators.numbering import numbered, with_global_ids
+from tallyline.operators.quantiles import exact_quantiles
 from tallyline.sources import business as B
 
 from .conftest import SF_SMALL, d, rows
@@ -47,15 +51,47 @@ def test_bigint_parquet_keys_are_kept(spark):
     assert rows(B.read_business(spark, path, "customer_transactions")) == [(3000000000, d("2020-01-01"), "deposit", 3000000000)]
 
 
-def test_numbering_splits_a_hot_key(spark):
-    """One customer's day with many rows: ids are unique, in order within each
-    part, and equal rows are counted, not sorted."""
-    t = spark.range(0, 3000).selectExpr("1 AS customer_id", "DATE'2020-01-01' AS txn_date", "'deposit' AS txn_type", "id % 500 AS txn_amount")
-    got = B.numbered(t, ["customer_id", "txn_date"], ["txn_type", "txn_amount"], "txn_id", chunk=100)
-    assert got.count() == 3000 and got.select("txn_id").distinct().count() == 3000
-    assert got.groupBy("txn_amount").count().select("count").distinct().collect()[0][0] == 6
-    parts = got.selectExpr("txn_id >> 40 AS p").groupBy("p").count().collect()
-    assert len(parts) > 20 and max(r["count"] for r in parts) < 400
+def _any_order(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("ranges", [1, 5, 40, None])
+def test_numbering_follows_the_order_at_any_number_of_ranges(spark, ranges):
+    """Keys that span ranges, null keys and rows repeated very often."""
+    t = spark.range(0, 3000).selectExpr("IF(id % 10 < 8, 1, IF(id % 10 = 8, NULL, id % 7)) AS customer_id", "DATE'2020-01-01' AS txn_date",
+                                        "IF(id % 3 = 0, 'deposit', 'purchase') AS txn_type", "IF(id % 2 = 0, 5, id * 7919 % 501) AS txn_amount")
+    got = _any_order(numbered(t, ["customer_id", "txn_date"], ["txn_type", "txn_amount"], "txn_id", ranges))
+    w = Window.partitionBy("customer_id", "txn_date").orderBy("txn_type", "txn_amount")
+    assert got == _any_order(t.withColumn("txn_id", F.row_number().over(w).cast("bigint")))
+    ids = _any_order(with_global_ids(t, ["txn_amount"], "id", ranges))
+    everything = Window.orderBy("txn_amount", "customer_id", "txn_date", "txn_type")
+    assert ids == _any_order(t.withColumn("id", F.row_number().over(everything).cast("bigint")))
+
+
+def test_numbering_regenerates_a_row_in_chunks(spark):
+    t = spark.range(0, 250_000).selectExpr("1 AS k", "2 AS v")
+    got = numbered(t, ["k"], ["v"], "id").agg(F.count("*"), F.min("id"), F.max("id"), F.count_distinct("id")).first()
+    assert tuple(got) == (250_000, 1, 250_000, 250_000)
+    assert with_global_ids(t.limit(0), ["v"], "id").count() == 0 == numbered(t.limit(0), ["k"], ["v"], "id").count()
+
+
+def test_global_ids_need_no_window_over_the_table(spark):
+    t = spark.range(0, 100).selectExpr("id % 7 AS v")
+    plan = with_global_ids(t, ["v"], "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan and "windowspecdefinition(_range" in plan and "windowspecdefinition(v" not in plan
+
+
+@pytest.mark.parametrize("buckets", [2, 16, 1024])
+def test_rank_selection_equals_the_exact_percentile(spark, buckets):
+    t = spark.range(0, 4000).selectExpr("IF(id % 5 = 0, NULL, id % 3) AS g", "CASE WHEN id % 11 = 0 THEN NULL WHEN id % 3 = 0 THEN 7 "
+                                        "ELSE id * 2654435761 % 1000003 - 500000 END AS v")
+    ps = (0.0, 0.25, 0.5, 0.8, 0.95, 1.0)
+    got = _any_order(exact_quantiles(t, ["g"], "v", ps, [f"p{k}" for k in range(len(ps))], buckets))
+    want = _any_order(t.filter("v is not null").groupBy("g").agg(*[F.percentile("v", F.lit(p)).alias(f"p{k}") for k, p in enumerate(ps)]))
+    assert len(got) == len(want) == 4
+    for a, b in zip(got, want):
+        assert a[0] == b[0] and a[1:] == pytest.approx(b[1:])
+    assert exact_quantiles(t.filter("v > 1e9"), ["g"], "v", ps, [f"p{k}" for k in range(len(ps))]).count() == 0
 
 
 def test_typed_tables_and_views(spark):
