@@ -38,12 +38,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import sliced, written
 
 MIN_PAGES = 4
 SALTS = 16                 # parts that a (host, path) is dealt over when low paths come back
 LOW = 0.35                 # importance below which a branch is removed
 CONTENT_WEIGHT = 0.9
+BATCH_CHARS = 4_000_000    # characters of the pages parsed at once, or one longer page
+REMEMBER = 200_000         # words, and steps of paths, a worker remembers
+PRIME, BASE = 2**61 - 1, 1_000_003_919
 
 # Elements of HTML by role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -53,25 +56,57 @@ NOISE_TAGS = set("head script style noscript template nav footer aside form butt
                  "audio video menu dialog fieldset map math".split())
 KEEP_TAGS = set("html body article main p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dt dd table tbody thead tfoot tr td th figure figcaption hr".split())
 CLOSES_P = KEEP_TAGS | NOISE_TAGS | set("div section header address details summary center".split())
-NOISE_WORDS = set("nav navbar navigation menu menus header masthead topbar footer sidebar sidebars side ad ads adv advert adverts advertisement "
+NOISE_WORDS = set("nav navbar navigation menu menus header masthead topbar footer sidebar sidebars ad ads adv advert adverts advertisement "
                   "advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter "
                   "subscribe subscription signup login share sharing social related recommended recommendations breadcrumb breadcrumbs comment comments "
-                  "reply replies disqus respond form search widget widgets pagination pager toolbar skip copyright".split())
+                  "reply replies disqus respond search widget widgets pagination pager toolbar skip copyright".split())
+SPARED = set("html body main h1 h2 h3 h4 h5 h6".split())      # whatever their class says
 NOISE_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
 
+class _Steps(dict):
+    """(number of a path, name of an element) -> number of the longer path: a chained
+    64-bit hash, the same in every task."""
+
+    def __missing__(self, step: tuple[int, str]) -> int:
+        if len(self) > REMEMBER:
+            self.clear()
+        text = f"{step[0]} {step[1]}".encode("utf-8", "replace")
+        got = self[step] = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little") >> 1
+        return got
+
+
+class _Words(dict):
+    """word -> number below the prime."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > REMEMBER:
+            self.clear()
+        got = self[word] = _h([word]) % PRIME
+        return got
+
+
+_steps, _numbers = _Steps(), _Words()
+
+
 class Node:
-    __slots__ = ("tag", "label", "noise", "parent", "parts")
+    """A block element: ``name`` is its tag and label, ``path`` the number of its
+    path, ``holds`` says that an article or main is below it (not inside an element
+    that is noise by its tag)."""
+
+    __slots__ = ("tag", "label", "noise", "parent", "parts", "name", "path", "holds")
 
     def __init__(self, tag: str, attrs: list, parent: "Node | None"):
         a = dict(attrs)
-        self.tag, self.parent, self.parts = tag, parent, []
+        self.tag, self.parent, self.parts, self.holds = tag, parent, [], False
         self.label = (a.get("class") or "").strip().lower() or (a.get("id") or "").strip().lower()
+        self.name = f"{tag}.{self.label}" if self.label else tag
+        self.path = _steps[parent.path, self.name] if parent else 0
         named = set(re.split(r"[^a-z]+", f"{a.get('class') or ''} {a.get('id') or ''}".lower())) if tag not in INLINE else ()
         hidden = "hidden" in a or (a.get("aria-hidden") or "") == "true" or "display:none" in (a.get("style") or "").replace(" ", "")
         role = (a.get("role") or "").lower()
-        self.noise = tag in NOISE_TAGS or hidden or role in NOISE_ROLES or (tag not in ("html", "body", "main") and bool(NOISE_WORDS & set(named)))
+        self.noise = tag in NOISE_TAGS or hidden or role in NOISE_ROLES or (tag not in SPARED and bool(NOISE_WORDS & set(named)))
 
 
 class Tree(HTMLParser):
@@ -80,6 +115,7 @@ class Tree(HTMLParser):
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root", [], None)
+        self.open: dict[str, int] = {}          # open elements by tag
         self.feed(html)
         self.close()
 
@@ -101,7 +137,15 @@ class Tree(HTMLParser):
                 self._close(t, ("ul", "ol", "dl", "table", "tbody", "thead", "tfoot", "select") + (("tr",) if tag in ("td", "th") else ()))
         node = Node(tag, attrs, self.at)
         self.at.parts.append(node)
+        if tag in ("article", "main") and not node.noise:
+            up = self.at
+            while not up.holds:
+                up.holds = True
+                if up.tag in NOISE_TAGS or up.parent is None:
+                    break
+                up = up.parent
         self.at = node
+        self.open[tag] = self.open.get(tag, 0) + 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -112,14 +156,23 @@ class Tree(HTMLParser):
         if tag not in INLINE and tag not in VOID:
             self._close(tag, ())
 
+    def parse_marked_section(self, i, report=1):
+        """``<![...`` of any kind is a comment up to the next ``>``, or the page's end."""
+        end = self.rawdata.find(">", i + 3)
+        return end + 1 if end >= 0 else len(self.rawdata)
+
     def _close(self, tag, barriers):
+        if not self.open.get(tag):
+            return
         n = self.at
         while n is not None and n.tag != tag:
             if n.tag in barriers:
                 return
             n = n.parent
         if n is not None and n.parent is not None:
-            self.at = n.parent
+            while self.at is not n.parent:
+                self.open[self.at.tag] -= 1
+                self.at = self.at.parent
 
     def handle_data(self, data):
         self.at.parts.append(data)
@@ -133,32 +186,33 @@ def children(n: Node):
     return (p for p in n.parts if isinstance(p, Node))
 
 
-def paths(root: Node) -> dict[str, tuple[int, int, int]]:
+def paths(root: Node) -> dict[int, tuple[int, int, int]]:
     """path -> hash of its children's names, hash of its text and links, over the page, and
-    what counts once: the hash of the outermost article or main around it, or of the page."""
-    out: dict[str, tuple[int, int]] = {}
-    around: dict[str, str] = {}
-
-    def walk(n: Node, path: str, top: str) -> tuple[list, list]:
-        names, texts = [], []
-        for p in n.parts:
+    what counts once: the hash of the outermost article or main around it, or of the page.
+
+    The text's hash is a polynomial in its words, so a parent's follows from its
+    children's.  The walk keeps its own stack: pages can be nested without bound."""
+    out: dict[int, tuple[int, int]] = {}
+    around: dict[int, int] = {}
+    # node, its parts that are left, outermost article above, children's names, value and power of the text
+    stack = [[root, iter(root.parts), 0, [], 0, 1]]
+    while stack:
+        top = stack[-1]
+        for p in top[1]:
             if isinstance(p, Node):
-                name = f"{p.tag}.{p.label}" if p.label else p.tag
-                names.append(name)
-                at = f"{path}>{name}"
-                texts += walk(p, at, top or (at if p.tag in ("article", "main") else ""))[1]
-            elif isinstance(p, str):
-                texts += p.split()
-            elif p[0] == "href":
-                texts.append(p[1])
-        if path:
-            s, c = _h(names), _h(texts)
-            old = out.get(path, (0, 0))
-            out[path] = ((old[0] * 31 + s) % 2**63, (old[1] * 31 + c) % 2**63)
-            around[path] = top
-        return names, texts
-
-    walk(root, "", "")
+                top[3].append(p.name)
+                stack.append([p, iter(p.parts), top[2] or (p.path if p.tag in ("article", "main") else 0), [], 0, 1])
+                break
+            for word in p.split() if isinstance(p, str) else p[1:]:
+                top[4], top[5] = (top[4] * BASE + _numbers[word]) % PRIME, top[5] * BASE % PRIME
+        else:
+            node, _, article, names, value, power = stack.pop()
+            if stack:
+                above = stack[-1]
+                above[4], above[5] = (above[4] * power + value) % PRIME, above[5] * power % PRIME
+                old = out.get(node.path, (0, 0))
+                out[node.path] = ((old[0] * 31 + _h(names)) % 2**63, (old[1] * 31 + value) % 2**63)
+                around[node.path] = article
     page = _h([f"{p} {s} {c}" for p, (s, c) in sorted(out.items())])
     return {p: (s, c, out[around[p]][1] if around[p] else page) for p, (s, c) in out.items()}
 
@@ -191,40 +245,43 @@ def _lines(root: Node, tag: str | None, low) -> list[str]:
     def kept(n: Node) -> bool:
         return n.tag in KEEP_TAGS and (not n.label or n.tag in ("article", "main"))
 
-    def holds_article(n: Node) -> bool:
-        return any((c.tag in ("article", "main") and not c.noise) or (c.tag not in NOISE_TAGS and holds_article(c)) for c in children(n))
-
-    def blocks(n: Node, path: str, in_article: bool, out: list[list[str]]) -> None:
+    def blocks(top: Node, in_article: bool, out: list[list[str]]) -> None:
         out.append([])
-        for p in n.parts:
-            if isinstance(p, str):
-                out[-1].append(p)
-            elif isinstance(p, Node):
-                at = f"{path}>{p.tag}.{p.label}" if p.label else f"{path}>{p.tag}"
-                if not noise(p, in_article, False) and (p.tag == "header" or kept(p) or at not in low):
-                    blocks(p, at, in_article, out)
-                out.append([])
-            elif p[0] == "break":
+        stack = [iter(top.parts)]
+        while stack:
+            for p in stack[-1]:
+                if isinstance(p, str):
+                    out[-1].append(p)
+                elif isinstance(p, Node):
+                    out.append([])
+                    if not noise(p, in_article, False) and (p.tag == "header" or kept(p) or p.path not in low):
+                        stack.append(iter(p.parts))
+                        break
+                elif p[0] == "break":
+                    out.append([])
+            else:
+                stack.pop()
                 out.append([])
 
-    def find(n: Node, path: str, found: list) -> None:
-        for c in children(n):
-            at = f"{path}>{c.tag}.{c.label}" if c.label else f"{path}>{c.tag}"
-            if c.tag == tag and not c.noise:
-                found.append((c, at))
-            elif not noise(c, False, holds_article(c)):
-                find(c, at, found)
-
-    found: list = [] if tag else [(root, "")]
-    if tag:
-        find(root, "", found)
+    def find(top: Node) -> list[Node]:
+        found, stack = [], [children(top)]
+        while stack:
+            c = next(stack[-1], None)
+            if c is None:
+                stack.pop()
+            elif c.tag == tag and not c.noise:
+                found.append(c)
+            elif not noise(c, False, c.holds):
+                stack.append(children(c))
+        return found
+
     out: list[list[str]] = []
-    for n, path in found:
-        blocks(n, path, tag is not None, out)
+    for n in find(root) if tag else [root]:
+        blocks(n, tag is not None, out)
     return [t for t in (" ".join("".join(b).split()) for b in out) if t]
 
 
-def main_text(root: Node, low: frozenset[str] = frozenset()) -> str:
+def main_text(root: Node, low: frozenset[int] = frozenset()) -> str:
     """The page's article as blocks, one per line, without noise and low branches."""
     for tag in MODES:
         if lines := _lines(root, tag, low):
@@ -232,9 +289,9 @@ def main_text(root: Node, low: frozenset[str] = frozenset()) -> str:
     return main_text(root) if low else ""
 
 
-def asked(root: Node) -> set[str]:
+def asked(root: Node) -> set[int]:
     """The paths of the page whose being low can change its text."""
-    out: set[str] = set()
+    out: set[int] = set()
     for tag in MODES:
         none = _Asked(False)
         lines = _lines(root, tag, none)
@@ -244,20 +301,19 @@ def asked(root: Node) -> set[str]:
     return out
 
 
-PATHS = "host string, page binary, path string, style long, content long, once long, asked boolean"
+PATHS = "host string, page binary, path long, style long, content long, once long, asked boolean"
 
 
 def _emit_paths(batches):
     for b in batches:
-        for at in range(0, b.num_rows, 200):
-            part = b.slice(at, 200)
+        for part in sliced(b, "html", BATCH_CHARS, 200):
             rows = []
             for h, page, html in zip(*(part.column(c).to_pylist() for c in ("host", "page", "html"))):
                 root = tree(html)
                 ask = asked(root)
                 rows += [(h, page, p, *x, p in ask) for p, x in paths(root).items()]
             cols = list(zip(*rows)) or [()] * 7
-            types = [pa.string(), pa.binary(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+            types = [pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
             names = ["host", "page", "path", "style", "content", "once", "asked"]
             yield pa.record_batch({name: pa.array(col, t) for name, col, t in zip(names, cols, types)})
 
@@ -293,8 +349,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for at in range(0, b.num_rows, 200):
-                part = b.slice(at, 200)
+            for part in sliced(b, "html", BATCH_CHARS, 200):
                 texts = [main_text(tree(html), frozenset(low or ())) for html, low in zip(part.column("html").to_pylist(), part.column("low").to_pylist())]
                 yield pa.record_batch({"page_id": part.column("page_id"), "url": part.column("url"), "text": pa.array(texts, pa.string()),
                                        "n_chars": pa.array(list(map(len, texts)), pa.int64())})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import hashlib
 import math
 import random
 
@@ -339,5 +340,64 @@ def test_repeated_branches_do_not_depend_on_the_hosts_size(spark):
     assert len(got) == 512 and all(t == f"page {k % 100 if k < 100 else k - 100} says {(k if k < 100 else k - 100) * 7} things" for k, t in got.items())
 
 
+def test_class_words_leave_article_text():
+    text = lambda h: html_extraction.main_text(html_extraction.tree(h))
+    assert text("<div class='post-form'><p>long story text</p></div>") == "long story text"
+    assert text("<div class='left side column'><p>story</p></div>") == "story"
+    assert text("<article><h2 class='related'>Related work</h2><p>a</article>") == "Related work\na"
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "x", "<div><p>" * 30_000 + "x", "<article>" + "<section>" * 60_000 + "x" + "</section>" * 60_000,
+                                  "<ul><li>" * 30_000 + "x", "<table><tr><td>" * 20_000 + "x", "<span>" * 100_000 + "x"])
+def test_deeply_nested_pages(page):
+    root = html_extraction.tree(page)
+    assert html_extraction.main_text(root) == "x"
+    html_extraction.paths(root), html_extraction.asked(root)
+
+
+def test_malformed_pages():
+    text = lambda h: html_extraction.main_text(html_extraction.tree(h))
+    assert text("<p>a</p><![foo[bar]]><p>b</p>") == "a\nb" and text("<p>a</p><![ x") == "a" and text("<p>a<![CDATA[c]]>b") == "ab"
+    bits = ["<", "<!", "<![", "<!-", "<!--", "-->", "--!>", "]]>", "<?", "?>", "</", "/>", ">", "p", "div", "article", " class=", "'nav'", '"x', "=", "&", "&amp",
+            "&#x;", "&#1234567890;", "&#xD800;", "\0", "<script>", "</script>", "<style>", "<title>", "<textarea>", "<![CDATA[", "<!DOCTYPE", "[", "]", "text ",
+            "<p>", "</p>", "<li>", "<td>", "<a href=x>", "\ud800", "<br/>", "<svg/>", "<plaintext>", "<!ENTITY", "<!ELEMENT x"]
+    rnd = random.Random(0)
+    for _ in range(2000):
+        root = html_extraction.tree("".join(rnd.choice(bits) for _ in range(rnd.randint(1, 60))))
+        html_extraction.main_text(root), html_extraction.paths(root), html_extraction.asked(root)
+
+
+def test_low_paths_equal_plain_entropies(spark):
+    """The style tree of every host by loops over its pages."""
+    rnd = random.Random(2)
+    some = lambda share, text: text if rnd.random() < share else ""
+    page = lambda: ("<body>" + some(.9, f"<div class=top>{rnd.choice(['same', 'same', 'same', 'other'])}</div>") + f"<div class=text>{rnd.random()}</div>"
+                    + some(.5, f"<section id=s><p>{rnd.randint(0, 3)}</p></section>") + some(.1, "<article><p>copy</p></article>")
+                    + some(.4, "<ul class=links><li>one<li>two</ul>") + "</body>")
+    pages = [(k, f"http://h{k % 3}.example/{k}", page()) for k in range(90)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").selectExpr(
+        "regexp_extract(url, '//([^/]+)', 1) AS host", "substring(unhex(sha2(html, 256)), 1, 16) AS page", "html")
+    want = {}
+    for host in range(3):
+        seen = collections.defaultdict(set)
+        for html in {h for k, _, h in pages if k % 3 == host}:
+            for path, variant in html_extraction.paths(html_extraction.tree(html)).items():
+                seen[path].add(variant)
+        low = set()
+        for path, variants in seen.items():
+            n, h = len(variants), []
+            for at in (0, 1):
+                counts = collections.Counter(v[at] for v in variants).values()
+                h.append(-sum(c / n * math.log(c / n, n) for c in counts) if n > 1 else 1.0)
+            if n >= html_extraction.MIN_PAGES and 0.1 * h[0] + 0.9 * h[1] < html_extraction.LOW:
+                low.add(path)
+        for html in {h for k, _, h in pages if k % 3 == host}:
+            root = html_extraction.tree(html)
+            if mine := low & html_extraction.paths(root).keys() & html_extraction.asked(root):
+                want[f"h{host}.example", hashlib.sha256(html.encode()).digest()[:16]] = sorted(mine)
+    got = {(r["host"], bytes(r["page"])): list(r["low"]) for r in html_extraction.low_paths(df).collect()}
+    assert got == want and len(want) > 20
+
+
 def test_pages_empty(spark):
     assert html_extraction.extract(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0

@@ -30,7 +30,7 @@ def test_oracles(spark, name):
 
 def test_all_queries_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry_mod.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark, documents):
