@@ -103,13 +103,16 @@ def _secrets() -> str:
     span = "string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k)"
     counts = ", ".join(f"count(*) FILTER (kind = '{kind}') AS n_{kind}" for kind, *_ in secret_scans.BASE)
     return f"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, lang, coalesce(text, '') AS t FROM documents),
 c AS ({every}),
-owners AS (SELECT v, count(DISTINCT source) + max(CASE WHEN source IS NULL THEN 1 ELSE 0 END) AS n FROM c JOIN d USING (r) GROUP BY v),
+held AS (SELECT v, source, coalesce('s' || source, 'n') || ' ' || coalesce('l' || lang, 'n') AS repo FROM c JOIN d USING (r)),
+owners AS (SELECT v, count(DISTINCT coalesce('s' || source, 'n')) AS n, count(DISTINCT repo) AS n_repos FROM held GROUP BY v),
+total AS (SELECT greatest(1, floor(count(DISTINCT coalesce('s' || source, 'n')) * {secret_scans.OWNER_SHARE})) AS most_owners,
+                 greatest({secret_scans.MIN_REPOS}, floor(count(DISTINCT repo) * {secret_scans.REPO_SHARE})) AS most_repos FROM held),
 letters AS (SELECT v, x, count(*) AS n FROM (SELECT v, unnest(string_split(v, '')) AS x FROM owners) GROUP BY v, x),
 looks AS (SELECT v, -sum(n / length(v) * log2(n / length(v))) >= {secret_scans.MIN_ENTROPY}
                  AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AS random FROM letters GROUP BY v),
-j AS (SELECT c.*, random AND n <= {secret_scans.MAX_OWNERS} AS live FROM c JOIN owners USING (v) JOIN looks USING (v)),
+j AS (SELECT c.*, random AND n <= most_owners AND n_repos <= most_repos AS live FROM c JOIN owners USING (v) JOIN looks USING (v) CROSS JOIN total),
 per AS (SELECT r, {counts}, {span} FILTER (k < {n_base}) AS base, {span} AS spans,
                count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_copied
         FROM j WHERE k < {n_base} OR live GROUP BY r)

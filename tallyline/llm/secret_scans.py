@@ -2,9 +2,9 @@
 
 Candidates are found by regular expressions as spans.  The SHA-256 of every
 candidate's value is aggregated over the whole corpus by distinct owners and
-distinct repositories: a value that many owners carry is a widely copied
-example (documentation, fixtures), a value that stays with few owners and
-looks random is a live-looking credential.  Base kinds (assign, access, hex)
+distinct repositories: a value that a larger share of the owners, or of the
+repositories, carries is a widely copied example (documentation, fixtures), a
+value that stays with few and looks random is a live-looking credential.  Base kinds (assign, access, hex)
 are always reported; the wider kinds (private-key blocks, prefixed tokens,
 JSON web tokens, passwords in URLs) are reported only when live-looking.
 
@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 from .common import fenced, written
 from .spans import found, joined, placed, replaced
 
-MAX_OWNERS = 4          # up to so many owners a value counts as owner-specific
+# Up to such a share of the owners and of the repositories that hold candidates at
+# all (but one owner and two repositories) a value counts as owner-specific.
+OWNER_SHARE, REPO_SHARE, MIN_REPOS = 0.05, 0.05, 2
 MIN_ENTROPY = 2.5       # bits per character of a live-looking value
 ASSIGN = r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 # kind, pattern, pattern of the value inside the match (group 1), characters the value needs
@@ -95,17 +97,23 @@ def judged(rows: DataFrame, corpus: DataFrame) -> DataFrame:
     """``rows`` (with c) plus ``spans``: array<struct<s,k,e,kind,live>>; the
     frequencies come from ``corpus`` (source, lang, c).
 
-    Verdicts are made per distinct list of values and joined by that list, so
-    a text's copies share one; rows without candidates get keys of their own,
+    Verdicts are made per distinct list of values, one row per value, and come
+    back as a list in the same order, so a text's copies share one and no list is
+    carried beside its values.  Rows without candidates get keys of their own,
     which spreads them."""
-    lists = corpus.filter(F.size("c") > 0).groupBy(F.col("c.h").alias("hs")).agg(F.lit(1).alias("_"))
-    few = (lists.select("hs", F.explode(F.array_distinct("hs")).alias("h")).join(owners(corpus), "h").groupBy("hs").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("h"), (F.col("n_owners") <= MAX_OWNERS).alias("few")))).alias("few")))
-    few = few.select(F.array_join("hs", ",").alias("_key"), "few")
-    key = F.when(F.size("c") > 0, F.array_join("c.h", ",")).otherwise(F.concat(F.lit("no "), F.xxhash64(*rows.columns[:1]).cast("string")))
-    live = F.filter(F.transform("c", lambda x: F.struct(x["s"], x["k"], x["e"], x["kind"], F.coalesce(
-        x["looks"] & F.col("few")[x["h"]], F.lit(False)).alias("live"))), lambda x: (x["k"] < len(BASE)) | x["live"])
-    return rows.withColumn("_key", key).join(few, "_key", "left").withColumn("spans", live).drop("_key", "few")
+    listed = F.sha2(F.array_join("c.h", ","), 256)
+    held = corpus.filter(F.size("c") > 0)
+    lists = held.groupBy(listed.alias("_key")).agg(F.first("c.h").alias("hs"))
+    total = held.agg(F.struct((F.count_distinct("source") + F.max(F.col("source").isNull().cast("int"))).alias("owners"),
+                              F.count_distinct(F.struct("source", "lang")).alias("repos")).alias("t")).scalar()
+    few = ((F.col("n_owners") <= F.greatest(F.lit(1), F.floor(total["owners"] * OWNER_SHARE)))
+           & (F.col("n_repos") <= F.greatest(F.lit(MIN_REPOS), F.floor(total["repos"] * REPO_SHARE))))
+    verdict = (lists.select("_key", F.posexplode("hs").alias("pos", "h")).join(owners(corpus).select("h", few.alias("few")), "h").groupBy("_key")
+               .agg(F.sort_array(F.collect_list(F.struct("pos", "few"))).alias("few")))
+    key = F.when(F.size("c") > 0, listed).otherwise(F.concat(F.lit("no "), F.xxhash64(*rows.columns[:1]).cast("string")))
+    live = F.filter(F.zip_with("c", F.coalesce("few", F.array().cast("array<struct<pos:int,few:boolean>>")), lambda x, y: F.struct(
+        x["s"], x["k"], x["e"], x["kind"], (x["looks"] & y["few"]).alias("live"))), lambda x: (x["k"] < len(BASE)) | x["live"])
+    return rows.withColumn("_key", key).join(verdict, "_key", "left").withColumn("spans", live).drop("_key", "few")
 
 
 def _count(kind: str) -> Column:

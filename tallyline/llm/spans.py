@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPAN = "struct<s:int,e:int,v:string>"
+BLOCK = 256             # matches whose list grows one by one
 
 
 def found(text: Column, pattern: str, when: Column | None = None) -> tuple[Column, Column]:
@@ -28,11 +29,30 @@ def placed(gaps: Column, hits: Column) -> Column:
     pairs = F.slice(F.zip_with(gaps, hits, lambda g, h: F.struct(F.length(g).alias("g"), F.coalesce(F.length(h), F.lit(0)).alias("n"), h.alias("v"))),
                     F.lit(1), F.size(hits))
     empty = F.array().cast(f"array<{SPAN}>")
-    return F.when(F.size(hits) > 0, F.aggregate(
-        pairs, F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda acc, x: F.struct((acc["at"] + x["g"] + x["n"]).alias("at"), F.concat(acc["out"], F.array(F.struct(
-            (acc["at"] + x["g"]).alias("s"), (acc["at"] + x["g"] + x["n"]).alias("e"), x["v"].alias("v")))).alias("out")),
-        lambda acc: acc["out"])).otherwise(empty)
+
+    def within(block: Column) -> Column:
+        """Length of a block's gaps and matches, and its matches placed from its begin."""
+        return F.aggregate(
+            block, F.struct(F.lit(0).alias("at"), empty.alias("out")),
+            lambda acc, x: F.struct((acc["at"] + x["g"] + x["n"]).alias("at"), F.concat(acc["out"], F.array(F.struct(
+                (acc["at"] + x["g"]).alias("s"), (acc["at"] + x["g"] + x["n"]).alias("e"), x["v"].alias("v")))).alias("out")))
+
+    def begins(blocks: Column) -> Column:
+        return F.aggregate(
+            blocks, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda acc, x: F.struct((acc["at"] + x["at"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+
+    # A list grows by copying, so it grows within blocks and the blocks are joined once.
+    blocks = lambda p: F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / BLOCK).cast("int")),
+                                   lambda i: within(F.slice(p, i * BLOCK + 1, F.lit(BLOCK))))
+    shifted = lambda bs: F.flatten(F.zip_with(bs, begins(bs), lambda x, o: F.transform(x["out"], lambda y: F.struct(
+        (y["s"] + o).alias("s"), (y["e"] + o).alias("e"), y["v"].alias("v")))))
+    return F.when(F.size(hits) > 0, once(pairs, lambda p: once(blocks(p), shifted))).otherwise(empty)
+
+
+def once(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
 
 
 def joined(spans: Column) -> Column:

@@ -65,6 +65,23 @@ def test_secrets(docs):
           lambda r: (r.base_sha256, r.n_assign + r.n_access + r.n_hex))
 
 
+def test_text_of_very_many_secrets(spark):
+    """A checksum list: work and memory follow the number of its values."""
+    digests = [hashlib.sha256(str(k).encode()).hexdigest() for k in range(20_000)]
+    d = spark.createDataFrame([(1, "\n".join(digests), "s", "en"), (2, digests[7], "s", "en"), (3, "é " + digests[7] + " x", "t", "de")],
+                              "doc_id long, text string, source string, lang string")
+    got = by_id(secret_scans.scan(d))
+    assert got[1].n_hex == 20_000 and got[1].base_sha256 == brute.digest([("hex", 65 * k, 65 * k + 64) for k in range(20_000)])
+    assert (got[1].n_live, got[1].n_copied) == (19_999, 1) and got[2].n_copied == got[3].n_copied == 1 and got[3].spans == "hex:2:66"
+
+
+def test_values_of_many_repositories_of_one_owner_are_examples(spark):
+    value = hashlib.sha256(b"x").hexdigest()
+    d = spark.createDataFrame([(k, value, "s", f"l{k}") for k in range(3)] + [(10, hashlib.sha256(b"y").hexdigest(), "s", None)],
+                              "doc_id long, text string, source string, lang string")
+    assert {r.doc_id: (r.n_live, r.n_copied) for r in secret_scans.scan(d).collect()} == {0: (0, 1), 1: (0, 1), 2: (0, 1), 10: (1, 0)}
+
+
 def test_widely_copied_values_are_examples(spark):
     rows = [(k, "my token: widelycopied12345", f"s{k}", "en") for k in range(6)] + [
         (10, 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" ghp_abcdefghijABCDEFGHIJ0123456789', "s1", "en"), (11, "nothing", "s1", "en"),
