@@ -10,7 +10,7 @@ than ``LONGEST`` bytes run the same rule on a heap, since a matrix round costs
 their whole width.
 
 The vocabulary (bounded, about 1 MB) is read on the driver and travels with
-the tasks; the encoded pieces are remembered per Python worker up to
+the tasks; the encoded pieces are remembered per task up to
 ``REMEMBER`` pieces, which bounds memory and changes no result.
 
 Defined results: a null or empty text has no tokens; repeated rows are encoded
@@ -23,7 +23,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -31,9 +30,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .common import sliced
+
 LONGEST = 512
-REMEMBER = 300_000
-CHUNK_CHARS = 2_000_000
+REMEMBER = 150_000
+CHUNK_CHARS = 1_000_000
 NONE = np.int32(2**31 - 1)
 
 
@@ -173,25 +174,9 @@ class Codec:
         return b"".join(map(self.token.__getitem__, ids))
 
 
-_CODECS: dict[int, Codec] = {}
-
-
 def _codec(ranks_file: bytes, pattern: str) -> Codec:
-    key = hash((ranks_file, pattern))
-    if key not in _CODECS:
-        _CODECS[key] = Codec({base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks_file.splitlines())}, pattern)
-    return _CODECS[key]
-
-
-def _chunks(texts: list[str]) -> Iterator[slice]:
-    start = size = 0
-    for k, t in enumerate(texts):
-        if size and size + len(t) > CHUNK_CHARS:
-            yield slice(start, k)
-            start, size = k, 0
-        size += len(t)
-    if start < len(texts):
-        yield slice(start, len(texts))
+    """A codec of one task: what it remembers goes with the task."""
+    return Codec({base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks_file.splitlines())}, pattern)
 
 
 def _vocabulary(path: str) -> bytes:
@@ -214,8 +199,9 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
     def run(batches):
         codec = _codec(ranks_file, ".")
         for b in batches:
-            yield pa.record_batch({"doc_id": b.column("doc_id"), "text": pa.array(
-                [codec.decode(i or []).decode("utf-8", "replace") for i in b.column("ids").to_pylist()], pa.string())})
+            for part in sliced(b, "ids", CHUNK_CHARS):
+                yield pa.record_batch({"doc_id": part.column("doc_id"), "text": pa.array(
+                    [codec.decode(i or []).decode("utf-8", "replace") for i in part.column("ids").to_pylist()], pa.string())})
 
     return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
@@ -237,9 +223,8 @@ def _apply(docs: DataFrame, path: str, pattern: str, schema: str, columns) -> Da
     def run(batches):
         codec = _codec(ranks_file, pattern)
         for b in batches:
-            ids_of, texts = b.column("doc_id"), [t or "" for t in b.column("text").to_pylist()]
-            for s in _chunks(texts):
-                out = columns(codec, codec.encode_batch(texts[s]))
-                yield pa.record_batch({"doc_id": ids_of.slice(s.start, s.stop - s.start)} | out)
+            for part in sliced(b, "text", CHUNK_CHARS):
+                out = columns(codec, codec.encode_batch([t or "" for t in part.column("text").to_pylist()]))
+                yield pa.record_batch({"doc_id": part.column("doc_id")} | out)
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(run, schema)
