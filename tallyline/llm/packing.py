@@ -27,12 +27,15 @@ tokens' names in a text are ordinary text.
 
 from __future__ import annotations
 
+import json
 import re
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,50 +45,74 @@ from .common import sliced
 CAPACITY = 2048
 END = 1
 POOL = 2_000_000            # tokens that wait before they are packed
-REMEMBER = 500_000          # chunks a worker remembers
+REMEMBER = 400_000          # chunks, and pieces, a worker remembers
 BATCH_CHARS = 4_000_000     # characters encoded at once, or one longer text
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
-# Control characters that Python counts as white space and Unicode does not.
-_odd = re.compile("[\x1c-\x1f]").search
 MARK = "\x01"
-_split = re.compile(r"[ \t-\r]+").split
+_latin = re.compile("[\x00-\xff]*").fullmatch
 
 
 class Encoder:
-    """Packed ids (little-endian, 32 bit) of texts.
+    """Ids of texts.
 
     The tokenizer cuts at white space, so the text between (a chunk) stands by
-    itself; every distinct chunk is encoded once and remembered.  New chunks are
-    encoded as one text with a control character between, whose id no chunk
-    without that character can have."""
+    itself; every distinct chunk is encoded once and remembered.  A Latin-1 chunk,
+    which normalisation only lowers, is first cut by the tokenizer's own pattern,
+    and its pieces are remembered too.  New chunks or pieces are encoded as one text
+    with a control character between, whose id none without it can have."""
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
-        self.mark = self._ids(MARK)[0]
-        self.known: dict[str, bytes] = {}
+        pattern = json.loads(tokenizer_json)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.find = regex.compile(rf"\n|{pattern}").findall
+        self.mark = self._ids(MARK)[:1]
+        self.chunks: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [_split(t) if _odd(t) else t.split() for t in texts]
-        if len(self.known) > REMEMBER:
-            self.known.clear()
-        new = list(set().union(*cut) - self.known.keys())
-        marked = [c for c in new if MARK in c]
-        self.known.update((c, self._ids(c).tobytes()) for c in marked)
-        if marked:
-            new = [c for c in new if MARK not in c]
-        ids = self._ids(f" {MARK} ".join([*new, ""]))
-        ends = np.flatnonzero(ids == self.mark)
-        packed, at = ids.tobytes(), 0
-        for chunk, end in zip(new, (4 * ends).tolist(), strict=True):
-            self.known[chunk] = packed[at:end]
-            at = end + 4
-        return [b"".join(map(self.known.__getitem__, chunks)) for chunks in cut]
+    def _cut(self, ids: np.ndarray) -> list[bytes]:
+        """The ids before every mark."""
+        packed, ends = ids.tobytes(), (4 * np.flatnonzero(ids == self.mark)).tolist()
+        return [packed[at:end] for at, end in zip([0, *(e + 4 for e in ends)], ends)]
+
+    def _together(self, parts: list[str]) -> list[bytes]:
+        return self._cut(self._ids(f" {MARK} ".join([*parts, ""])))
+
+    def _learn(self, new: list[str]) -> None:
+        odd = [c for c in new if MARK in c]
+        self.chunks.update((c, self._ids(c).tobytes()) for c in odd)
+        other = [c for c in new if not (c.isascii() or _latin(c)) and MARK not in c]
+        self.chunks.update(zip(other, self._together(other), strict=True))
+        latin = [c for c in new if (c.isascii() or _latin(c)) and MARK not in c]
+        flat = self.find("\n".join([*latin, ""]).lower())
+        fresh = list(set(flat) - self.pieces.keys() - {"\n"})
+        self.pieces.update(zip(fresh, self._together(fresh), strict=True))
+        self.pieces["\n"] = self.mark.tobytes()
+        packed = b"".join(map(self.pieces.__getitem__, flat))
+        self.chunks.update(zip(latin, self._cut(np.frombuffer(packed, "<u4")), strict=True))
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids end to end, and where every text's begin (with the end as a last one)."""
+        for known in (self.chunks, self.pieces):
+            if len(known) > REMEMBER:
+                known.clear()
+        cut = pc.ascii_split_whitespace(texts.fill_null(""))
+        coded = cut.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        self._learn([c for c in distinct if c not in self.chunks])
+        ids_of = list(map(self.chunks.__getitem__, distinct))
+        size = np.fromiter(map(len, ids_of), np.int64, len(ids_of)) // 4
+        begin, flat = np.cumsum(size) - size, np.frombuffer(b"".join(ids_of), "<u4")
+        chunk = coded.indices.to_numpy()
+        n = size[chunk]
+        end = np.cumsum(n)
+        ids = flat[np.repeat(begin[chunk] - (end - n), n) + np.arange(int(n.sum()))]
+        return ids, np.r_[0, end][np.r_[0, np.cumsum(pc.list_value_length(cut).to_numpy())]]
 
 
 def closest(counts: dict[int, int], capacity: int) -> tuple[int, dict[int, int]]:
@@ -230,8 +257,10 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = E
         pieces: list[tuple] = []
         for b in batches:
             for part in sliced(b, "text", BATCH_CHARS):
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode([t or "" for t in part.column("text").to_pylist()])):
-                    for piece in packer.add((doc_id, len(ids) // 4 + 1), ids + last):
+                flat, at = encode(part.column("text"))
+                for k, doc_id in enumerate(part.column("doc_id").to_pylist()):
+                    ids = flat[at[k]:at[k + 1]].tobytes() + last
+                    for piece in packer.add((doc_id, len(ids) // 4), ids):
                         pieces.append(piece)
                         if len(pieces) == 2000:
                             yield batch(pieces)
