@@ -46,7 +46,7 @@ CAPACITY = 2048
 END = 1
 POOL = 2_000_000            # tokens that wait before they are packed
 REMEMBER = 400_000          # chunks, and pieces, a worker remembers
-BATCH_CHARS = 4_000_000     # characters encoded at once, or one longer text
+BATCH_CHARS = 10_000_000    # characters encoded at once, or one longer text
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 MARK = "\x01"
 _latin = re.compile("[\x00-\xff]*").fullmatch
@@ -58,8 +58,9 @@ class Encoder:
     The tokenizer cuts at white space, so the text between (a chunk) stands by
     itself; every distinct chunk is encoded once and remembered.  A Latin-1 chunk,
     which normalisation only lowers, is first cut by the tokenizer's own pattern,
-    and its pieces are remembered too.  New chunks or pieces are encoded as one text
-    with a control character between, whose id none without it can have."""
+    and its pieces go to the tokenizer's merges alone and are remembered too.  Other
+    chunks are encoded as one text with a control character between, whose id none
+    without it can have."""
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
@@ -69,6 +70,9 @@ class Encoder:
         pattern = json.loads(tokenizer_json)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.find = regex.compile(rf"\n|{pattern}").findall
         self.mark = self._ids(MARK)[:1]
+        # The tokenizer's characters for bytes: printable ones stand for themselves, the others follow 255 in order.
+        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        self.bytes = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in shown)}
         self.chunks: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -84,18 +88,32 @@ class Encoder:
         return self._cut(self._ids(f" {MARK} ".join([*parts, ""])))
 
     def _learn(self, new: list[str]) -> None:
-        odd = [c for c in new if MARK in c]
-        self.chunks.update((c, self._ids(c).tobytes()) for c in odd)
-        other = [c for c in new if not (c.isascii() or _latin(c)) and MARK not in c]
+        latin, other = [], []
+        for c in new:
+            if MARK in c:
+                self.chunks[c] = self._ids(c).tobytes()
+            else:
+                (latin if c.isascii() or _latin(c) else other).append(c)
         self.chunks.update(zip(other, self._together(other), strict=True))
-        latin = [c for c in new if (c.isascii() or _latin(c)) and MARK not in c]
         flat = self.find("\n".join([*latin, ""]).lower())
-        fresh = list(set(flat) - self.pieces.keys() - {"\n"})
-        self.pieces.update(zip(fresh, self._together(fresh), strict=True))
+        self._merge(set(flat) - self.pieces.keys() - {"\n"})
         self.pieces["\n"] = self.mark.tobytes()
         packed = b"".join(map(self.pieces.__getitem__, flat))
         self.chunks.update(zip(latin, self._cut(np.frombuffer(packed, "<u4")), strict=True))
 
+    def _merge(self, fresh: set[str]) -> None:
+        """Ids of Latin-1 pieces; the model merges the characters that stand for their bytes."""
+        merge, ids = self.tokenizer.model.tokenize, []
+        for piece in fresh:
+            plain = piece.isascii() and piece.isprintable()
+            at = len(ids)
+            ids += [t.id for t in merge(piece if plain else piece.encode().decode("latin-1").translate(self.bytes))]
+            self.pieces[piece] = (at, len(ids))
+        packed = np.array(ids, "<u4").tobytes()
+        for piece in fresh:
+            at, end = self.pieces[piece]
+            self.pieces[piece] = packed[4 * at:4 * end]
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and where every text's begin (with the end as a last one)."""
         for known in (self.chunks, self.pieces):
