@@ -45,7 +45,7 @@ SALTS = 16                 # parts that a (host, path) is dealt over when low pa
 LOW = 0.35                 # importance below which a branch is removed
 CONTENT_WEIGHT = 0.9
 BATCH_CHARS = 4_000_000    # characters of the pages parsed at once, or one longer page
-REMEMBER = 200_000         # words, and steps of paths, a worker remembers
+REMEMBER = 100_000         # kinds of elements, and steps of paths, a worker remembers
 PRIME, BASE = 2**61 - 1, 1_000_003_919
 
 # Elements of HTML by role.
@@ -77,17 +77,7 @@ class _Steps(dict):
         return got
 
 
-class _Words(dict):
-    """word -> number below the prime."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > REMEMBER:
-            self.clear()
-        got = self[word] = _h([word]) % PRIME
-        return got
-
-
-_steps, _numbers = _Steps(), _Words()
+_steps = _Steps()
 
 
 class Node:
@@ -98,15 +88,28 @@ class Node:
     __slots__ = ("tag", "label", "noise", "parent", "parts", "name", "path", "holds")
 
     def __init__(self, tag: str, attrs: list, parent: "Node | None"):
-        a = dict(attrs)
         self.tag, self.parent, self.parts, self.holds = tag, parent, [], False
-        self.label = (a.get("class") or "").strip().lower() or (a.get("id") or "").strip().lower()
-        self.name = f"{tag}.{self.label}" if self.label else tag
+        self.name, self.label, self.noise = _kinds[tag, tuple(attrs)]
         self.path = _steps[parent.path, self.name] if parent else 0
+
+
+class _Kinds(dict):
+    """(tag, attributes) -> name, label and whether the element is noise by itself."""
+
+    def __missing__(self, key: tuple) -> tuple[str, str, bool]:
+        if len(self) > REMEMBER:
+            self.clear()
+        tag, a = key[0], dict(key[1])
+        label = (a.get("class") or "").strip().lower() or (a.get("id") or "").strip().lower()
         named = set(re.split(r"[^a-z]+", f"{a.get('class') or ''} {a.get('id') or ''}".lower())) if tag not in INLINE else ()
         hidden = "hidden" in a or (a.get("aria-hidden") or "") == "true" or "display:none" in (a.get("style") or "").replace(" ", "")
         role = (a.get("role") or "").lower()
-        self.noise = tag in NOISE_TAGS or hidden or role in NOISE_ROLES or (tag not in SPARED and bool(NOISE_WORDS & set(named)))
+        noise = tag in NOISE_TAGS or hidden or role in NOISE_ROLES or (tag not in SPARED and bool(NOISE_WORDS & set(named)))
+        got = self[key] = (f"{tag}.{label}" if label else tag, label, noise)
+        return got
+
+
+_kinds = _Kinds()
 
 
 class Tree(HTMLParser):
@@ -190,7 +193,7 @@ def paths(root: Node) -> dict[int, tuple[int, int, int]]:
     """path -> hash of its children's names, hash of its text and links, over the page, and
     what counts once: the hash of the outermost article or main around it, or of the page.
 
-    The text's hash is a polynomial in its words, so a parent's follows from its
+    The text's hash is a polynomial in its pieces between tags, so a parent's follows from its
     children's.  The walk keeps its own stack: pages can be nested without bound."""
     out: dict[int, tuple[int, int]] = {}
     around: dict[int, int] = {}
@@ -203,8 +206,9 @@ def paths(root: Node) -> dict[int, tuple[int, int, int]]:
                 top[3].append(p.name)
                 stack.append([p, iter(p.parts), top[2] or (p.path if p.tag in ("article", "main") else 0), [], 0, 1])
                 break
-            for word in p.split() if isinstance(p, str) else p[1:]:
-                top[4], top[5] = (top[4] * BASE + _numbers[word]) % PRIME, top[5] * BASE % PRIME
+            words = p.split() if isinstance(p, str) else p[1:]
+            if words:
+                top[4], top[5] = (top[4] * BASE + _h(words)) % PRIME, top[5] * BASE % PRIME
         else:
             node, _, article, names, value, power = stack.pop()
             if stack:
