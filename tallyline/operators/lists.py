@@ -8,8 +8,9 @@ Inputs as in ``orders`` plus
 Scale notes: list parsing is a per-row expression (no shuffle).  Name lookups
 join the topping dimension *after* the data is reduced per topping id where
 the result allows it (rankings, usage).  Ingredient lists and labels are
-built in the item's own row from arrays and one constant map of topping
-names, after identical items are counted.  Item line numbers count identical
+built in the item's own row from arrays and a map of topping names (one
+constant of the plan, or beyond a checked size one per distinct set of ids),
+after identical items are counted.  Item line numbers count identical
 items first, so no window sorts a hot order's
 raw rows, and copies are regenerated in bounded chunks.
 """
@@ -28,6 +29,8 @@ ITEM_KEYS = ["order_id", "pizza_id", "line_no"]
 LINE_KEYS = ["order_id", "pizza_id"]
 LINE_ORDER = ["exclusions", "extras", "customer_id", "order_time"]
 EXPAND_CHUNK = 100_000
+NAMES_ROWS, NAMES_CHARS = 50_000, 4_000_000     # a topping dimension that travels as one map
+NAME_SALTS = 8
 
 
 def line_counts(items: DataFrame) -> DataFrame:
@@ -106,12 +109,30 @@ def token_rank(items: DataFrame, list_col: str, toppings: DataFrame, count_col:
     return ranked.limit(top) if top else ranked
 
 
-def _names(toppings: DataFrame) -> Column:
-    """MAP id -> name of the whole topping dimension as one scalar.  The
-    dimension is bounded (distinct ingredient words, a few thousand at most),
-    so its map is a constant of the plan and lists are named in their rows:
-    no join on the few topping ids, where a handful of tasks would do the work."""
-    return toppings.agg(F.map_from_entries(F.collect_list(F.struct(F.col("topping_id").cast("bigint"), "topping_name")))).scalar()
+def _small(toppings: DataFrame) -> bool:
+    """Whether the dimension, counted, fits the bounds of a constant map."""
+    n, chars = toppings.agg(F.count("*"), F.coalesce(F.sum(F.length("topping_name")), F.lit(0))).first()
+    return n <= NAMES_ROWS and chars <= NAMES_CHARS
+
+
+def with_names(items: DataFrame, lists: list[str], toppings: DataFrame, small: bool | None = None) -> DataFrame:
+    """``items`` with ``_names``, a MAP id -> name that holds the ids of its ``lists``.
+
+    A dimension within ``NAMES_ROWS`` and ``NAMES_CHARS`` is one map, a constant
+    of the plan.  A larger one is joined: every distinct set of ids is exploded
+    once, its ids meet the names (an id that most sets hold is spread over
+    ``NAME_SALTS`` parts), and the set's own map comes back to the items.  The
+    result is the same; ``small`` picks a way instead of the count."""
+    entry = F.struct(F.col("topping_id").cast("bigint"), "topping_name")
+    if _small(toppings) if small is None else small:
+        return items.withColumn("_names", toppings.agg(F.map_from_entries(F.collect_list(entry))).scalar())
+    ids = items.withColumn("_ids", F.array_sort(F.array_distinct(F.concat(*lists))))
+    pairs = ids.select("_ids").distinct().select("_ids", F.explode("_ids").alias("topping_id")).withColumn(
+        "_salt", F.pmod(F.xxhash64("_ids"), F.lit(NAME_SALTS)).cast("int"))
+    salted = toppings.select(F.col("topping_id").cast("bigint").alias("topping_id"), "topping_name",
+                             F.explode(F.sequence(F.lit(0), F.lit(NAME_SALTS - 1))).alias("_salt"))
+    maps = pairs.join(salted, ["topping_id", "_salt"]).groupBy("_ids").agg(F.map_from_entries(F.collect_list(entry)).alias("_names"))
+    return ids.join(maps, "_ids", "left").drop("_ids")
 
 
 def _expanded(items: DataFrame, out: Column, name: str, columns: list[str]) -> DataFrame:
@@ -121,7 +142,7 @@ def _expanded(items: DataFrame, out: Column, name: str, columns: list[str]) -> D
 
 
 def ingredient_list(items: DataFrame, recipes: DataFrame, toppings: DataFrame, products: DataFrame,
-                    as_written: bool = False) -> DataFrame:
+                    as_written: bool = False, small: bool | None = None) -> DataFrame:
     """'Name: 2xa, b, c' per item.
 
     Default (the question's reading): toppings = recipe minus exclusions plus
@@ -139,7 +160,7 @@ def ingredient_list(items: DataFrame, recipes: DataFrame, toppings: DataFrame, p
     j = with_id_lists(line_counts(items)).join(products.select("pizza_id", "pizza_name"), "pizza_id", how).join(
         parse_recipes(recipes), "pizza_id", how)
     recipe = F.coalesce("recipe_ids", F.array().cast("array<bigint>"))
-    j = j.withColumn("recipe_ids", recipe).withColumn("_names", _names(toppings))
+    j = with_names(j.withColumn("recipe_ids", recipe), ["recipe_ids", "extra_ids"], toppings, small)
     name = lambda x: F.try_element_at("_names", x)
     kept = lambda x: F.array_contains("recipe_ids", x) & ~F.array_contains("exclusion_ids", x)
     if as_written:
@@ -156,12 +177,12 @@ def ingredient_list(items: DataFrame, recipes: DataFrame, toppings: DataFrame, p
     return _expanded(j, text, "ingredients_list", [*LINE_KEYS, "customer_id", "order_time"])
 
 
-def item_label(items: DataFrame, toppings: DataFrame, products: DataFrame) -> DataFrame:
+def item_label(items: DataFrame, toppings: DataFrame, products: DataFrame, small: bool | None = None) -> DataFrame:
     """'Name - Exclude a, b - Extra c, d' per item (parts without names vanish);
     list names keep the order written in the item's lists.  An item without a
     product row has a label without the name."""
     j = with_id_lists(line_counts(items)).join(products.select("pizza_id", "pizza_name"), "pizza_id", "left")
-    j = j.withColumn("_names", _names(toppings))
+    j = with_names(j, ["exclusion_ids", "extra_ids"], toppings, small)
 
     def part(ids: str, word: str):
         names = F.filter(F.transform(ids, lambda x: F.try_element_at("_names", x)), lambda x: x.isNotNull())

@@ -119,3 +119,26 @@ def test_items_without_product_or_recipe_rows_stay(spark, pizza):
     assert used == {"Bacon": 1, "Beef": 1, "Cheese": 3}
     written = LS.ingredient_list(items, pizza["recipes"], pizza["toppings"], products, as_written=True)
     assert [r["pizza_id"] for r in written.collect()] == [1]
+
+
+def test_lists_with_joined_names_equal_those_with_one_map(pizza, monkeypatch):
+    p, args = pizza, ("recipes", "toppings", "products")
+
+    def both(op, key):
+        one, joined = (sorted((r["order_id"], r["pizza_id"], r["line_no"], r[key]) for r in op(small).collect()) for small in (True, False))
+        assert one == joined and one
+
+    for as_written in (False, True):
+        both(lambda s: LS.ingredient_list(p["items"], *[p[a] for a in args], as_written=as_written, small=s), "ingredients_list")
+    both(lambda s: LS.item_label(p["items"], p["toppings"], p["products"], small=s), "label")
+    monkeypatch.setattr(LS, "NAMES_ROWS", 3)          # counted: five toppings are too many for one map
+    plan = LS.item_label(p["items"], p["toppings"], p["products"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "scalar-subquery" not in plan
+
+
+def test_joined_names_of_items_without_lists(pizza):
+    items = pizza["items"].withColumn("extras", F.lit(None).cast("string")).withColumn("exclusions", F.lit(""))
+    got = {r["label"] for r in LS.item_label(items, pizza["toppings"], pizza["products"], small=False).collect()}
+    assert got == {"Meat Lovers", "Vegetarian"}
+    none = LS.item_label(items, pizza["toppings"].limit(0), pizza["products"], small=False)
+    assert none.count() == items.count()
