@@ -132,24 +132,22 @@ def _pii() -> str:
     base = "\nUNION ALL\n".join(
         f"SELECT r, k, kind, s, e, '{kind}:' || {key[kind]} AS key FROM ({_places(kind, k, patterns[kind], 't', 'd', 'r')}) WHERE {valid[kind]}"
         for k, kind in enumerate(pii.KINDS))
-    c = pii.CONTEXT
     span = "string_agg(kind || ':' || s || ':' || e, ',' ORDER BY k, s)"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 b AS ({base}),
-sides AS (
-  SELECT r, key, s - length(x) AS o, x FROM (
-    SELECT r, key, s, CASE WHEN s > {c} THEN regexp_replace(substring(t, s - {c} + 1, {c}), '^\\S+', '') ELSE substring(t, 1, s) END AS x FROM b JOIN d USING (r))
-  UNION ALL
-  SELECT r, key, e AS o, CASE WHEN e + {c} < length(t) THEN regexp_replace(substring(t, e + 1, {c}), '\\S+$', '') ELSE substring(t, e + 1, {c}) END AS x
-  FROM b JOIN d USING (r)),
-terms AS (SELECT r, key, lower(m) AS term, o + s AS s, o + e AS e FROM ({_places("term", 4, pii.TERM, "x", "sides", "r, key, o")})),
+held AS (SELECT r, list({{'s': s, 'e': e}}) AS xs FROM b GROUP BY r),
+rest AS (SELECT r, t AS x FROM d WHERE r NOT IN (SELECT r FROM held) UNION ALL
+         SELECT r, array_to_string(list_transform(string_split(t, ''), lambda c, i:
+                CASE WHEN len(list_filter(xs, lambda y: y.s < i AND i <= y.e)) > 0 THEN chr(10) ELSE c END), '') AS x FROM d JOIN held USING (r)),
 n_e AS (SELECT key, count(DISTINCT r) AS n_e FROM b GROUP BY key),
-n_et AS (SELECT key, term, count(DISTINCT r) AS n_et FROM terms GROUP BY key, term HAVING count(DISTINCT r) >= {pii.MIN_SUPPORT}),
+outside AS (SELECT r, unnest(list_distinct(regexp_extract_all(lower(x), '{pii.TERM}'))) AS term FROM rest WHERE r IN (SELECT r FROM held)),
+n_et AS (SELECT key, term, count(*) AS n_et FROM (SELECT DISTINCT r, key FROM b) JOIN outside USING (r) GROUP BY key, term),
 n_t AS (SELECT term, count(*) AS n_t FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(t), '{pii.TERM}'))) AS term FROM d) GROUP BY term),
-flagged AS (SELECT key, term FROM n_et JOIN n_e USING (key) JOIN n_t USING (term), (SELECT CAST(count(*) AS DOUBLE) AS n FROM d)
+flagged AS (SELECT DISTINCT term FROM n_et JOIN n_e USING (key) JOIN n_t USING (term), (SELECT CAST(count(*) AS DOUBLE) AS n FROM d)
             WHERE n_e < n AND ln(n * n_et / (n_e * n_t)) / ln(n / n_e) >= {pii.GENERALISE}),
-extra AS (SELECT DISTINCT r, s, e FROM terms JOIN flagged USING (key, term)),
+hit AS (SELECT r, x FROM rest WHERE r IN (SELECT r FROM (SELECT r, unnest(list_distinct(regexp_extract_all(lower(x), '{pii.TERM}'))) AS term FROM rest) JOIN flagged USING (term))),
+extra AS (SELECT r, s, e FROM ({_places("term", 4, pii.TERM, "x", "hit", "r")}) WHERE lower(m) IN (SELECT term FROM flagged)),
 every AS (SELECT r, k, kind, s, e FROM b UNION ALL SELECT r, 4, 'term', s, e FROM extra),
 per AS (SELECT r, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in (*pii.KINDS, "term"))},
                {span} FILTER (k < 4) AS base, {span} AS spans FROM every GROUP BY r)

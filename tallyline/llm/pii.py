@@ -1,21 +1,30 @@
 """Personal data with information-theoretic sanitisation.
 
 Base entities (e-mail, IP address, card, phone) are found as spans.  The words
-around an entity can reveal it even when it is masked; the corpus tells how
+of a text can reveal an entity even when it is masked; the corpus tells how
 strongly: with N documents, n(e) that hold entity e, n(t) that hold term t and
-n(e, t) that hold t in the context of e,
+n(e, t) that hold e and, outside all entities, t,
 
     disclosure(e, t) = log(N n(e, t) / (n(e) n(t))) / log(N / n(e))
 
 is the share of e's information content that t gives away (pointwise mutual
-information over information content).  Terms that reach ``GENERALISE`` are
-reported as spans of kind ``term`` and replaced by a placeholder, those that
-reach ``REMOVE`` are removed; ``MIN_SUPPORT`` documents must show the pair.
-
-Texts are scanned in projections and never shuffled.  Contexts of entities
-travel once per distinct text, with the number of its copies; term counts over
-the corpus combine map-side; flagged pairs come back by text key, and texts
-without entities get keys of their own, so no key gathers them.
+information over information content).  A term that reaches ``GENERALISE`` for
+any entity is reported as a span of kind ``term`` wherever the corpus holds it
+outside entities, and replaced by a placeholder; one that reaches ``REMOVE``
+is removed.
+
+Counting pairs.  As n(e, t) <= n(e), a pair can only reach the threshold G if
+n(t) <= N (n(e) / N) ** G; more frequent terms are left out before entities and
+terms meet, which changes no result.  Entities that occur in the same texts
+have the same counts, and so have terms: both meet as classes (128 bits of the
+set of texts), so a text with many entities of its own and many words of its
+own adds one pair for them, not all pairs.
+
+Texts are scanned in projections and never shuffled for their entities.  Only
+the words of texts with entities travel, once per distinct text with the number
+of its copies; term counts over the corpus combine map-side; spans of terms
+come back by the hash of the text, and empty texts get keys of their own, so no
+key gathers them.
 
 Defined results: null or empty texts have no spans; repeated rows get the same
 result each and count as documents; an empty table gives an empty table;
@@ -28,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
-from .spans import found, joined, placed, replaced
+from .spans import blanked, found, joined, placed, replaced
 
 KINDS = ("email", "ip", "card", "phone")
 # A run of digits with single separators is matched only where it begins and
@@ -41,10 +50,8 @@ PATTERNS = {
 }
 HINTS = {"email": "@", "ip": ".", "phone": "+"}
 OCTETS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?:\.|$)){4}$"
-CONTEXT = 80                # code points on either side of an entity
 TERM = r"\p{L}{4,}"
 GENERALISE, REMOVE = 0.9, 0.98
-MIN_SUPPORT = 2
 SPANS = "array<struct<k:int,s:int,e:int,kind:string,key:string>>"
 
 
@@ -79,9 +86,12 @@ def _entities(k: int, kind: str) -> Column:
     return F.transform(F.filter(hits, lambda x: _valid(kind, x["v"])), row)
 
 
+def _key(text: Column) -> Column:
+    return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
+
+
 def entities(docs: DataFrame, keep: list[Column]) -> DataFrame:
-    """``keep``, spans (by kind, then start), tk (key of the text) and ctx
-    (per entity: its key, the words' text on either side and where it begins)."""
+    """``keep``, spans (by kind, then start), tk (key of the text) and, of texts with spans, t (the text)."""
     t = F.coalesce(F.col("text"), F.lit(""))
     cols = []
     for kind in KINDS:
@@ -90,62 +100,74 @@ def entities(docs: DataFrame, keep: list[Column]) -> DataFrame:
     step = docs.select(*keep, t.alias("_t"), *cols)
     names = step.columns[:len(keep)]
     step = step.select(*names, "_t", F.concat(*[_entities(k, kind) for k, kind in enumerate(KINDS)]).cast(SPANS).alias("spans"))
-    text = F.col("_t")
+    own = F.concat(F.lit("no "), F.xxhash64(*names[:1]).cast("string")).cast("binary")
+    return step.select(*names, "spans", F.when(F.col("_t") == "", own).otherwise(_key(F.col("_t"))).alias("tk"),
+                       F.when(F.size("spans") > 0, F.col("_t")).alias("t"))
 
-    def context(x: Column) -> Column:
-        left = F.substring(text, F.greatest(x["s"] - CONTEXT, F.lit(0)) + 1, F.least(x["s"], F.lit(CONTEXT)))
-        left = F.when(x["s"] > CONTEXT, F.regexp_replace(left, r"^\S+", "")).otherwise(left)
-        right = F.substring(text, x["e"] + 1, F.lit(CONTEXT))
-        right = F.when(x["e"] + CONTEXT < F.length(text), F.regexp_replace(right, r"\S+$", "")).otherwise(right)
-        return F.struct(x["key"].alias("key"), left.alias("left"), x["s"].alias("s"), right.alias("right"), x["e"].alias("e"))
 
-    some = F.size("spans") > 0
-    return step.select(*names, "spans", F.when(some, F.sha2(text, 256)).otherwise(
-        F.concat(F.lit("no "), F.xxhash64(*names[:1]).cast("string"))).alias("tk"), F.when(some, F.transform("spans", context)).alias("ctx"))
+def _words(text: Column) -> Column:
+    """The distinct terms of a text."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
 
-def _terms(per: DataFrame) -> DataFrame:
-    """tk, m, key, term, s, e: the words in the contexts of the entities of each text."""
-    c = per.select("tk", "m", F.explode("ctx").alias("c"))
-    sides = c.select("tk", "m", F.col("c.key").alias("key"), F.explode(F.array(
-        F.struct(F.col("c.left").alias("t"), (F.col("c.s") - F.length("c.left")).alias("o")),
-        F.struct(F.col("c.right").alias("t"), F.col("c.e").alias("o")))).alias("x"))
-    at = sides.select("tk", "m", "key", "x.o", F.split("x.t", TERM, -1).alias("g"), F.regexp_extract_all("x.t", F.lit(TERM), F.lit(0)).alias("h"))
-    one = at.select("tk", "m", "key", "o", F.explode(placed(F.col("g"), F.col("h"))).alias("w"))
-    return one.select("tk", "m", "key", F.lower("w.v").alias("term"), (F.col("o") + F.col("w.s")).alias("s"), (F.col("o") + F.col("w.e")).alias("e"))
+def _rest() -> Column:
+    """The text ``t`` with its entities blanked."""
+    return blanked(F.col("t"), F.array_sort(F.transform("spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))))
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
     """term, n_t: the number of documents that hold each term."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col("text"), F.lit(""))), F.lit(TERM), F.lit(0)))
-    return docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    return docs.select(F.explode(_words(F.coalesce(F.col("text"), F.lit("")))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+
+
+def _classed(pairs: DataFrame, item: str, n: str) -> DataFrame:
+    """item, n (its documents), x, y: the 128 bits that items of the same texts share."""
+    return pairs.groupBy(item).agg(F.sum("m").alias(n), F.bit_xor(F.xxhash64("tk")).alias("x"), F.bit_xor(F.xxhash64("tk", F.lit(1))).alias("y"))
 
 
 def disclosing(docs: DataFrame, found_: DataFrame) -> DataFrame:
-    """tk, terms: array<struct<s,e,drop>> of the terms to sanitise in each text."""
-    per = written(found_.filter(F.size("spans") > 0).groupBy("tk").agg(F.count("*").alias("m"), F.first("ctx").alias("ctx")), "pii-contexts")
-    terms = written(_terms(per), "pii-terms")
-    n_e = per.select("m", F.explode(F.array_distinct("ctx.key")).alias("key")).groupBy("key").agg(F.sum("m").alias("n_e"))
-    n_et = terms.select("tk", "m", "key", "term").distinct().groupBy("key", "term").agg(F.sum("m").alias("n_et")).filter(F.col("n_et") >= MIN_SUPPORT)
-    pairs = written(n_et.join(n_e, "key"), "pii-pairs")
+    """term, drop: the terms to sanitise, from the spans of ``entities``."""
+    n = float(max(1, found_.count()))
+    per = written(found_.filter("t is not null").groupBy("tk").agg(
+        F.count("*").alias("m"), F.first("t").alias("t"), F.first("spans").alias("spans")), "pii-texts")
+    held = per.select("tk", "m", F.explode(F.array_distinct("spans.key")).alias("key"))
+    keys = _classed(held, "key", "n_e").filter(F.col("n_e") < n)
+    e = written(held.join(keys, "key").select("tk", "m", "x", "y", "n_e").distinct(), "pii-entity-classes")
+    words = written(per.select("tk", "m", _rest().alias("t")).select("tk", "m", F.explode(_words(F.col("t"))).alias("term")), "pii-words")
     # An inner join: a semi join would be pushed below the counting, where it
     # meets every word of the corpus instead of one row per term and task.
-    n_t = term_counts(docs).join(pairs.select("term").distinct(), "term")
-    n = found_.count()
-    info = F.log(F.lit(float(n)) / F.col("n_e"))
-    share = F.log(F.lit(float(n)) * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / info
-    flagged = written(pairs.join(n_t, "term").filter(F.col("n_e") < n).withColumn("share", share).filter(F.col("share") >= GENERALISE).select(
-        "key", "term", (F.col("share") >= REMOVE).alias("drop")), "pii-flagged")
-    spans = terms.join(flagged, ["key", "term"]).groupBy("tk", "s", "e").agg(F.max("drop").alias("drop"))
-    return written(spans.groupBy("tk").agg(F.sort_array(F.collect_list(F.struct("s", "e", "drop"))).alias("terms")), "pii-spans")
+    terms = _classed(words, "term", "n_in").join(term_counts(docs), "term")
+    largest = e.agg(F.max("n_e")).first()[0] or 0
+    bound = lambda n_e: n * F.pow(n_e / n, F.lit(GENERALISE)) * 1.000001 + 1e-6
+    terms = written(terms.filter(F.col("n_t") <= bound(F.lit(float(largest)))).select(
+        "term", "n_t", F.col("x").alias("u"), F.col("y").alias("v")), "pii-term-counts")
+    t = words.join(terms, "term").select("tk", "u", "v", "n_t").distinct()
+    n_et = e.join(t, "tk").filter(F.col("n_t") <= bound(F.col("n_e"))).groupBy("x", "y", "n_e", "u", "v", "n_t").agg(F.sum("m").alias("n_et"))
+    info = F.log(F.lit(n) / F.col("n_e"))
+    share = F.log(F.lit(n) * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / info
+    best = n_et.withColumn("share", share).filter(F.col("share") >= GENERALISE).groupBy("u", "v", "n_t").agg(F.max("share").alias("share"))
+    return written(terms.join(best, ["u", "v", "n_t"]).select("term", (F.col("share") >= REMOVE).alias("drop")), "pii-flagged")
+
+
+def marks(docs: DataFrame, found_: DataFrame, flagged: DataFrame) -> DataFrame:
+    """tk, terms: array<struct<s,e,drop>> of every text with flagged terms outside its entities."""
+    texts = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("t")).filter("t <> ''").withColumn("tk", _key(F.col("t")))
+    hits = written(texts.select("tk", F.explode(_words(F.col("t"))).alias("term")).join(flagged, "term").select("tk").distinct(), "pii-hits")
+    spans = found_.filter("t is not null").select("tk", "spans").dropDuplicates(["tk"])
+    whole = texts.join(hits, "tk").dropDuplicates(["tk"]).join(spans, "tk", "left").withColumn(
+        "spans", F.coalesce("spans", F.array().cast(SPANS)))
+    rest = whole.select("tk", _rest().alias("t"))
+    at = rest.select("tk", F.split("t", TERM, -1).alias("g"), F.regexp_extract_all("t", F.lit(TERM), F.lit(0)).alias("h"))
+    one = at.select("tk", F.explode(placed(F.col("g"), F.col("h"))).alias("w")).select("tk", "w.s", "w.e", F.lower("w.v").alias("term"))
+    return written(one.join(flagged, "term").groupBy("tk").agg(F.sort_array(F.collect_list(F.struct("s", "e", "drop"))).alias("terms")), "pii-spans")
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, counts and digest of the base spans, all spans (base, then
     ``term``) and the number of terms."""
     rows = written(entities(docs, [F.col("doc_id")]), "pii-entities")
-    terms = disclosing(docs, rows)
-    out = rows.drop("ctx").join(terms, "tk", "left")
+    terms = marks(docs, rows, disclosing(docs, rows))
+    out = rows.drop("t").join(terms, "tk", "left")
     term = F.transform(F.coalesce("terms", F.array().cast("array<struct<s:int,e:int,drop:boolean>>")), lambda x: F.struct(
         x["s"].alias("s"), x["e"].alias("e"), F.lit("term").alias("kind")))
     base = F.transform("spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind")))
@@ -160,9 +182,10 @@ def _count(kind: str) -> Column:
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with their own columns; in the text, entities become ``<kind>``,
     disclosing terms ``<term>`` or nothing."""
-    terms = disclosing(docs, written(entities(docs, [F.col("doc_id")]), "pii-entities"))
+    found_ = written(entities(docs, [F.col("doc_id")]), "pii-entities")
+    terms = marks(docs, found_, disclosing(docs, found_))
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
-    rows = entities(docs, [own]).drop("ctx").join(terms, "tk", "left")
+    rows = entities(docs, [own]).drop("t").join(terms, "tk", "left")
     base = F.transform("spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.concat(F.lit("<"), x["kind"], F.lit(">")).alias("to")))
     term = F.transform(F.coalesce("terms", F.array().cast("array<struct<s:int,e:int,drop:boolean>>")), lambda x: F.struct(
         x["s"].alias("s"), x["e"].alias("e"), F.when(x["drop"], F.lit("")).otherwise(F.lit("<term>")).alias("to")))

@@ -60,12 +60,41 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["s"].cast("string"), x["e"].cast("string"))), ",")
 
 
-def replaced(text: Column, spans: Column) -> Column:
+def replaced(text: Column, spans: Column, to=None) -> Column:
     """``text`` with every span (structs s, e, to; ordered by s) replaced by ``to``;
-    a span that begins inside an earlier one only extends what is removed."""
-    acc = F.aggregate(
-        spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda a, x: F.struct(F.greatest(a["at"], x["e"]).alias("at"), F.when(
-            x["s"] >= a["at"], F.concat(a["out"], F.substring(text, a["at"] + 1, x["s"] - a["at"]), x["to"])).otherwise(a["out"]).alias("out")),
-        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text) - a["at"])))
-    return F.when(F.size(spans) > 0, acc).otherwise(text)
+    a span that begins inside an earlier one only extends what is removed.
+    ``to(x, at)`` may give another text for span x where all before ``at`` is done.
+
+    Blocks of spans are replaced in their own stretch of the text and joined
+    once, so the work does not grow with the square of the spans."""
+    if to is None:
+        to = lambda x, at: F.when(x["s"] >= at, x["to"]).otherwise(F.lit(""))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<lo:int,hi:int,x:array<int>>>").alias("out"))
+
+    def stretches(xs: Column) -> Column:
+        """lo, hi: the text that each block of spans replaces; x: the block's number."""
+        def add(acc: Column, i: Column) -> Column:
+            hi = F.greatest(acc["at"], F.array_max(F.transform(F.slice(xs, i * BLOCK + 1, F.lit(BLOCK)), lambda x: x["e"])))
+            return F.struct(hi.alias("at"), F.concat(acc["out"], F.array(F.struct(
+                acc["at"].alias("lo"), hi.alias("hi"), F.array(i).alias("x")))).alias("out"))
+        return F.aggregate(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / BLOCK).cast("int")), start, add)
+
+    def block(xs: Column, b: Column) -> Column:
+        """The replaced stretch of one block."""
+        part = F.substring(text, b["lo"] + 1, b["hi"] - b["lo"])
+        return once(part, lambda t: F.aggregate(
+            F.slice(xs, b["x"][0] * BLOCK + 1, F.lit(BLOCK)), F.struct(b["lo"].alias("at"), F.lit("").alias("out")),
+            lambda a, x: F.struct(F.greatest(a["at"], x["e"]).alias("at"), F.concat(
+                a["out"], F.when(x["s"] > a["at"], F.substring(t, a["at"] - b["lo"] + 1, x["s"] - a["at"])).otherwise(F.lit("")),
+                to(x, a["at"])).alias("out")),
+            lambda a: a["out"]))
+
+    body = lambda xs: once(stretches(xs), lambda st: F.concat(
+        F.array_join(F.transform(st["out"], lambda b: block(xs, b)), ""),
+        F.substring(text, st["at"] + 1, F.length(text) - st["at"])))
+    return F.when(F.size(spans) > 0, once(spans, body)).otherwise(text)
+
+
+def blanked(text: Column, spans: Column) -> Column:
+    """``text`` with line breaks in place of every span (structs s, e; ordered by s): places stay."""
+    return replaced(text, spans, lambda x, at: F.repeat(F.lit("\n"), F.greatest(x["e"] - F.greatest(x["s"], at), F.lit(0))))

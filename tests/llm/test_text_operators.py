@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, license_scans, pii, quality_rules, secret_scans
+from tallyline.llm import bpe, license_scans, pii, quality_rules, secret_scans, spans
 
 from . import brute
 from .conftest import by_id
@@ -175,3 +177,80 @@ def test_bpe_long_pieces_and_forgetting(monkeypatch):
                                 lambda d: bpe.digests(d, VOCAB, public_tokenizers.PATTERN)])
 def test_empty_tables(edge_docs, op):
     assert op(edge_docs.limit(0)).count() == 0
+
+
+def disclosing_terms(texts):
+    """Terms that give away an entity, by all pairs of plain sets."""
+    term = re.compile(r"[^\W\d_]{4,}")
+    spans = [[(s, e, k) for k, s, e in brute.pii(t)] for t in texts]
+    rest = [list(t) for t in texts]
+    keys = []
+    for t, xs, chars in zip(texts, spans, rest):
+        held = set()
+        for s, e, k in xs:
+            chars[s:e] = "\n" * (e - s)
+            held.add((k, re.sub("[^0-9]", "", t[s:e]) if k in ("card", "phone") else t[s:e].lower()))
+        keys.append(held)
+    rest = ["".join(c) for c in rest]
+    outside = [set(term.findall(r.lower())) for r in rest]
+    whole = [set(term.findall(t.lower())) for t in texts]
+    n, out = len(texts), set()
+    for key in set().union(*keys):
+        with_key = [k for k in range(n) if key in keys[k]]
+        if len(with_key) < n:
+            for t in set().union(*[outside[k] for k in with_key]):
+                n_et, n_t = sum(t in outside[k] for k in with_key), sum(t in w for w in whole)
+                if math.log(n * n_et / (len(with_key) * n_t)) / math.log(n / len(with_key)) >= pii.GENERALISE:
+                    out.add(t)
+    return [sorted((m.start(), m.end()) for m in term.finditer(r) if m.group().lower() in out) for r in rest]
+
+
+def test_terms_of_whole_texts_against_all_pairs(spark):
+    rnd = random.Random(8)
+    names = ["anna@example.org", "+49 30 1234567", "10.0.0.7", "bob@example.org", "éabcd@x.de"]
+    vocabulary = [f"{a}{b}" for a in ("plain", "shore", "Water", "lamp") for b in ("ish", "man", "ed", "")] + ["anna", "example", "the"]
+    rows = []
+    for k in range(160):
+        words = [rnd.choice(vocabulary) for _ in range(rnd.randrange(120))]
+        if k % 4 == 0:
+            who = rnd.randrange(len(names))
+            words[rnd.randrange(len(words) + 1):0] = [names[who]] + ([names[(who + 1) % 5]] if k % 8 == 0 else [])
+            words += ["filler"] * 60 + [f"Secretly{'abcde'[who]}"] + ([f"lonely{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]}"] if k % 3 == 0 else [])
+        if k % 23 == 1:
+            words.append("secretlyb")                       # outside the texts of its entity
+        rows.append((k, " ".join(words)))
+    rows += [(500, rows[0][1]), (501, None), (502, "")]
+    got = by_id(pii.scan(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    expect = disclosing_terms([t or "" for _, t in rows])
+    assert sum(map(len, expect)) > 20
+    for (k, _), places in zip(rows, expect):
+        marked = [tuple(map(int, x.split(":")[1:])) for x in got[k].spans.split(",") if x.startswith("term:")]
+        assert marked == places and got[k].n_terms == len(places), k
+
+
+def test_many_entities_and_words_in_one_text(spark):
+    name = lambda k: "".join("abcdefghij"[int(c)] for c in f"{k:06d}")
+    rows = [(0, " ".join(f"u{k}@site.org {name(k)}" for k in range(8000)))] + [(k, "nothing of note here") for k in range(1, 40)]
+    got = by_id(pii.scan(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    assert got[0].n_email == 8000 and got[0].n_terms == 8000 and got[1].n_terms == 0
+
+
+def test_replaced_by_blocks(spark):
+    rnd = random.Random(3)
+    rows = []
+    for k in range(60):
+        text = "".join(rnd.choice("abcé😀 \n") for _ in range(rnd.randrange(1, 3000)))
+        xs = sorted({(s, min(len(text), s + rnd.randrange(1, 9)), rnd.choice(["", "<x>", "é"])) for s in
+                     (rnd.randrange(len(text)) for _ in range(rnd.choice([0, 1, 5, 256, 257, 700])))})
+        rows.append((k, text, xs))
+    df = spark.createDataFrame(rows, "id int, t string, xs array<struct<s:int,e:int,to:string>>")
+    got = df.select("id", spans.replaced(F.col("t"), F.col("xs")).alias("r"), spans.blanked(F.col("t"), F.col("xs")).alias("b")).collect()
+    for r in got:
+        _, text, xs = rows[r.id]
+        at, out, chars = 0, "", list(text)
+        for s, e, to in xs:
+            if s >= at:
+                out += text[at:s] + to
+            at = max(at, e)
+            chars[s:e] = "\n" * (e - s)
+        assert r.r == out + text[at:] and r.b == "".join(chars)
