@@ -172,8 +172,8 @@ def fit(texts: list[str], labels: list[int]) -> Model:
         return m
     part = rng.permutation(len(y))
     coded = _Coded(texts)
-    stats, train, rest = np.split(part, [int(0.45 * len(y)), int(0.8 * len(y))])
-    for p in (stats, train, rest):            # tiny samples: every part needs both labels
+    stats, train = np.split(part, [int(0.55 * len(y))])
+    for p in (stats, train):                  # tiny samples: every part needs both labels
         if not 0 < y[p].sum() < len(p):
             stats = train = part
             break
