@@ -15,6 +15,10 @@ bucket keys of all tables for that.  A bucket of more than ``BLOCK`` rows is
 cut into chunks by a hash of the id, and each pair of chunks is a task unit of
 its own, so no bucket has to fit one task.
 
+Only ids are grouped by bucket.  Buckets of one vector end there, and of
+buckets with equal members the first table's one stays, which is where its
+pairs count; the vectors then join the buckets that are left.
+
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing; vectors of different lengths link with nothing
 of another length; repeated rows count as copies (each other's links); an
@@ -25,6 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +43,13 @@ SEED = 5
 FOUND = "id long, links long, other long"
 
 
+def _unit(v: np.ndarray) -> np.ndarray:
+    """Unit vectors; rows are first scaled by a power of two, so that no square over- or underflows."""
+    _, e = np.frexp(np.abs(v).max(axis=1, keepdims=True))
+    v = np.ldexp(v, -e)
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
 def _keys(unit: np.ndarray) -> np.ndarray:
     """int32 bucket keys (rows x TABLES) of unit vectors."""
     rng = np.random.default_rng(SEED)
@@ -51,25 +63,22 @@ def _keys(unit: np.ndarray) -> np.ndarray:
 
 
 def _hashed(batches, stored: str):
-    """(id, size, dim, v) -> one row per table with the vector and all its keys."""
+    """(id, size, v) -> the same with v packed, its length and its bucket keys of all tables."""
     for b in batches:
-        ids, sizes, dims = (b.column(c).to_numpy() for c in ("id", "size", "dim"))
         vectors = b.column("v")
+        dims = pc.list_value_length(vectors).to_numpy(zero_copy_only=False)
         for dim in np.unique(dims):
-            rows = np.flatnonzero(dims == dim)
-            v = np.stack([np.asarray(x, np.float64) for x in vectors.take(pa.array(rows)).to_pylist()])
-            keys = _keys(v / np.linalg.norm(v, axis=1, keepdims=True))
-            for at in range(0, len(rows), 256):
-                some = slice(at, at + 256)
-                n = len(rows[some])
-                packed_v = [x.tobytes() for x in v[some].astype(stored)]
-                packed_k = [x.tobytes() for x in keys[some]]
+            same = np.flatnonzero(dims == dim)
+            for at in range(0, len(same), BLOCK):
+                rows = pa.array(same[at:at + BLOCK])
+                part = vectors.take(rows)
+                v = part.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), dim)
+                keys = _keys(_unit(v))
                 yield pa.record_batch({
-                    "t": pa.array(np.tile(np.arange(TABLES, dtype=np.int32), n)), "key": pa.array(keys[some].ravel()),
-                    "dim": pa.array(np.full(n * TABLES, dim, np.int32)),
-                    "id": pa.array(np.repeat(ids[rows[some]], TABLES)), "size": pa.array(np.repeat(sizes[rows[some]], TABLES)),
-                    "v": pa.array([x for x in packed_v for _ in range(TABLES)], pa.binary()),
-                    "keys": pa.array([x for x in packed_k for _ in range(TABLES)], pa.binary())})
+                    "id": b.column("id").take(rows), "size": b.column("size").take(rows), "dim": pa.array(np.full(len(rows), dim, np.int32)),
+                    "v": pa.array([x.tobytes() for x in v.astype(stored)], pa.binary()),
+                    "keys": pa.array([x.tobytes() for x in keys], pa.binary()),
+                    "buckets": pa.ListArray.from_arrays(np.arange(0, keys.size + 1, TABLES, dtype=np.int32), keys.ravel())})
 
 
 class _Block:
@@ -78,8 +87,7 @@ class _Block:
     def __init__(self, rows: list[tuple], stored: str):
         self.id = np.array([r[0] for r in rows], np.int64)
         self.size = np.array([r[1] for r in rows], np.int64)
-        v = np.stack([np.frombuffer(r[2], stored) for r in rows]).astype(np.float64)
-        self.unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+        self.unit = _unit(np.stack([np.frombuffer(r[2], stored) for r in rows]).astype(np.float64))
         self.keys = np.stack([np.frombuffer(r[3], np.int32) for r in rows])
 
 
@@ -156,6 +164,13 @@ def _search(similarity: float, stored: str):
     return run
 
 
+def _buckets(members: DataFrame) -> DataFrame:
+    """t, key, dim, n of the buckets of two vectors and more; of those with equal members the first table's."""
+    whole = members.groupBy("dim", "t", "key").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")).filter("n > 1")
+    return whole.groupBy("dim", "n", "x", "y").agg(F.min(F.struct("t", "key")).alias("b")).select("b.t", "b.key", "dim", "n")
+
+
 def links(embeddings: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row."""
     stored = "<f4" if "float" in embeddings.schema["embedding"].dataType.simpleString() else "<f8"
@@ -165,27 +180,22 @@ def links(embeddings: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).select(
         "vec_id", F.when(F.coalesce(usable, F.lit(False)), F.transform("v", lambda x: x + 0.0)).alias("v"))
     copies = rows.filter("v is not null").groupBy("v").agg(F.min("vec_id").alias("id"), F.count("*").alias("size"))
-    classes = written(copies, "vectors")
-    hashed = classes.select("id", "size", F.size("v").alias("dim"), "v").mapInArrow(
-        lambda batches: _hashed(batches, stored), "t int, key int, dim int, id long, size long, v binary, keys binary")
-    bucket = ["t", "key", "dim"]
-    hot = written(hashed.groupBy(*bucket).agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK).select(
-        *bucket, F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks")), "hot-buckets")
-    zero = F.lit(0)
-    cold = hashed.join(hot, bucket, "left_anti").select(*bucket, zero.alias("c1"), zero.alias("c2"), zero.alias("c"), "id", "size", "v", "keys")
-    cold = cold.repartition(*[F.col(c) for c in bucket]).sortWithinPartitions(*bucket, "id")
-    units = [*bucket, "c1", "c2"]
-    found = cold.mapInArrow(_search(similarity, stored), FOUND)
-    if not hot.isEmpty():
-        split = hashed.join(hot, bucket).withColumn("c", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")).select(
-            *bucket, "c", "id", "size", "v", "keys", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("o")).select(
-            *bucket, F.least("c", "o").alias("c1"), F.greatest("c", "o").alias("c2"), "c", "id", "size", "v", "keys")
-        split = split.repartition(*[F.col(c) for c in units]).sortWithinPartitions(*units, "id")
-        found = found.unionByName(split.mapInArrow(_search(similarity, stored), FOUND))
+    classes = written(copies, "vector-classes")
+    hashed = written(classes.select("id", "size", "v").mapInArrow(
+        lambda batches: _hashed(batches, stored), "id long, size long, dim int, v binary, keys binary, buckets array<int>"), "vectors")
+    bucket, units = ["t", "key", "dim"], ["t", "key", "dim", "c1", "c2"]
+    members = hashed.select("id", "dim", F.posexplode("buckets").alias("t", "key"))
+    inside = members.join(written(_buckets(members), "vector-buckets"), bucket)
+    chunks = F.ceil(F.col("n") / BLOCK).cast("int")
+    split = inside.withColumn("c", F.pmod(F.xxhash64("id"), chunks).cast("int")).select(
+        *bucket, "c", "id", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("o")).select(
+        *bucket, F.least("c", "o").alias("c1"), F.greatest("c", "o").alias("c2"), "c", "id")
+    rows_of = split.join(hashed.select("id", "size", "v", "keys"), "id").select(*units, "c", "id", "size", "v", "keys")
+    found = rows_of.repartition(*[F.col(c) for c in units]).sortWithinPartitions(*units, "id").mapInArrow(_search(similarity, stored), FOUND)
     found = written(found, "vector-links")
     label = components(found.select(F.col("id").alias("a"), F.col("other").alias("b")))
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
-    per = classes.select("id", "size", "v").join(counts, "id", "left").join(label, F.col("id") == F.col("node"), "left").select(
+    per = classes.join(counts, "id", "left").join(label, F.col("id") == F.col("node"), "left").select(
         F.col("v").alias("_v"), (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n"), F.coalesce("component", "id").alias("c"))
     # Copies find their class by a hash of the vector and the vector itself.
     return rows.join(per, F.col("v") == F.col("_v"), "left").select(

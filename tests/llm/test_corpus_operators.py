@@ -170,6 +170,12 @@ def test_embedding_recall(spark):
     assert sum(got[a].component_id == got[b].component_id for a, b in pairs) >= 0.97 * len(pairs)
 
 
+def test_embeddings_of_any_magnitude(spark):
+    rows = [(1, [1e-200, 2e-200]), (2, [1.0, 2.0]), (3, [3e200, 1e200]), (4, [3.0, 1.0]), (5, [5e-324, 1e-323]), (6, [1e308, -1e308])]
+    got = {r.vec_id: r for r in embedding_dedup.links(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()}
+    assert [got[k].component_id for k in range(1, 7)] == [1, 1, 3, 3, 1, 6] and got[1].n_links == 2 and got[3].n_links == 1
+
+
 def test_embeddings_empty(spark):
     assert embedding_dedup.links(spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")).count() == 0
 
@@ -258,6 +264,28 @@ def test_toxicity_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in got.values())
 
 
+def test_toxicity_forward_pass_and_rows_used(monkeypatch):
+    rng = random.Random(2)
+    vocabulary = ["vile", "idiot", "hello", "garden", "the", "and", "läuft", "x"]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(1, 30))) for _ in range(60)] + [""]
+    labels = [int("vile" in t) for t in texts]
+    used = []
+    real = toxicity._train
+    monkeypatch.setattr(toxicity, "_train", lambda m, c, rows, y, r: (used.append(len(rows)), real(m, c, rows, y, r)))
+    odds = toxicity._log_odds
+    monkeypatch.setattr(toxicity, "_log_odds", lambda c, rows, y: (used.append(len(rows)), odds(c, rows, y))[1])
+    m = toxicity.fit(texts, labels)
+    assert m.fitted and sum(used) == len(texts)
+    scored = toxicity.Scorer(m)(texts)
+    for text, (logit, _) in zip(texts, scored):
+        x = [m.embedding[toxicity.features(w)].sum(axis=0) for w in toxicity.tokens(text)]
+        x += [np.zeros(toxicity.DIM)] * (max(toxicity.WIDTHS) - len(x))
+        pooled = [max(sum(float(x[i + k] @ f[k][:, j]) for k in range(len(f))) for i in range(len(x) - len(f) + 1))
+                  for f in m.filters for j in range(toxicity.FILTERS)]
+        plain = sum(max(0.0, p + b) * o for p, b, o in zip(pooled, m.bias, m.out)) + m.out_bias
+        assert abs(plain - logit) < 1e-3 * max(1, abs(plain)), text
+
+
 def test_toxicity_edge_cases(spark, edge_docs, documents):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     m = toxicity.train(documents, labels)
