@@ -22,8 +22,10 @@ own adds one pair for them, not all pairs.
 
 Texts are scanned in projections and never shuffled for their entities.  Only
 the words of texts with entities travel, once per distinct text with the number
-of its copies; term counts over the corpus combine map-side; spans of terms
-come back by the hash of the text, and empty texts get keys of their own, so no
+of its copies; term counts over the corpus combine map-side; a filter of a
+fixed number of bits leaves words that are no flagged terms out of the search
+of the corpus, which a join then makes exact; spans of terms come back by the
+hash of the text, and empty texts get keys of their own, so no
 key gathers them.
 
 Defined results: null or empty texts have no spans; repeated rows get the same
@@ -52,6 +54,7 @@ HINTS = {"email": "@", "ip": ".", "phone": "+"}
 OCTETS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?:\.|$)){4}$"
 TERM = r"\p{L}{4,}"
 GENERALISE, REMOVE = 0.9, 0.98
+BITS = 1 << 24             # of the filter of flagged terms, two per term
 SPANS = "array<struct<k:int,s:int,e:int,kind:string,key:string>>"
 
 
@@ -126,7 +129,7 @@ def _classed(pairs: DataFrame, item: str, n: str) -> DataFrame:
 
 
 def disclosing(docs: DataFrame, found_: DataFrame) -> DataFrame:
-    """term, drop: the terms to sanitise, from the spans of ``entities``."""
+    """tk, terms: array<struct<s,e,drop>> of every text with terms to sanitise, from the rows of ``entities``."""
     n = float(max(1, found_.count()))
     per = written(found_.filter("t is not null").groupBy("tk").agg(
         F.count("*").alias("m"), F.first("t").alias("t"), F.first("spans").alias("spans")), "pii-texts")
@@ -140,33 +143,57 @@ def disclosing(docs: DataFrame, found_: DataFrame) -> DataFrame:
     largest = e.agg(F.max("n_e")).first()[0] or 0
     bound = lambda n_e: n * F.pow(n_e / n, F.lit(GENERALISE)) * 1.000001 + 1e-6
     terms = written(terms.filter(F.col("n_t") <= bound(F.lit(float(largest)))).select(
-        "term", "n_t", F.col("x").alias("u"), F.col("y").alias("v")), "pii-term-counts")
+        "term", "n_t", "n_in", F.col("x").alias("u"), F.col("y").alias("v")), "pii-term-counts")
     t = words.join(terms, "term").select("tk", "u", "v", "n_t").distinct()
     n_et = e.join(t, "tk").filter(F.col("n_t") <= bound(F.col("n_e"))).groupBy("x", "y", "n_e", "u", "v", "n_t").agg(F.sum("m").alias("n_et"))
     info = F.log(F.lit(n) / F.col("n_e"))
     share = F.log(F.lit(n) * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / info
     best = n_et.withColumn("share", share).filter(F.col("share") >= GENERALISE).groupBy("u", "v", "n_t").agg(F.max("share").alias("share"))
-    return written(terms.join(best, ["u", "v", "n_t"]).select("term", (F.col("share") >= REMOVE).alias("drop")), "pii-flagged")
-
-
-def marks(docs: DataFrame, found_: DataFrame, flagged: DataFrame) -> DataFrame:
-    """tk, terms: array<struct<s,e,drop>> of every text with flagged terms outside its entities."""
-    texts = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("t")).filter("t <> ''").withColumn("tk", _key(F.col("t")))
-    hits = written(texts.select("tk", F.explode(_words(F.col("t"))).alias("term")).join(flagged, "term").select("tk").distinct(), "pii-hits")
-    spans = found_.filter("t is not null").select("tk", "spans").dropDuplicates(["tk"])
-    whole = texts.join(hits, "tk").dropDuplicates(["tk"]).join(spans, "tk", "left").withColumn(
-        "spans", F.coalesce("spans", F.array().cast(SPANS)))
-    rest = whole.select("tk", _rest().alias("t"))
-    at = rest.select("tk", F.split("t", TERM, -1).alias("g"), F.regexp_extract_all("t", F.lit(TERM), F.lit(0)).alias("h"))
+    flagged = written(terms.join(best, ["u", "v", "n_t"]).select(
+        "term", (F.col("share") >= REMOVE).alias("drop"), (F.col("n_t") > F.col("n_in")).alias("elsewhere")), "pii-flagged")
+    inside = per.select("tk", _rest().alias("t")).transform(lambda d: _placed_terms(d, _bits(flagged)))
+    wide = _bits(flagged.filter("elsewhere"))
+    others = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("t"))
+    # Lambdas take no subquery; the optimizer puts the constant in place of its column.
+    others = others.withColumn("_bits", wide).filter(F.exists(
+        F.regexp_extract_all(F.lower("t"), F.lit(TERM), F.lit(0)), lambda w: _in(F.col("_bits"), w))).drop("_bits")
+    others = _placed_terms(others.select(_key(F.col("t")).alias("tk"), "t"), wide).join(flagged.filter("elsewhere"), "term")
+    # Texts with entities have theirs from the blanked text.
+    others = others.join(per.select("tk"), "tk", "left_anti").select("tk", "s", "e", "drop")
+    every = inside.join(flagged, "term").select("tk", "s", "e", "drop").unionByName(others)
+    return written(every.groupBy("tk").agg(F.sort_array(F.collect_list(F.struct("s", "e", "drop"))).alias("terms")), "pii-spans")
+
+
+def _bit(w: Column, seed: int) -> Column:
+    return F.pmod(F.xxhash64(w, F.lit(seed)), F.lit(BITS))
+
+
+def _bits(terms: DataFrame) -> Column:
+    """A Bloom filter of the terms as one constant: ``BITS`` bits as array<long>, whatever their number.
+    It keeps words that no join can match out of the shuffles."""
+    bit = terms.select(F.explode(F.array(_bit(F.col("term"), 0), _bit(F.col("term"), 1))).alias("b"))
+    set_ = bit.groupBy(F.shiftright("b", 6).alias("i")).agg(F.expr("bit_or(shiftleft(1L, cast(b % 64 as int)))").alias("bits"))
+    every = terms.sparkSession.range(BITS // 64).withColumnRenamed("id", "i").join(set_, "i", "left")
+    return every.agg(F.sort_array(F.collect_list(F.struct("i", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))).alias("x")).select("x.bits").scalar()
+
+
+def _in(bits: Column, w: Column) -> Column:
+    at = lambda b: F.getbit(F.get(bits, F.shiftright(b, 6).cast("int")), (b % 64).cast("int")) == 1
+    return at(_bit(w, 0)) & at(_bit(w, 1))
+
+
+def _placed_terms(texts: DataFrame, bits: Column) -> DataFrame:
+    """tk, s, e, term: the words of (tk, t) that the filter lets pass, once per distinct text."""
+    at = texts.select("tk", F.split("t", TERM, -1).alias("g"), F.regexp_extract_all("t", F.lit(TERM), F.lit(0)).alias("h"))
     one = at.select("tk", F.explode(placed(F.col("g"), F.col("h"))).alias("w")).select("tk", "w.s", "w.e", F.lower("w.v").alias("term"))
-    return written(one.join(flagged, "term").groupBy("tk").agg(F.sort_array(F.collect_list(F.struct("s", "e", "drop"))).alias("terms")), "pii-spans")
+    return one.filter(_in(bits, F.col("term"))).distinct()
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, counts and digest of the base spans, all spans (base, then
     ``term``) and the number of terms."""
     rows = written(entities(docs, [F.col("doc_id")]), "pii-entities")
-    terms = marks(docs, rows, disclosing(docs, rows))
+    terms = disclosing(docs, rows)
     out = rows.drop("t").join(terms, "tk", "left")
     term = F.transform(F.coalesce("terms", F.array().cast("array<struct<s:int,e:int,drop:boolean>>")), lambda x: F.struct(
         x["s"].alias("s"), x["e"].alias("e"), F.lit("term").alias("kind")))
@@ -183,7 +210,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with their own columns; in the text, entities become ``<kind>``,
     disclosing terms ``<term>`` or nothing."""
     found_ = written(entities(docs, [F.col("doc_id")]), "pii-entities")
-    terms = marks(docs, found_, disclosing(docs, found_))
+    terms = disclosing(docs, found_)
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
     rows = entities(docs, [own]).drop("t").join(terms, "tk", "left")
     base = F.transform("spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.concat(F.lit("<"), x["kind"], F.lit(">")).alias("to")))
