@@ -23,8 +23,9 @@ own adds one pair for them, not all pairs.
 Texts are scanned in projections and never shuffled for their entities.  Only
 the words of texts with entities travel, once per distinct text with the number
 of its copies; term counts over the corpus combine map-side; a filter of a
-fixed number of bits leaves words that are no flagged terms out of the search
-of the corpus, which a join then makes exact; spans of terms come back by the
+fixed number of bits leaves words that are no flagged terms, and another one
+texts without such words, out of the search of the corpus, which joins then make
+exact; spans of terms come back by the
 hash of the text, and empty texts get keys of their own, so no
 key gathers them.
 
@@ -54,7 +55,7 @@ HINTS = {"email": "@", "ip": ".", "phone": "+"}
 OCTETS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?:\.|$)){4}$"
 TERM = r"\p{L}{4,}"
 GENERALISE, REMOVE = 0.9, 0.98
-BITS = 1 << 24             # of the filter of flagged terms, two per term
+BITS = 1 << 24             # of a filter of terms or texts, two per value
 SPANS = "array<struct<k:int,s:int,e:int,kind:string,key:string>>"
 
 
@@ -153,13 +154,14 @@ def disclosing(docs: DataFrame, found_: DataFrame) -> DataFrame:
         "term", (F.col("share") >= REMOVE).alias("drop"), (F.col("n_t") > F.col("n_in")).alias("elsewhere")), "pii-flagged")
     inside = per.select("tk", _rest().alias("t")).transform(lambda d: _placed_terms(d, _bits(flagged)))
     wide = _bits(flagged.filter("elsewhere"))
-    others = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("t"))
-    # Lambdas take no subquery; the optimizer puts the constant in place of its column.
-    others = others.withColumn("_bits", wide).filter(F.exists(
-        F.regexp_extract_all(F.lower("t"), F.lit(TERM), F.lit(0)), lambda w: _in(F.col("_bits"), w))).drop("_bits")
-    others = _placed_terms(others.select(_key(F.col("t")).alias("tk"), "t"), wide).join(flagged.filter("elsewhere"), "term")
+    texts = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("t")).select(_key(F.col("t")).alias("tk"), "t")
+    # Words are tested in rows, not inside a lambda, which Spark interprets.
+    words = texts.select("tk", F.explode(F.regexp_extract_all(F.lower("t"), F.lit(TERM), F.lit(0))).alias("term")).filter(_in(wide, F.col("term")))
     # Texts with entities have theirs from the blanked text.
-    others = others.join(per.select("tk"), "tk", "left_anti").select("tk", "s", "e", "drop")
+    holding = written(words.distinct().join(flagged.filter("elsewhere"), "term").select("tk").distinct().join(
+        per.select("tk"), "tk", "left_anti"), "pii-holding")
+    others = texts.filter(_in(_bits(holding, "tk"), F.col("tk"))).join(holding, "tk", "left_semi")
+    others = _placed_terms(others, wide).join(flagged.filter("elsewhere"), "term").select("tk", "s", "e", "drop")
     every = inside.join(flagged, "term").select("tk", "s", "e", "drop").unionByName(others)
     return written(every.groupBy("tk").agg(F.sort_array(F.collect_list(F.struct("s", "e", "drop"))).alias("terms")), "pii-spans")
 
@@ -168,10 +170,10 @@ def _bit(w: Column, seed: int) -> Column:
     return F.pmod(F.xxhash64(w, F.lit(seed)), F.lit(BITS))
 
 
-def _bits(terms: DataFrame) -> Column:
-    """A Bloom filter of the terms as one constant: ``BITS`` bits as array<long>, whatever their number.
-    It keeps words that no join can match out of the shuffles."""
-    bit = terms.select(F.explode(F.array(_bit(F.col("term"), 0), _bit(F.col("term"), 1))).alias("b"))
+def _bits(terms: DataFrame, column: str = "term") -> Column:
+    """A Bloom filter of a column's values as one constant: ``BITS`` bits as array<long>, whatever their number.
+    It keeps rows that no join can match out of the shuffles."""
+    bit = terms.select(F.explode(F.array(_bit(F.col(column), 0), _bit(F.col(column), 1))).alias("b"))
     set_ = bit.groupBy(F.shiftright("b", 6).alias("i")).agg(F.expr("bit_or(shiftleft(1L, cast(b % 64 as int)))").alias("bits"))
     every = terms.sparkSession.range(BITS // 64).withColumnRenamed("id", "i").join(set_, "i", "left")
     return every.agg(F.sort_array(F.collect_list(F.struct("i", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))).alias("x")).select("x.bits").scalar()
