@@ -152,17 +152,16 @@ def disclosing(docs: DataFrame, found_: DataFrame) -> DataFrame:
     best = n_et.withColumn("share", share).filter(F.col("share") >= GENERALISE).groupBy("u", "v", "n_t").agg(F.max("share").alias("share"))
     flagged = written(terms.join(best, ["u", "v", "n_t"]).select(
         "term", (F.col("share") >= REMOVE).alias("drop"), (F.col("n_t") > F.col("n_in")).alias("elsewhere")), "pii-flagged")
-    inside = per.select("tk", _rest().alias("t")).transform(lambda d: _placed_terms(d, _bits(flagged)))
-    wide = _bits(flagged.filter("elsewhere"))
+    inside = _placed_terms(per.select("tk", _rest().alias("t")), words.join(flagged, "term").select("tk", "term"))
+    wide = flagged.filter("elsewhere")
+    bits = _bits(wide, "term")
     texts = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("t")).select(_key(F.col("t")).alias("tk"), "t")
     # Words are tested in rows, not inside a lambda, which Spark interprets.
-    words = texts.select("tk", F.explode(F.regexp_extract_all(F.lower("t"), F.lit(TERM), F.lit(0))).alias("term")).filter(_in(wide, F.col("term")))
+    found_words = texts.select("tk", F.explode(F.regexp_extract_all(F.lower("t"), F.lit(TERM), F.lit(0))).alias("term")).filter(_in(bits, F.col("term")))
     # Texts with entities have theirs from the blanked text.
-    holding = written(words.distinct().join(flagged.filter("elsewhere"), "term").select("tk").distinct().join(
-        per.select("tk"), "tk", "left_anti"), "pii-holding")
-    others = texts.filter(_in(_bits(holding, "tk"), F.col("tk"))).join(holding, "tk", "left_semi")
-    others = _placed_terms(others, wide).join(flagged.filter("elsewhere"), "term").select("tk", "s", "e", "drop")
-    every = inside.join(flagged, "term").select("tk", "s", "e", "drop").unionByName(others)
+    holding = written(found_words.distinct().join(wide, "term").select("tk", "term").join(per.select("tk"), "tk", "left_anti"), "pii-holding")
+    others = _placed_terms(texts.filter(_in(_bits(holding, "tk"), F.col("tk"))), holding)
+    every = inside.unionByName(others).join(flagged, "term").select("tk", "s", "e", "drop")
     return written(every.groupBy("tk").agg(F.sort_array(F.collect_list(F.struct("s", "e", "drop"))).alias("terms")), "pii-spans")
 
 
@@ -170,7 +169,7 @@ def _bit(w: Column, seed: int) -> Column:
     return F.pmod(F.xxhash64(w, F.lit(seed)), F.lit(BITS))
 
 
-def _bits(terms: DataFrame, column: str = "term") -> Column:
+def _bits(terms: DataFrame, column: str) -> Column:
     """A Bloom filter of a column's values as one constant: ``BITS`` bits as array<long>, whatever their number.
     It keeps rows that no join can match out of the shuffles."""
     bit = terms.select(F.explode(F.array(_bit(F.col(column), 0), _bit(F.col(column), 1))).alias("b"))
@@ -184,11 +183,13 @@ def _in(bits: Column, w: Column) -> Column:
     return at(_bit(w, 0)) & at(_bit(w, 1))
 
 
-def _placed_terms(texts: DataFrame, bits: Column) -> DataFrame:
-    """tk, s, e, term: the words of (tk, t) that the filter lets pass, once per distinct text."""
-    at = texts.select("tk", F.split("t", TERM, -1).alias("g"), F.regexp_extract_all("t", F.lit(TERM), F.lit(0)).alias("h"))
-    one = at.select("tk", F.explode(placed(F.col("g"), F.col("h"))).alias("w")).select("tk", "w.s", "w.e", F.lower("w.v").alias("term"))
-    return one.filter(_in(bits, F.col("term"))).distinct()
+def _placed_terms(texts: DataFrame, held: DataFrame) -> DataFrame:
+    """tk, s, e, term: where the texts (tk, t) hold the terms that ``held`` (tk, term) names for them.
+    One pattern per text finds its own terms, so its other words are never placed."""
+    terms = F.array_join(F.sort_array(F.collect_set("term")), "|")
+    patterns = held.groupBy("tk").agg(F.concat(F.lit(r"(?<!\p{L})(?iu:"), terms, F.lit(r")(?!\p{L})")).alias("p"))
+    at = texts.join(patterns, "tk").select("tk", F.split("t", F.col("p"), -1).alias("g"), F.regexp_extract_all("t", F.col("p"), F.lit(0)).alias("h"))
+    return at.select("tk", F.explode(placed(F.col("g"), F.col("h"))).alias("w")).select("tk", "w.s", "w.e", F.lower("w.v").alias("term")).distinct()
 
 
 def scan(docs: DataFrame) -> DataFrame:
