@@ -114,6 +114,40 @@ def test_frequent_shingles_are_counted_exactly(spark, monkeypatch):
     assert df.tolist() == [30.0] * 3 and len(shingles) == 3
 
 
+def test_a_passage_in_few_texts_weighs_less_than_their_own_words(spark):
+    """A passage that 5% of the texts hold was weighed like words of one text, so
+    that its texts, 0.82 alike by tf, were near-duplicates; by tf-idf they are not."""
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(7))
+    passage = " ".join(word() for _ in range(200))
+    rows = [(k, passage + " " + " ".join(word() for _ in range(20))) for k in range(10)]
+    rows += [(10 + k, " ".join(word() for _ in range(30))) for k in range(190)]
+    got = {r.doc_id: r.class_id for r in minhash_dedup.classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {i: i for i, _ in rows}
+
+
+@pytest.mark.parametrize("block, hashes", [(40, 10), (500_000, 2_000_000)])
+def test_every_document_frequency_is_counted(spark, copies, monkeypatch, block, hashes):
+    monkeypatch.setattr(minhash_dedup, "BLOCK_HASHES", block)
+    monkeypatch.setattr(minhash_dedup, "RANGE_HASHES", hashes)
+    table = minhash_dedup.shingle_table(spark.createDataFrame(copies, "doc_id bigint, text string").repartition(3)).cache()
+    rows = [r.hashes for r in table.collect() if r.hashes]
+    want = collections.Counter(x for b in rows for x in np.unique(minhash_dedup.unpack(b)).tolist())
+    shingles, df = minhash_dedup.frequent(table, len(rows))
+    assert dict(zip(shingles.tolist(), df.tolist())) == {x: n for x, n in want.items() if n > 1}
+    answers, own = minhash_dedup.document_frequencies(table), table.selectExpr("block", "doc_id AS rep", "s1", "s2")
+    got = minhash_dedup.with_frequencies(table, answers, own).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        u = np.unique(minhash_dedup.unpack(r.hashes)).tolist()
+        assert np.frombuffer(r.df, "<u4").tolist() == [want[x] for x in u]
+    # A block that several tasks read reports more than once.
+    split = minhash_dedup._answers(minhash_dedup._reports(table.repartition(7), 2).repartition(3))
+    whole = minhash_dedup._answers(minhash_dedup._reports(table, 2))
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, whole.collect()))
+    table.unpersist()
+
+
 def test_samples_estimate_weighted_jaccard():
     rng = np.random.default_rng(2)
     h = np.sort(rng.choice(1 << 40, 400, replace=False).astype(np.uint64))
