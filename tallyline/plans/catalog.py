@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,6 +72,15 @@ class Ctx:
     def items(self) -> DataFrame:
         return O.clean_orders(A.raw_order_items(self.t))
 
+    @property
+    def dealt_items(self) -> DataFrame:
+        """``items`` by order, in parts that stay small at any size."""
+        return O.clean_orders(A.raw_order_items(self.t, self.item_tasks))
+
+    @cached_property
+    def item_tasks(self) -> int | None:
+        return self.t.tasks("lineitem")
+
     @property
     def deliveries(self) -> DataFrame:
         return O.clean_deliveries(A.raw_deliveries(self.t))
@@ -189,20 +199,20 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "success_pct": (lambda c: O.success_pct(c.deliveries)),
     "success_pct_as_written": (lambda c: O.success_pct(c.deliveries, as_written=True)),
     # ---- lists
-    "line_ids": (lambda c: LS.with_line_ids(c.items)),
+    "line_ids": (lambda c: LS.with_line_ids(c.dealt_items)),
     "global_ids": (lambda c: N.with_global_ids(c.items, ["order_time", "order_id"], "record_id")),
     "hot_key_ids": (lambda c: N.numbered(c.hot_ledger, ["customer_id", "txn_date"], ["txn_type", "txn_amount"], "txn_id")),
     "recipe_rows": (lambda c: LS.explode_recipe(c.recipes, c.toppings)),
-    "extra_rows": (lambda c: LS.explode_ids(c.items, "extras", "extra_id")),
-    "exclusion_rows": (lambda c: LS.explode_ids(c.items, "exclusions", "exclusion_id")),
+    "extra_rows": (lambda c: LS.explode_ids(c.dealt_items, "extras", "extra_id")),
+    "exclusion_rows": (lambda c: LS.explode_ids(c.dealt_items, "exclusions", "exclusion_id")),
     "recipe_list": (lambda c: LS.recipe_list(c.recipes, c.toppings)),
     "extra_rank": (lambda c: LS.token_rank(c.items, "extras", c.toppings, "extra_count")),
     "exclusion_rank": (lambda c: LS.token_rank(c.items, "exclusions", c.toppings, "exclusion_count")),
     "top_extra": (lambda c: LS.token_rank(c.items, "extras", c.toppings, "extra_count", top=1)),
     "top_exclusion": (lambda c: LS.token_rank(c.items, "exclusions", c.toppings, "exclusion_count", top=1)),
-    "item_label": (lambda c: LS.item_label(c.items, c.toppings, c.products)),
-    "ingredient_list": (lambda c: LS.ingredient_list(c.items, c.recipes, c.toppings, c.products)),
-    "ingredient_list_as_written": (lambda c: LS.ingredient_list(c.items, c.recipes, c.toppings, c.products,
+    "item_label": (lambda c: LS.item_label(c.dealt_items, c.toppings, c.products)),
+    "ingredient_list": (lambda c: LS.ingredient_list(c.dealt_items, c.recipes, c.toppings, c.products)),
+    "ingredient_list_as_written": (lambda c: LS.ingredient_list(c.dealt_items, c.recipes, c.toppings, c.products,
                                                                  as_written=True)),
     "ingredient_usage": (lambda c: LS.ingredient_usage(c.items, c.recipes, c.toppings, c.deliveries)),
     "ingredient_usage_as_written": (lambda c: LS.ingredient_usage(c.items, c.recipes, c.toppings,

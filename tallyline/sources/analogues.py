@@ -48,9 +48,13 @@ def order_time(orderkey: Column, orderdate: Column) -> Column:
     return orderdate.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
 
 
-def raw_order_items(t: Tables) -> DataFrame:
+def raw_order_items(t: Tables, tasks: int | None = None) -> DataFrame:
+    """With ``tasks``, the items come in that many parts by order, which what follows
+    by order keeps: the join, counts and line numbers of an order are one stage."""
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    if tasks:
+        li, o = li.repartition(tasks, "l_orderkey"), o.repartition(tasks, "o_orderkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     n = LIST_ID_RANGE
     ok, pk, sk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
