@@ -5,7 +5,8 @@ the order and a key with very many rows spans several of them.  The ranges' size
 are summed up in order (one row per range and key) and a row's id is the sum
 before its range plus its place within it.  No task holds more than a range, no
 window runs over a whole table or key, and ids do not depend on how many ranges
-there are.
+there are.  A number of ``ranges`` in proportion to the rows keeps them small at any
+size; without one the session's partitions decide.
 
 Identical rows are counted first and regenerated with consecutive ids, so a row
 that is repeated very often does not fill a range either.
@@ -26,7 +27,8 @@ def _in_ranges(df: DataFrame, by: list[str], ranges: int | None) -> DataFrame:
     range; written, so that every use sees the same ranges."""
     rows = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
     rows = rows.repartitionByRange(ranges, *by) if ranges else rows.repartitionByRange(*by)
-    return read_table(df.sparkSession, write_table(rows.withColumn("_range", F.spark_partition_id()), "ranges"))
+    rows = read_table(df.sparkSession, write_table(rows.withColumn("_range", F.spark_partition_id()), "ranges"))
+    return rows.repartitionByRange(ranges, "_range") if ranges else rows        # a range or two in a task
 
 
 def _expanded(rows: DataFrame, columns: list[str], out: str) -> DataFrame:
@@ -44,13 +46,13 @@ def numbered(df: DataFrame, keys: list[str], order: list[str], out: str, ranges:
     one = [*keys, "_range"]
     earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = rows.groupBy(*one).agg(F.sum("_n").alias("_size")).select(*one, F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
-    # Only keys that span ranges need an offset; null keys are keys, too.
+    # Only keys that span ranges need an offset, fewer than there are ranges; null keys are keys, too.
     sizes = sizes.filter("_before > 0").select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(one)], "_before")
     same = F.lit(True)
     for i, c in enumerate(one):
         same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
     inside = Window.partitionBy(*one).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(sizes, same, "left")
+    rows = rows.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(F.broadcast(sizes), same, "left")
     return _expanded(rows.withColumn("_first", F.coalesce("_before", F.lit(0)) + F.col("_in") + 1), df.columns, out)
 
 
@@ -66,5 +68,5 @@ def with_global_ids(df: DataFrame, order: list[str], out: str, ranges: int | Non
         before += r["n"]
     offset = df.sparkSession.createDataFrame(offsets, "_range int, _before bigint")
     inside = Window.partitionBy("_range").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(offset, "_range")
+    rows = rows.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(F.broadcast(offset), "_range")
     return _expanded(rows.withColumn("_first", F.col("_before") + F.col("_in") + 1), df.columns, out)

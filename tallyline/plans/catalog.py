@@ -81,6 +81,10 @@ class Ctx:
     def item_tasks(self) -> int | None:
         return self.t.tasks("lineitem")
 
+    @cached_property
+    def txn_tasks(self) -> int | None:
+        return self.t.tasks("orders")
+
     @property
     def deliveries(self) -> DataFrame:
         return O.clean_deliveries(A.raw_deliveries(self.t))
@@ -200,8 +204,8 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "success_pct_as_written": (lambda c: O.success_pct(c.deliveries, as_written=True)),
     # ---- lists
     "line_ids": (lambda c: LS.with_line_ids(c.dealt_items)),
-    "global_ids": (lambda c: N.with_global_ids(c.items, ["order_time", "order_id"], "record_id")),
-    "hot_key_ids": (lambda c: N.numbered(c.hot_ledger, ["customer_id", "txn_date"], ["txn_type", "txn_amount"], "txn_id")),
+    "global_ids": (lambda c: N.with_global_ids(c.dealt_items, ["order_time", "order_id"], "record_id", c.item_tasks)),
+    "hot_key_ids": (lambda c: N.numbered(c.hot_ledger, ["customer_id", "txn_date"], ["txn_type", "txn_amount"], "txn_id", c.txn_tasks)),
     "recipe_rows": (lambda c: LS.explode_recipe(c.recipes, c.toppings)),
     "extra_rows": (lambda c: LS.explode_ids(c.dealt_items, "extras", "extra_id")),
     "exclusion_rows": (lambda c: LS.explode_ids(c.dealt_items, "exclusions", "exclusion_id")),

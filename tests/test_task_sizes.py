@@ -10,7 +10,7 @@ from tallyline.sources import tables
 
 from .conftest import SF_SMALL
 
-ROW_QUERIES = ["line_ids", "extra_rows", "exclusion_rows", "item_label", "ingredient_list", "ingredient_list_as_written"]
+ROW_QUERIES = ["line_ids", "extra_rows", "exclusion_rows", "item_label", "ingredient_list", "ingredient_list_as_written", "global_ids"]
 
 
 def _rows(df):
@@ -34,3 +34,13 @@ def test_no_task_holds_much_more_than_its_rows(spark, name, monkeypatch):
     got = QUERIES[name](spark, SF_SMALL)
     most = got.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     assert _rows(got) == want and most <= max(300, len(want) // 20)
+
+
+@pytest.mark.parametrize("name", ["hot_key_ids"])
+def test_ledgers_in_many_tasks(spark, name, monkeypatch):
+    want = _rows(QUERIES[name](spark, SF_SMALL))
+    monkeypatch.setattr(tables, "TASK_ROWS", 50)
+    got = QUERIES[name](spark, SF_SMALL)
+    tasks = tables.Tables(spark, SF_SMALL).tasks("orders")
+    assert "RepartitionByExpression" in (plan := got._jdf.queryExecution().optimizedPlan().toString()) and f"], {tasks}" in plan
+    assert _rows(got) == want
