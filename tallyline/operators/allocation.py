@@ -32,11 +32,14 @@ def _horizon(txns: DataFrame):
     return F.last_day(txns.agg(F.max("txn_date")).scalar())
 
 
-def balance_segments(txns: DataFrame) -> DataFrame:
+def balance_segments(txns: DataFrame, tasks: int | None = None) -> DataFrame:
     """customer_id, seg_start, seg_end, balance: the end-of-day balance held
     from each transaction day up to the day before the next one (the last
-    segment runs to the horizon)."""
+    segment runs to the horizon).  With ``tasks``, customers are dealt to that many
+    tasks, which what follows by customer keeps."""
     day = txns.groupBy("customer_id", "txn_date").agg(F.sum(signed(txns)).alias("day_net"))
+    if tasks:
+        day = day.repartition(tasks, "customer_id")
     w = Window.partitionBy("customer_id").orderBy("txn_date")
     return day.select(
         "customer_id", F.col("txn_date").alias("seg_start"),
@@ -53,8 +56,8 @@ def alloc_month_end(txns: DataFrame, floor_at_zero: bool = True) -> DataFrame:
         F.sum("alloc").cast("bigint").alias("data_required")).orderBy("month")
 
 
-def alloc_trailing30(txns: DataFrame, floor_at_zero: bool = True, days: int = 30) -> DataFrame:
-    seg = balance_segments(txns)
+def alloc_trailing30(txns: DataFrame, floor_at_zero: bool = True, days: int = 30, tasks: int | None = None) -> DataFrame:
+    seg = balance_segments(txns, tasks)
     hz = _horizon(txns)
     last_ms = F.trunc(F.least(F.date_add("seg_end", days - 1), hz), "month")
     ex = seg.select("customer_id", "seg_start", "seg_end", "balance",
@@ -110,10 +113,11 @@ def alloc_realtime(txns: DataFrame, floor_at_zero: bool = True) -> DataFrame:
     return monthly_total(month_peaks(txns), floor_at_zero)
 
 
-def interest_simple(txns: DataFrame, annual_rate: float = 0.06, floor_at_zero: bool = True, scale: int = 2) -> DataFrame:
+def interest_simple(txns: DataFrame, annual_rate: float = 0.06, floor_at_zero: bool = True, scale: int = 2,
+                    tasks: int | None = None) -> DataFrame:
     """Monthly total of daily simple interest (rate/365 on each day's closing
     balance), rounded to ``scale`` decimals."""
-    seg = balance_segments(txns)
+    seg = balance_segments(txns, tasks)
     ex = seg.select("seg_start", "seg_end", "balance",
                     F.explode(F.sequence(F.trunc("seg_start", "month"), F.trunc("seg_end", "month"),
                                          F.expr("INTERVAL 1 MONTH"))).alias("ms"))

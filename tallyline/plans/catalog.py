@@ -261,9 +261,9 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "balance_stats": (lambda c: L.balance_stats(c.txns)),
     # ---- allocation and interest
     "alloc_month_end": (lambda c: AL.alloc_month_end(c.txns)),
-    "alloc_trailing30": (lambda c: AL.alloc_trailing30(c.txns)),
+    "alloc_trailing30": (lambda c: AL.alloc_trailing30(c.txns, tasks=c.txn_tasks)),
     "alloc_realtime": (lambda c: AL.alloc_realtime(c.txns)),
-    "interest_simple": (lambda c: AL.interest_simple(c.txns, scale=c.p.money_scale)),
+    "interest_simple": (lambda c: AL.interest_simple(c.txns, scale=c.p.money_scale, tasks=c.txn_tasks)),
     "interest_compound": (lambda c: AL.interest_compound(c.txns, scale=c.p.money_scale)),
     "interest_compound_floored": (lambda c: AL.interest_compound(c.txns, floor_at_zero=True, scale=c.p.money_scale)),
     # ---- streaming (replayed from a file source with an availableNow trigger)

@@ -36,7 +36,7 @@ def test_no_task_holds_much_more_than_its_rows(spark, name, monkeypatch):
     assert _rows(got) == want and most <= max(300, len(want) // 20)
 
 
-@pytest.mark.parametrize("name", ["hot_key_ids"])
+@pytest.mark.parametrize("name", ["alloc_trailing30", "interest_simple", "hot_key_ids"])
 def test_ledgers_in_many_tasks(spark, name, monkeypatch):
     want = _rows(QUERIES[name](spark, SF_SMALL))
     monkeypatch.setattr(tables, "TASK_ROWS", 50)
