@@ -10,12 +10,15 @@ query uses need to be present.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import orders as O
 from ..operators.numbering import numbered
 from ..sources.business import with_txn_ids
+from ..sources.tables import tasks_for
 from .catalog import BUILDERS, Params
 
 # The parameters stated by the original questions.
@@ -50,6 +53,18 @@ class BusinessCtx:
     def items(self) -> DataFrame:
         return O.clean_orders(self._t("customer_orders"))
 
+    @property
+    def dealt_items(self) -> DataFrame:
+        return self.items.repartition(self.item_tasks, "order_id") if self.item_tasks else self.items
+
+    @cached_property
+    def item_tasks(self) -> int | None:
+        return tasks_for(self._t("customer_orders"))
+
+    @cached_property
+    def txn_tasks(self) -> int | None:
+        return tasks_for(self._t("customer_transactions"))
+
     @property
     def deliveries(self) -> DataFrame:
         return O.clean_deliveries(self._t("runner_orders"))

@@ -32,6 +32,13 @@ TASK_ROWS = 250_000     # rows of a large table that one shuffle task takes
 LEAST_TASKS = 16        # smaller tables are left to the session's own partitions
 
 
+def tasks_for(df: DataFrame) -> int | None:
+    """How many tasks a shuffle of the table is dealt to, so that a task holds about
+    ``TASK_ROWS`` rows at any size; None for a small table."""
+    n = -(-df.count() // TASK_ROWS)
+    return n if n >= LEAST_TASKS else None
+
+
 class Tables:
     """Lazy accessor: ``Tables(spark, dir).orders`` is a DataFrame over orders.parquet."""
 
@@ -48,11 +55,8 @@ class Tables:
         return reader.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def tasks(self, name: str) -> int | None:
-        """How many tasks a shuffle of the table is dealt to, so that a task holds
-        about ``TASK_ROWS`` rows at any size; None for a small table.  The rows are
-        counted from the files' footers."""
-        n = -(-self.read(name).count() // TASK_ROWS)
-        return n if n >= LEAST_TASKS else None
+        """``tasks_for`` a table, whose rows are counted from the files' footers."""
+        return tasks_for(self.read(name))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
